@@ -6,12 +6,17 @@ Applied to result rows of tests only, one row per test.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship these functions with the task, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY = 1e-300
 _EPS = 1e-16
 _LARGE_DF = 20_000.0
