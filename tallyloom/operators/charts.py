@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.rank import drop_null_keys, quantiles
+from tallyloom.operators.rank import FEW_GROUPS, drop_null_keys, quantiles
 from tallyloom.spec import as_double, col, require_columns
 
-# Statistics of at most this many groups are broadcast to the rows; beyond it the two
-# sides are shuffled.
-FEW_GROUPS = 10_000
 # exp(-z*z/2) is exactly zero in double precision from here on.
 KERNEL_REACH = 39.0
 
 
-def attach_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join per-group statistics to rows, by broadcast if a count shows few groups."""
-    groups = df.select(*[col(k) for k in keys]).distinct().limit(FEW_GROUPS + 1).count()
-    return df.join(F.broadcast(stats) if groups <= FEW_GROUPS else stats, list(keys))
+def few_groups(df: DataFrame, group: str) -> bool:
+    """Whether statistics per group are few enough to broadcast them to the rows."""
+    return df.select(col(group)).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
 
 
 def counted_values(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -107,7 +101,7 @@ def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> D
         .withColumn("bandwidth", F.col("spread") * F.pow(F.col("total").cast("double"), F.lit(-0.2)))
         .withColumn("step", (F.col("high") - F.col("low")) / (points - 1))
     )
-    placed = attach_group_stats(counts, rows, [group])
+    placed = counts.join(F.broadcast(rows) if few_groups(df, group) else rows, group)
     reach = F.col("bandwidth") * KERNEL_REACH
     first = F.greatest(F.ceil((x - reach - F.col("low")) / F.col("step")), F.lit(0)).cast("int")
     last = F.least(F.floor((x + reach - F.col("low")) / F.col("step")), F.lit(points - 1)).cast("int")
@@ -147,20 +141,20 @@ def box_plot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
     quartiles = quantiles(
         known, ["x"], [0.25, 0.5, 0.75], by=[group], names=["q1", "median", "q3"]
     ).drop("column")
+    if few_groups(df, group):  # rows stay where they are
+        placed = known.where("x IS NOT NULL").withColumn("n", F.lit(1).cast("long"))
+        placed = placed.join(F.broadcast(quartiles), group)
+    else:
+        placed = counted_values(df, value, group).join(quartiles, group)
     low = F.col("q1") - (F.col("q3") - F.col("q1")) * reach
     high = F.col("q3") + (F.col("q3") - F.col("q1")) * reach
     x = F.col("x")
-    counts = counted_values(df, value, group)
-    inner = (
-        attach_group_stats(counts, quartiles, [group])
-        .groupBy(col(group), "q1", "median", "q3")
-        .agg(
-            F.sum("n").alias("n"),
-            F.min(F.when(x >= low, x)).alias("inner_low"),
-            F.max(F.when(x <= high, x)).alias("inner_high"),
-            F.coalesce(F.sum(F.when(x < low, F.col("n"))), F.lit(0)).alias("n_below"),
-            F.coalesce(F.sum(F.when(x > high, F.col("n"))), F.lit(0)).alias("n_above"),
-        )
+    inner = placed.groupBy(col(group), "q1", "median", "q3").agg(
+        F.sum("n").alias("n"),
+        F.min(F.when(x >= low, x)).alias("inner_low"),
+        F.max(F.when(x <= high, x)).alias("inner_high"),
+        F.coalesce(F.sum(F.when(x < low, F.col("n"))), F.lit(0)).alias("n_below"),
+        F.coalesce(F.sum(F.when(x > high, F.col("n"))), F.lit(0)).alias("n_above"),
     )
     # With interpolated quartiles the furthest inner value can fall inside the box.
     return inner.select(
@@ -180,5 +174,9 @@ def outliers(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
     """The distinct values beyond the whiskers with their counts: ``(group, x, n)``."""
     box = box_plot(df, value, group, reach).select(col(group), "whisker_low", "whisker_high")
     beyond = (F.col("x") < F.col("whisker_low")) | (F.col("x") > F.col("whisker_high"))
+    if few_groups(df, group):
+        rows = df.select(col(group), as_double(df, value).alias("x"))
+        far = rows.join(F.broadcast(box), group).where(beyond)
+        return far.groupBy(col(group), "x").agg(F.count(F.lit(1)).alias("n"))
     counts = counted_values(df, value, group)
-    return attach_group_stats(counts, box, [group]).where(beyond).select(col(group), "x", "n")
+    return counts.join(box, group).where(beyond).select(col(group), "x", "n")

@@ -22,6 +22,8 @@ SKETCH_ACCURACY = 10_000
 # A sketch rank is off by at most twice 1/accuracy of the rows after merging; the
 # bracket around a wanted rank is drawn twice as wide again.
 SKETCH_MARGIN = 4 / SKETCH_ACCURACY
+# Brackets of at most this many groups are read and broadcast.
+FEW_GROUPS = 10_000
 
 
 def bucket_edges(keys: DataFrame, key: str, identity: Sequence[str], buckets: int = BUCKETS) -> Column:
@@ -64,48 +66,55 @@ def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     ).where(F.col("value").isNotNull())
 
 
-def _near_ranks(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _near_ranks(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
+) -> DataFrame | None:
     """Long form of the columns, keeping apart only the values near the wanted ranks.
 
-    One sketch pass brackets every wanted rank; its result is a few numbers per column.
-    Values outside all brackets keep only their place in the order: they collapse onto
-    the end of the bracket before them, marked as a gap.
+    One sketch pass brackets every wanted rank; its result is a few numbers per group and
+    column, read once so that all uses agree on them. Values outside all brackets keep
+    only their place in the order: they collapse onto the end of the bracket before them,
+    marked as a gap. None if there are too many groups to do this for.
     """
-    marks = [(max(p - SKETCH_MARGIN, 0.0), min(p + SKETCH_MARGIN, 1.0)) for p in probs]
+    order = sorted(probs)
+    marks = [(max(p - SKETCH_MARGIN, 0.0), min(p + SKETCH_MARGIN, 1.0)) for p in order]
     flat = [m for pair in marks for m in pair]
-    ends = df.agg(
-        *[
-            F.percentile_approx(as_double(df, c), flat, SKETCH_ACCURACY).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
+    sketches = [
+        F.percentile_approx(as_double(df, c), flat, SKETCH_ACCURACY).alias(f"_ends{i}")
+        for i, c in enumerate(columns)
+    ]
+    sketched = df.groupBy(*[col(b) for b in by]).agg(*sketches)
+    rows = sketched.limit(FEW_GROUPS + 1).collect()
+    if len(rows) > FEW_GROUPS:
+        return None
+    if by:
+        brackets = df.sparkSession.createDataFrame(rows, sketched.schema)
+        df = df.join(F.broadcast(brackets), list(by))
 
     def place(i: int, c: str) -> Column:
         value = as_double(df, c)
-        if ends[i] is None:
-            kept, gap_at = F.lit(True), F.lit(None).cast("double")
+        if by:
+            ends = [col(f"_ends{i}")[k] for k in range(len(flat))]
         else:
-            kept, gap_at = F.lit(False), F.lit(None).cast("double")
-            brackets = sorted(zip(ends[i][0::2], ends[i][1::2], marks))
-            for low, high, (first, last) in brackets:
-                inside = F.lit(True)
-                if first > 0:
-                    inside = inside & (value >= low)
-                if last < 1:
-                    inside = inside & (value <= high)
-                kept = kept | inside
-                gap_at = F.when(value > high, F.lit(high)).otherwise(gap_at)
+            ends = [F.lit(e) for e in rows[0][i] or [None] * len(flat)]
+        kept, gap_at = F.lit(False), F.lit(None).cast("double")
+        for j, (first, last) in enumerate(marks):
+            low, high = ends[2 * j], ends[2 * j + 1]
+            above = F.lit(True) if first == 0 else value >= low
+            below = F.lit(True) if last == 1 else value <= high
+            kept = kept | (above & below)
+            gap_at = F.when(value > high, high).otherwise(gap_at)
         return F.struct(
             F.when(kept, value).otherwise(gap_at).alias("value"),
             F.when(kept, 0).otherwise(1).alias("gap"),
             value.isNotNull().alias("known"),
         ).alias(c)
 
-    placed = df.select(*[place(i, c) for i, c in enumerate(columns)])
+    placed = df.select(*[col(b) for b in by], *[place(i, c) for i, c in enumerate(columns)])
     return (
-        placed.unpivot([], [col(c) for c in columns], "column", "place")
+        placed.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "place")
         .where("place.known")
-        .select("column", "place.value", "place.gap")
+        .select(*[col(b) for b in by], "column", "place.value", "place.gap")
     )
 
 
@@ -120,19 +129,21 @@ def quantiles(
     """Exact, linearly interpolated quantiles: one row per ``(*by, column)``.
 
     Rows with a null in ``by`` are left out, nulls and NaN are skipped. Equal values are
-    counted before they are shuffled. In a table beyond ``direct_rows`` rows, and without
-    ``by``, only the values near the wanted ranks are shuffled at all.
+    counted before they are shuffled. In a table beyond ``direct_rows`` rows only the
+    values near the wanted ranks are shuffled at all, unless there are many groups.
     """
     names = list(names or [f"p{round(p * 100, 6):g}" for p in probs])
     keys = [*by, "column"]
     key_cols = [col(k) for k in keys]
-    rows = df.count()
-    if by or rows <= direct_rows:
-        long = melt_numeric(drop_null_keys(df, by), columns, by).withColumn("gap", F.lit(0))
-        to_sort = rows
-    else:
-        long = _near_ranks(df, columns, probs)
-        to_sort = rows * 2 * SKETCH_MARGIN * len(probs) * 2
+    known = drop_null_keys(df, by)
+    to_sort = df.count()
+    long = None
+    if to_sort > direct_rows:
+        long = _near_ranks(known, columns, probs, by)
+        if long is not None:
+            to_sort *= 4 * SKETCH_MARGIN * len(probs)
+    if long is None:
+        long = melt_numeric(known, columns, by).withColumn("gap", F.lit(0))
     small = to_sort <= direct_rows
     counts = long.groupBy(*key_cols, "value", "gap").agg(F.count(F.lit(1)).alias("n"))
     ranked = _spans(counts, keys) if small else _spans_by_bucket(counts, keys, probs, bool(by))

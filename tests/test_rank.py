@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tallyloom as tl
+from tallyloom.operators import rank
 from tallyloom.operators.rank import bucket_edges, with_bucket
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
@@ -39,8 +40,10 @@ def test_quantiles_are_exact(spark, table, direct_rows):
         assert np.allclose(list(row)[1:], expect, rtol=1e-12), row["column"]
 
 
-@pytest.mark.parametrize("direct_rows", [1_000_000, 0], ids=["direct", "two-level"])
-def test_quantiles_by_a_hot_group(spark, table, direct_rows):
+@pytest.mark.parametrize("few", [10_000, 1], ids=["few groups", "many groups"])
+@pytest.mark.parametrize("direct_rows", [1_000_000, 1_000, 0])
+def test_quantiles_by_a_hot_group(spark, table, monkeypatch, direct_rows, few):
+    monkeypatch.setattr(rank, "FEW_GROUPS", few)
     # One group holds most rows and most of those share one value.
     grouped = table.withColumn("g", F.when(F.col("few") > 0, "hot").otherwise("cold"))
     grouped = grouped.unionByName(table.limit(1).withColumn("g", F.lit(None).cast("string")))
