@@ -16,6 +16,8 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     cells = df.groupBy(
         col(actual).cast("string").alias("actual"), col(predicted).cast("string").alias("predicted")
     ).agg(F.count(F.lit(1)).alias("n"))
+    # The filter keeps the count in both uses of this table, so that one shuffle serves both.
+    cells = cells.where("n > 0")
     labels = (
         cells.select(F.explode(F.array("actual", "predicted")).alias("label"))
         .distinct()

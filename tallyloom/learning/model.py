@@ -100,16 +100,15 @@ def train_and_evaluate(
 ) -> Evaluation:
     """Split, fit on the training rows only, evaluate on the test rows.
 
-    The split table and the predictions are written to the shared folder: the fit reads
-    the one many times, every metric reads the other.
+    The rows to split and the predictions are written to the shared folder: the fit
+    reads the ones many times, every metric reads the others.
     """
     view = feature_view(df, spec)
     if key is not None:
         keyed = df.select(*[col(c) for c in dict.fromkeys([*spec.features, spec.target, *key])])
-        marked = stratified_split(keyed, spec.target, test_size, spec.seed, key)
-    else:
-        marked = stratified_split(view, spec.target, test_size, spec.seed)
-    split = stage(marked, "split")
+        split = stage(stratified_split(keyed, spec.target, test_size, spec.seed, key), "split")
+    else:  # the numbered rows are on disk already, and the mark is cheap to compute
+        split = stratified_split(view, spec.target, test_size, spec.seed)
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     model = fit_model(train, spec, size)
     scored = predict(model, test, spec.positive_label)

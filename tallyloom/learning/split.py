@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.learning.features import by_class, class_counts
@@ -73,34 +73,29 @@ def _prefix(bits: int) -> Column:
 
 def _cuts(hashed: DataFrame, label: str, quotas: dict[str, int]) -> dict[str, tuple[int, int]]:
     """Per class the largest hash pair that still belongs to the test rows."""
-    wanted = {c: q for c, q in quotas.items() if q > 0}
-    need, bits, size = dict(wanted), 0, None
+    need, bits, size = {c: q for c, q in quotas.items() if q > 0}, 0, None
+    cuts = {c: (-(1 << 63), -(1 << 63)) for c in quotas}
+    if not need:
+        return cuts
     pool = hashed.select(col(label).cast("string").alias("label"), "_h1", "_h2")
-    pool = pool.where(F.col("label").isin(list(wanted)))
-    while wanted and bits < 60 and (size is None or size > FINAL_ROWS):
-        # At most 4096 counts per class come back.
+    pool = pool.where(F.col("label").isin(list(need)))
+    upto = F.sum("n").over(Window.partitionBy("label").orderBy("p"))  # at most 4096 prefixes
+    while bits < 60 and (size is None or size > FINAL_ROWS):
         bits += _STEP_BITS
-        rows = pool.groupBy("label", _prefix(bits).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
-        hit, size = {}, 0
-        for c in wanted:
-            for r in sorted((r for r in rows if r["label"] == c), key=lambda r: r["p"]):
-                if need[c] <= r["n"]:
-                    hit[c], size = r["p"], max(size, r["n"])
-                    break
-                need[c] -= r["n"]
+        counts = pool.groupBy("label", _prefix(bits).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        place = counts.withColumn("upto", upto).withColumn("need", by_class(counts, "label", need))
+        rows = place.where("need <= upto AND need > upto - n").collect()  # one per class
+        hit = {r["label"]: r["p"] for r in rows}
+        need = {r["label"]: r["need"] - (r["upto"] - r["n"]) for r in rows}
+        size = max(r["n"] for r in rows)
         pool = pool.where(_prefix(bits) == by_class(pool, "label", hit))
-    if size is not None and size > FINAL_ROWS:
+    if size > FINAL_ROWS:
         raise ValueError(f"the split key does not identify rows: {size} rows share one hash")
-    cuts = {}
-    for c in wanted:
-        kept = pool.where(F.col("label") == c).orderBy("_h1", "_h2").limit(need[c])
-        last = kept.agg(F.max(F.struct("_h1", "_h2")).alias("last")).first()["last"]
-        same = (F.col("_h1") == last[0]) & (F.col("_h2") == last[1])
-        through = F.count_if((F.col("_h1") < last[0]) | ((F.col("_h1") == last[0]) & (F.col("_h2") <= last[1])))
-        if pool.where(F.col("label") == c).agg(through).first()[0] != need[c]:
-            copies = pool.where((F.col("label") == c) & same).count()
-            raise ValueError(f"the split key does not identify rows: {copies} share one hash")
-        cuts[c] = (last[0], last[1])
-    for c in quotas:
-        cuts.setdefault(c, (-(1 << 63), -(1 << 63)))
+    order = Window.partitionBy("label").orderBy("_h1", "_h2")  # at most FINAL_ROWS rows
+    pair = F.struct("_h1", "_h2")
+    ranked = pool.withColumns({"rank": F.row_number().over(order), "next": F.lead(pair).over(order)})
+    for r in ranked.where(F.col("rank") == by_class(ranked, "label", need)).collect():
+        cuts[r["label"]] = (r["_h1"], r["_h2"])
+        if r["next"] is not None and tuple(r["next"]) == cuts[r["label"]]:
+            raise ValueError("the split key does not identify rows: rows at the cut share one hash")
     return cuts

@@ -60,7 +60,9 @@ def histogram(df: DataFrame, value: str, group: str, bins: int = 30) -> DataFram
         .otherwise(guess)
     )
     counts = known.groupBy(col(group), bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    # Every group gets a zero row per bin, added up with its counts in one aggregate.
+    # Every group gets a zero row per bin, added up with its counts in one aggregate. The
+    # filter keeps the count in both uses of this table, so that one shuffle serves both.
+    counts = counts.where("n > 0")
     zeros = (
         counts.select(col(group))
         .distinct()
@@ -97,7 +99,7 @@ def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> D
             F.min("x").alias("low"),
             F.max("x").alias("high"),
         )
-        .where("spread > 0")
+        .where("total > 1 AND spread > 0 AND low < high")
         .withColumn("bandwidth", F.col("spread") * F.pow(F.col("total").cast("double"), F.lit(-0.2)))
         .withColumn("step", (F.col("high") - F.col("low")) / (points - 1))
     )
@@ -105,29 +107,15 @@ def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> D
     reach = F.col("bandwidth") * KERNEL_REACH
     first = F.greatest(F.ceil((x - reach - F.col("low")) / F.col("step")), F.lit(0)).cast("int")
     last = F.least(F.floor((x + reach - F.col("low")) / F.col("step")), F.lit(points - 1)).cast("int")
-    spread = placed.withColumn("point", F.explode(F.sequence(first, last)))
+    # The smallest value meets the whole grid, so that a point beyond every kernel has a row.
+    whole = F.sequence(F.lit(0), F.lit(points - 1))
+    reached = F.when(x == F.col("low"), whole).otherwise(F.sequence(first, last))
+    spread = placed.withColumn("point", F.explode(reached))
     at = F.col("low") + F.col("point") * F.col("step")
     z = (at - x) / F.col("bandwidth")
     scale = F.col("total") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi())
-    shares = spread.select(
-        col(group), "point", at.alias("at"), (n * F.exp(-z * z / 2.0) / scale).alias("part")
-    )
-    # A point out of reach of every value has density zero, not no row.
-    zeros = rows.select(
-        col(group),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-        "low",
-        "step",
-    ).select(
-        col(group),
-        "point",
-        (F.col("low") + F.col("point") * F.col("step")).alias("at"),
-        F.lit(0.0).alias("part"),
-    )
-    return (
-        shares.unionByName(zeros)
-        .groupBy(col(group), "point")
-        .agg(F.max("at").alias("x"), F.sum("part").alias("density"))
+    return spread.groupBy(col(group), "point").agg(
+        F.max(at).alias("x"), F.sum(n * F.exp(-z * z / 2.0) / scale).alias("density")
     )
 
 

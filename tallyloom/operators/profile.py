@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,14 @@ from pyspark.sql import functions as F
 from tallyloom.operators.rank import drop_null_keys, quantiles, top_per_group
 from tallyloom.spec import as_double, col, numeric_columns, present, require_columns, string_columns
 
-LONG_FORM = ["section", "item", "metric", "value_num", "value_str"]
+# Aggregates of more columns would outgrow a compiled stage. Each part of a wide table
+# scans its own columns only.
+CHUNK = 50
+
+
+def per_chunk(build: Callable[[list[str]], DataFrame], columns: Sequence[str]) -> DataFrame:
+    parts = [build(list(columns[i : i + CHUNK])) for i in range(0, len(columns), CHUNK)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def column_list(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,16 +39,20 @@ def dtypes(df: DataFrame) -> DataFrame:
 
 
 def null_cells(df: DataFrame) -> DataFrame:
-    """Null count of every column, from one pass: ``(column, n_null, n_rows)``."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(present(df, c).isNull()).alias(f"c{i}") for i, c in enumerate(df.columns)],
-    )
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("n_null"))
-        for i, c in enumerate(df.columns)
-    ]
-    return counted.select("n_rows", F.inline(F.array(*cells))).select("column", "n_null", "n_rows")
+    """Null count of every column: ``(column, n_null, n_rows)``."""
+
+    def count(columns: list[str]) -> DataFrame:
+        counted = df.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            *[F.count_if(present(df, c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)],
+        )
+        cells = [
+            F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("n_null"))
+            for i, c in enumerate(columns)
+        ]
+        return counted.select("n_rows", F.inline(F.array(*cells))).select("column", "n_null", "n_rows")
+
+    return per_chunk(count, df.columns)
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -146,28 +158,31 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
     columns = numeric_columns(df) if columns is None else list(columns)
     require_columns(df, columns)
-    aggs: list[Column] = []
-    for i, c in enumerate(columns):
-        v = as_double(df, c)
-        aggs += [
-            F.count(v).alias(f"count{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_samp(v).alias(f"std{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
+
+    def moments(part: list[str]) -> DataFrame:
+        aggs: list[Column] = []
+        for i, c in enumerate(part):
+            v = as_double(df, c)
+            aggs += [
+                F.count(v).alias(f"count{i}"),
+                F.avg(v).alias(f"mean{i}"),
+                F.stddev_samp(v).alias(f"std{i}"),
+                F.min(v).alias(f"min{i}"),
+                F.max(v).alias(f"max{i}"),
+            ]
+        rows = [
+            F.struct(
+                F.lit(columns.index(c)).alias("position"),
+                F.lit(c).alias("column"),
+                *[F.col(f"{m}{i}").alias(m) for m in ("count", "mean", "std", "min", "max")],
+            )
+            for i, c in enumerate(part)
         ]
-    rows = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            *[F.col(f"{m}{i}").alias(m) for m in ("count", "mean", "std", "min", "max")],
-        )
-        for i, c in enumerate(columns)
-    ]
-    moments = df.agg(*aggs).select(F.inline(F.array(*rows)))
+        return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     # One row per column of the table.
-    return moments.join(F.broadcast(quartiles), "column", "left").select(
+    return per_chunk(moments, columns).join(F.broadcast(quartiles), "column", "left").select(
         "position", "column", "count", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 

@@ -22,7 +22,6 @@ from tallyloom.learning.features import (
     feature_stages,
     with_class_weight,
 )
-from tallyloom.plans.run import report_table
 from tallyloom.sources.tables import staging_path
 from tallyloom.spec import TableSpec, rounded
 
@@ -1111,4 +1110,4 @@ def all_results(spark, sf):
         spark, LINES, table(spark, sf, "lineitem").select(*LINES.features, LINES.target),
         staging_path(spark, "run"), size=SMALL,
     )
-    return report_table(done, LINES)
+    return spark.read.parquet(done.report_path)

@@ -44,6 +44,7 @@ class Run:
     evaluation: Evaluation | None = None
     model_path: str | None = None
     reload_ok: bool | None = None
+    report_path: str | None = None
 
 
 def item(*names: str) -> Column:
@@ -149,5 +150,5 @@ def run(
         done.reload_ok = verify_reload(
             done.model_path, done.evaluation.model, sample, spec.positive_label
         )
-    write_table(report_table(done, spec), f"{out}/report")
+    done.report_path = write_table(report_table(done, spec), f"{out}/report")
     return done

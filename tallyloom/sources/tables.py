@@ -31,7 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below the application's own part of the shared folder."""
+    own = f"{shared_folder(spark)}/tallyloom-{spark.sparkContext.applicationId}"
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
