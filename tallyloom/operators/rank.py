@@ -22,6 +22,9 @@ SKETCH_ACCURACY = 10_000
 # A sketch rank is off by at most twice 1/accuracy of the rows after merging; the
 # bracket around a wanted rank is drawn twice as wide again.
 SKETCH_MARGIN = 4 / SKETCH_ACCURACY
+# Groups of at most this many values are kept whole: a bracket there would be a few ranks
+# wide, too few to hold both neighbours of an interpolated quantile for certain.
+KEPT_WHOLE = 25_000
 # Brackets of at most this many groups are read and broadcast.
 FEW_GROUPS = 10_000
 
@@ -79,10 +82,11 @@ def _near_ranks(
     order = sorted(probs)
     marks = [(max(p - SKETCH_MARGIN, 0.0), min(p + SKETCH_MARGIN, 1.0)) for p in order]
     flat = [m for pair in marks for m in pair]
-    sketches = [
-        F.percentile_approx(as_double(df, c), flat, SKETCH_ACCURACY).alias(f"_ends{i}")
-        for i, c in enumerate(columns)
-    ]
+    sketches = []
+    for i, c in enumerate(columns):
+        value = as_double(df, c)
+        sketch = F.percentile_approx(value, flat, SKETCH_ACCURACY)
+        sketches.append(F.when(F.count(value) > KEPT_WHOLE, sketch).alias(f"_ends{i}"))
     sketched = df.groupBy(*[col(b) for b in by]).agg(*sketches)
     rows = sketched.limit(FEW_GROUPS + 1).collect()
     if len(rows) > FEW_GROUPS:
@@ -92,12 +96,14 @@ def _near_ranks(
         df = df.join(F.broadcast(brackets), list(by))
 
     def place(i: int, c: str) -> Column:
-        value = as_double(df, c)
+        value, kept, gap_at = as_double(df, c), F.lit(False), F.lit(None).cast("double")
         if by:
             ends = [col(f"_ends{i}")[k] for k in range(len(flat))]
+            kept = col(f"_ends{i}").isNull()
+        elif rows[0][i] is None:
+            ends, kept = [F.lit(None).cast("double")] * len(flat), F.lit(True)
         else:
-            ends = [F.lit(e) for e in rows[0][i] or [None] * len(flat)]
-        kept, gap_at = F.lit(False), F.lit(None).cast("double")
+            ends = [F.lit(e) for e in rows[0][i]]
         for j, (first, last) in enumerate(marks):
             low, high = ends[2 * j], ends[2 * j + 1]
             above = F.lit(True) if first == 0 else value >= low
@@ -141,7 +147,7 @@ def quantiles(
     if to_sort > direct_rows:
         long = _near_ranks(known, columns, probs, by)
         if long is not None:
-            to_sort *= 4 * SKETCH_MARGIN * len(probs)
+            to_sort = max(KEPT_WHOLE, to_sort * 4 * SKETCH_MARGIN * len(probs))
     if long is None:
         long = melt_numeric(known, columns, by).withColumn("gap", F.lit(0))
     small = to_sort <= direct_rows

@@ -30,8 +30,9 @@ def table(spark):
     return spark.createDataFrame(pd.DataFrame(samples())).repartition(7).cache()
 
 
-@pytest.mark.parametrize("direct_rows", [1_000_000, 0], ids=["direct", "two-level"])
-def test_quantiles_are_exact(spark, table, direct_rows):
+@pytest.mark.parametrize("direct_rows", [1_000_000, 1_000, 0], ids=["direct", "narrowed", "two-level"])
+def test_quantiles_are_exact(spark, table, monkeypatch, direct_rows):
+    monkeypatch.setattr(rank, "KEPT_WHOLE", 1_000)
     found = tl.quantiles(table, table.columns, PROBS, direct_rows=direct_rows).collect()
     for row in found:
         with np.errstate(invalid="ignore"):
@@ -44,6 +45,7 @@ def test_quantiles_are_exact(spark, table, direct_rows):
 @pytest.mark.parametrize("direct_rows", [1_000_000, 1_000, 0])
 def test_quantiles_by_a_hot_group(spark, table, monkeypatch, direct_rows, few):
     monkeypatch.setattr(rank, "FEW_GROUPS", few)
+    monkeypatch.setattr(rank, "KEPT_WHOLE", 5_000)
     # One group holds most rows and most of those share one value.
     grouped = table.withColumn("g", F.when(F.col("few") > 0, "hot").otherwise("cold"))
     grouped = grouped.unionByName(table.limit(1).withColumn("g", F.lit(None).cast("string")))
@@ -78,6 +80,27 @@ def test_quantiles_skip_nulls_and_columns_without_values(spark):
         assert [tuple(r) for r in found] == [("x", 2.0)]
 
 
+@pytest.mark.parametrize("direct_rows", [100, 0])
+def test_small_groups_beside_a_large_one(spark, direct_rows):
+    # A bracket as wide as a share of a small group would miss a neighbour of the rank.
+    sizes = {"a": 1, "b": 2, "c": 3, "d": 195, "e": 1001, "f": 60_000}
+    df = spark.createDataFrame(list(sizes.items()), "g string, n int")
+    df = df.select("g", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("x"))
+    probs = [0.1, 0.25, 0.9]
+    for row in tl.quantiles(df, ["x"], probs, by=["g"], direct_rows=direct_rows).collect():
+        expect = np.quantile(np.arange(1, sizes[row["g"]] + 1), probs)
+        assert np.allclose(list(row)[2:], expect, rtol=1e-12), row["g"]
+
+
+def test_column_with_few_values_in_a_large_table(spark):
+    df = spark.range(60_000).select(
+        F.col("id").cast("double").alias("x"), F.when(F.col("id") % 20_000 == 7, F.col("id")).alias("y")
+    )
+    found = {r["column"]: list(r)[1:] for r in tl.quantiles(df, ["x", "y"], [0.1, 0.5], direct_rows=0).collect()}
+    assert np.allclose(found["x"], np.quantile(np.arange(60_000), [0.1, 0.5]))
+    assert np.allclose(found["y"], np.quantile([7, 20_007, 40_007], [0.1, 0.5]))
+
+
 def test_top_per_group_breaks_ties(spark):
     df = spark.createDataFrame([("g", "b", 2), ("g", "a", 2), ("g", "c", 1)], "g string, k string, n long")
     out = tl.top_per_group(df, ["g"], "n", ["k"], 2).orderBy("rank").collect()
