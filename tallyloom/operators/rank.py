@@ -18,14 +18,19 @@ from tallyloom.spec import as_double, col, q
 
 DIRECT_ROWS = 100_000
 BUCKETS = 2048
+# Brackets around wanted ranks come from sketches merged in two steps: tasks to SALTS
+# sketches, each read at GRID points, and those points to one. A rank from them is off by
+# at most 1/GRID plus twice 1/accuracy of the rows; brackets are drawn twice as wide.
 SKETCH_ACCURACY = 10_000
-# A sketch rank is off by at most twice 1/accuracy of the rows after merging; the
-# bracket around a wanted rank is drawn twice as wide again.
-SKETCH_MARGIN = 4 / SKETCH_ACCURACY
+GRID = 1_000
+SALTS = 256
+SKETCH_MARGIN = 2 * (1 / GRID + 2 / SKETCH_ACCURACY)
 # Groups of at most this many values are kept whole: a bracket there would be a few ranks
 # wide, too few to hold both neighbours of an interpolated quantile for certain.
 KEPT_WHOLE = 25_000
-# Brackets of at most this many groups are read and broadcast.
+# With more groups than this the sketches of all tasks would outweigh the values.
+NARROW_GROUPS = 64
+# Statistics of at most this many groups are broadcast to the rows.
 FEW_GROUPS = 10_000
 
 
@@ -74,25 +79,36 @@ def _near_ranks(
 ) -> DataFrame | None:
     """Long form of the columns, keeping apart only the values near the wanted ranks.
 
-    One sketch pass brackets every wanted rank; its result is a few numbers per group and
-    column, read once so that all uses agree on them. Values outside all brackets keep
+    One pass of sketches brackets every wanted rank; its result is a few numbers per group
+    and column, read once so that all uses agree on them. Values outside all brackets keep
     only their place in the order: they collapse onto the end of the bracket before them,
     marked as a gap. None if there are too many groups to do this for.
     """
+    groups = 1
+    if by:
+        groups = df.select(*[col(b) for b in by]).distinct().limit(NARROW_GROUPS + 1).count()
+    if not 1 <= groups <= NARROW_GROUPS:
+        return None
     order = sorted(probs)
     marks = [(max(p - SKETCH_MARGIN, 0.0), min(p + SKETCH_MARGIN, 1.0)) for p in order]
     flat = [m for pair in marks for m in pair]
-    sketches = []
-    for i, c in enumerate(columns):
-        value = as_double(df, c)
-        sketch = F.percentile_approx(value, flat, SKETCH_ACCURACY)
-        sketches.append(F.when(F.count(value) > KEPT_WHOLE, sketch).alias(f"_ends{i}"))
-    sketched = df.groupBy(*[col(b) for b in by]).agg(*sketches)
-    rows = sketched.limit(FEW_GROUPS + 1).collect()
-    if len(rows) > FEW_GROUPS:
-        return None
+    grid = ", ".join(f"{(j + 0.5) / GRID}D" for j in range(GRID))
+    blank = F.array_repeat(F.lit(None).cast("double"), GRID)
+    sketches, ends = [], []
+    for i in range(len(columns)):
+        points = F.expr(f"percentile_approx(_v{i}, array({grid}), {SKETCH_ACCURACY})")
+        sketches += [F.coalesce(points, blank).alias(f"_p{i}"), F.count(f"_v{i}").alias(f"_n{i}")]
+        enough = F.sum(f"_n{i}") / GRID > KEPT_WHOLE
+        ends.append(F.when(enough, F.percentile(f"_p{i}", flat, F.col(f"_n{i}"))).alias(f"_ends{i}"))
+    keys, counts = [col(b) for b in by], [f"_n{i}" for i in range(len(columns))]
+    salt = F.pmod(F.spark_partition_id(), F.lit(max(1, SALTS // groups)))
+    values = [as_double(df, c).alias(f"_v{i}") for i, c in enumerate(columns)]
+    sketched = df.select(*keys, *values).groupBy(*keys, salt.alias("_salt")).agg(*sketches)
+    zipped = F.inline(F.arrays_zip(*[f"_p{i}" for i in range(len(columns))]))
+    merged = sketched.select(*keys, *counts, zipped).groupBy(*keys).agg(*ends)
+    rows = merged.collect()
     if by:
-        brackets = df.sparkSession.createDataFrame(rows, sketched.schema)
+        brackets = df.sparkSession.createDataFrame(rows, merged.schema)
         df = df.join(F.broadcast(brackets), list(by))
 
     def place(i: int, c: str) -> Column:
@@ -100,7 +116,7 @@ def _near_ranks(
         if by:
             ends = [col(f"_ends{i}")[k] for k in range(len(flat))]
             kept = col(f"_ends{i}").isNull()
-        elif rows[0][i] is None:
+        elif not rows or rows[0][i] is None:
             ends, kept = [F.lit(None).cast("double")] * len(flat), F.lit(True)
         else:
             ends = [F.lit(e) for e in rows[0][i]]

@@ -44,7 +44,7 @@ def test_quantiles_are_exact(spark, table, monkeypatch, direct_rows):
 @pytest.mark.parametrize("few", [10_000, 1], ids=["few groups", "many groups"])
 @pytest.mark.parametrize("direct_rows", [1_000_000, 1_000, 0])
 def test_quantiles_by_a_hot_group(spark, table, monkeypatch, direct_rows, few):
-    monkeypatch.setattr(rank, "FEW_GROUPS", few)
+    monkeypatch.setattr(rank, "NARROW_GROUPS", few)
     monkeypatch.setattr(rank, "KEPT_WHOLE", 5_000)
     # One group holds most rows and most of those share one value.
     grouped = table.withColumn("g", F.when(F.col("few") > 0, "hot").otherwise("cold"))
