@@ -51,15 +51,16 @@ def stratified_split(
     a long column of the caller.
     """
     require_columns(df, [label, *(key or [])])
+    counts = class_counts(df, label)
     if key is None:
-        numbered = stage(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        numbered = df.withColumn("_row", F.monotonically_increasing_id())
+        numbered = stage(numbered, "numbered", rows=sum(counts.values()))
         identity = [col(c) for c in numbered.columns]
     else:
         numbered, identity = df, [col(c) for c in key]
     first = order if order is not None else F.xxhash64(F.lit(seed), *identity)
     hashed = numbered.withColumns({"_h1": first, "_h2": F.xxhash64(F.lit(seed + 1), *identity)})
-    quotas = test_quotas(class_counts(numbered, label), test_size)
-    cuts = _cuts(hashed, label, quotas)
+    cuts = _cuts(hashed, label, test_quotas(counts, test_size))
     top, rest = (by_class(hashed, label, {c: cut[i] for c, cut in cuts.items()}) for i in (0, 1))
     below = (F.col("_h1") < top) | ((F.col("_h1") == top) & (F.col("_h2") <= rest))
     return hashed.withColumn("is_test", F.coalesce(below, F.lit(False))).drop("_h1", "_h2", "_row")

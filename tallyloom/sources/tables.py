@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SPREAD_ROWS = 10_000_000
+
+
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
     """Overwrite a Parquet table and return its path."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -36,12 +39,15 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
     Later steps then scan only the columns they need, and a lost executor costs a
-    re-read and not a recomputation of the steps before.
+    re-read and not a recomputation of the steps before. A table known to be of few
+    ``rows`` is spread over all cores; one file of it would be one task later.
     """
     spark = df.sparkSession
+    if rows is not None and rows <= SPREAD_ROWS:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     path = write_table(df, staging_path(spark, label))
     return spark.read.schema(df.schema).parquet(path)
