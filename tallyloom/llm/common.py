@@ -14,7 +14,7 @@ from tallyloom.sources.tables import stage
 WORD = r"[^\x20\x09-\x0D]+"
 # Stands for a null id inside the operators: smaller than any other.
 NO_ID = -(2**63)
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -63,20 +63,21 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     )
 
 
-def parts_by_order(df: DataFrame, key: str, rows_per_part: int) -> tuple[DataFrame, list[int]]:
-    """Number ordered parts of about ``rows_per_part`` rows in the column ``part``.
+def parts_by_order(df: DataFrame, key: str, rows_per_part: int) -> tuple[DataFrame, list[int], int | None]:
+    """Number ordered parts of about ``rows_per_part`` rows in the column ``part``; also
+    the keys at which parts begin, but for the first, and the smallest key.
 
-    Only the key column is read to find the cuts; they are at most ``MOST_PARTS``
-    numbers, whatever the table's size.
+    Only the key column is read to find the cuts, of which there are at most
+    ``MOST_PARTS``, whatever the table's size. Each part has rows.
     """
-    rows = df.count()
+    rows, low = df.agg(F.count("*"), F.min(key)).first()
     parts = int(min(MOST_PARTS, max(1, -(-rows // rows_per_part))))
     cuts: list[int] = []
     if parts > 1:
         at = [i / parts for i in range(1, parts)]
-        found = df.agg(F.percentile_approx(key, at, 100 * parts).alias("q")).first()["q"] or []
-        cuts = sorted(set(found))
-    return df.withColumn("part", part_of(F.col(key), cuts)), cuts
+        found = df.agg(F.percentile_approx(key, at, 100 * parts).alias("q")).first()["q"]
+        cuts = sorted(set(found) - {low})
+    return df.withColumn("part", part_of(F.col(key), cuts)), cuts, low
 
 
 MOST_PARTS = 10_000
@@ -85,7 +86,7 @@ MOST_PARTS = 10_000
 def part_of(key: Column, cuts: list[int]) -> Column:
     """How many cuts lie at or below the key, found by halving."""
     if not cuts:
-        return F.lit(0)
+        return F.lit(0).cast("int")
 
     @F.pandas_udf("int")
     def place(values):

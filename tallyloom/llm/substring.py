@@ -34,7 +34,7 @@ class WordHashes(dict):
     """Hash of a word, remembered for the words met so far."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
+        if len(self) >= 1 << 17:
             self.clear()
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
