@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm.mixing import label_quality, mix
+from tallyloom.llm.packing import pack_documents
+from tallyloom.llm.simhash import simhash_groups
 from tallyloom.llm.substring import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +29,60 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(table(spark, sf, "documents"))
+
+
+@query
+def op5_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(table(spark, sf, "documents"), label_quality(table(spark, sf, "labels"))).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+ORACLE["op5_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         -ln((('0x' || substr(md5(doc_id::VARCHAR || '|42'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+           / coalesce(q, 1.0) AS key
+  FROM documents LEFT JOIN (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 2.0 ELSE 0.5 END)::DOUBLE AS q
+    FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) USING (doc_id)
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w
+  FROM d GROUP BY source
+), r AS (
+  SELECT *, 2.0 * source_size / w AS ratio,
+         1.5 * sum(source_size) OVER () AS total,
+         sum(2.0 * source_size) OVER (ORDER BY 2.0 * source_size / w, source) AS full_sum,
+         sum(w) OVER () - sum(w) OVER (ORDER BY 2.0 * source_size / w, source) AS open_w,
+         lead(2.0 * source_size / w) OVER (ORDER BY 2.0 * source_size / w, source) AS next_ratio
+  FROM s
+), l AS (
+  SELECT min(level) AS level FROM (
+    SELECT (total - full_sum) / open_w AS level, ratio, next_ratio FROM r WHERE open_w > 0
+    UNION ALL SELECT max(total) / sum(w), NULL, min(ratio) FROM r)
+  WHERE (ratio IS NULL OR level >= ratio) AND level < next_ratio
+), t AS (
+  SELECT source, source_size, least(2.0 * source_size, level * w) AS target FROM r, l
+), e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM t
+), o AS (
+  SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs,
+         floor(e.target - e.epochs * e.source_size)::BIGINT
+           - (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS UNBOUNDED PRECEDING) - d.size) AS room
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, size, source_size, target,
+       (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken
+FROM o
+"""
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(table(spark, sf, "documents"))
+
+
+@query
+def op9_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_groups(table(spark, sf, "documents"))
