@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm.merkle import document_fingerprints
 from tallyloom.llm.mixing import label_quality, mix
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.simhash import simhash_groups
 from tallyloom.llm.substring import substring_dedup
+from tallyloom.llm.tokens import read_tokens, write_tokens
+from tallyloom.llm.warc import read_pages, write_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +87,36 @@ def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"))
 
 
+@query
+def op7_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf, "documents"))
+
+
+@query
+def op8_warc_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return read_pages(write_pages(table(spark, sf, "pages"))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLE["op8_warc_pages"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS n FROM pages
+), m AS (
+  SELECT html, max(page_id) AS last_id FROM p WHERE n >= 1000 GROUP BY html
+)
+SELECT page_id, n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last_id THEN last_id END AS refers_to
+FROM p LEFT JOIN m ON p.html = m.html AND n >= 1000
+"""
+
+
 @query
 def op9_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_groups(table(spark, sf, "documents"))
+
+
+@query
+def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return read_tokens(write_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")))
