@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm.lm import lm_scores
 from tallyloom.llm.merkle import document_fingerprints
 from tallyloom.llm.mixing import label_quality, mix
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.simhash import simhash_groups
 from tallyloom.llm.substring import substring_dedup
 from tallyloom.llm.tokens import read_tokens, write_tokens
+from tallyloom.llm.toxicity import toxicity
+from tallyloom.llm.vectors import vector_links
 from tallyloom.llm.warc import read_pages, write_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,38 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(table(spark, sf, "documents"))
 
 
+@query
+def op2_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scores(table(spark, sf, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op4_vector_links(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_links(table(spark, sf, "embeddings"))
+
+
+ORACLE["op4_vector_links"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), r AS (
+  SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.c = l.a
+), n AS (
+  SELECT a, count(*) AS n FROM l GROUP BY a
+)
+SELECT r.vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(c) AS component_id,
+       r.vec_id = min(c) AS kept
+FROM r LEFT JOIN n ON r.vec_id = n.a GROUP BY r.vec_id
+"""
+
+
 @query
 def op5_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix(table(spark, sf, "documents"), label_quality(table(spark, sf, "labels"))).select(
