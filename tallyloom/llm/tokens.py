@@ -12,6 +12,7 @@ each), their numbers of token ids (4 each), their token ids (4 each).
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql.window import Window as W
 
 from tallyloom.llm.common import batch, byte_list, id_back
 from tallyloom.llm.files import create, new_name, open_at, qualified
-from tallyloom.llm.ordered import PART_ROWS, in_order
+from tallyloom.llm.ordered import in_order
 from tallyloom.sources.tables import stage, staging_path
 
 # Fixed values of the seekable format.
@@ -37,14 +38,23 @@ CHECKSUMS = 0x80
 
 END = 2
 FRAME_BYTES = 256 << 10
+PART_ROWS = 8192  # fewer parts, fewer words that each has to encode
 LEVEL = 3
 
 
+# Letters, then ASCII marks that the tokenizer always cuts off them; an apostrophe may
+# begin an ending, so such words are left whole.
+LETTERS_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([^A-Za-z0-9'\x80-\xff]*)\Z")
+WORDS_HELD = 1 << 18
+
+
 class WordIds(dict):
-    """Token ids of a word as bytes.
+    """Token ids of a word as bytes, remembered.
 
     The tokenizer never joins text across ASCII white space, so the ids of a text are
-    those of its words one after the other.
+    those of its words one after the other. Words of letters and marks are encoded as
+    these two parts in lower case, as the tokenizer splits and lowers them itself: fewer
+    texts are new then.
     """
 
     def __init__(self, tokenizer: str) -> None:
@@ -54,12 +64,24 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
+        self.parts: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= 1 << 18:
+        if len(self) >= WORDS_HELD:
             self.clear()
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        m = LETTERS_AND_MARKS.match(word)
+        # Lower case may bring marks along that are no letters and join those after them.
+        split = m and m[2] and m[1].decode().lower().isalpha()
+        self[word] = found = self._part(m[1].lower()) + self._part(m[2]) if split else self._part(word.lower() if m and not m[2] else word)
+        return found
+
+    def _part(self, part: bytes) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            if len(self.parts) >= 2 * WORDS_HELD:
+                self.parts.clear()
+            ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids if part else []
+            self.parts[part] = found = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
 
