@@ -33,6 +33,7 @@ def in_order(docs: DataFrame, part_rows: int = PART_ROWS, with_next: bool = Fals
     return (
         keyed.select(dealt.alias("at"), "doc_id", "text")
         .select("at.part", "at.halo", "doc_id", "text")
-        .repartition("part")
+        # More partitions than parts, so that few hold two.
+        .repartition(4 * (len(cuts) + 1), "part")
         .sortWithinPartitions("part", "halo", "doc_id", "text")
     )

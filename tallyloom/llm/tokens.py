@@ -46,15 +46,17 @@ LEVEL = 3
 # begin an ending, so such words are left whole.
 LETTERS_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([^A-Za-z0-9'\x80-\xff]*)\Z")
 WORDS_HELD = 1 << 18
+WORD_END = "</w>"  # fixed value: marks the last token of a word in the vocabulary
 
 
 class WordIds(dict):
-    """Token ids of a word as bytes, remembered.
+    """Token ids of words as bytes, remembered.
 
     The tokenizer never joins text across ASCII white space, so the ids of a text are
     those of its words one after the other. Words of letters and marks are encoded as
     these two parts in lower case, as the tokenizer splits and lowers them itself: fewer
-    texts are new then.
+    texts are new then. A part of letters is one word to the tokenizer, whose last id, and
+    no other, ends a word; so many parts are encoded in one text and cut apart again.
     """
 
     def __init__(self, tokenizer: str) -> None:
@@ -64,26 +66,60 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.parts: dict[bytes, bytes] = {}
+        self.ends = {i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(WORD_END)}
+        self.parts: dict[str, bytes] = {}
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= WORDS_HELD:
+    def learn(self, words: set[bytes]) -> None:
+        """Make sure that all these words are known."""
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > WORDS_HELD:
             self.clear()
-        m = LETTERS_AND_MARKS.match(word)
-        # Lower case may bring marks along that are no letters and join those after them.
-        split = m and m[2] and m[1].decode().lower().isalpha()
-        self[word] = found = self._part(m[1].lower()) + self._part(m[2]) if split else self._part(word.lower() if m and not m[2] else word)
-        return found
-
-    def _part(self, part: bytes) -> bytes:
+            new = list(words)
+        if len(self.parts) + len(new) > 2 * WORDS_HELD:
+            self.parts.clear()
+        plans: list[tuple[bytes, str, str]] = []
+        letters: set[str] = set()
+        for word in new:
+            m = LETTERS_AND_MARKS.match(word)
+            part = m[1].lower().decode() if m else ""
+            # Lower case may bring marks along that are no letters and join those after them.
+            if part and part.lower().isalpha():
+                plans.append((word, part, m[2].decode()))
+                if part not in self.parts:
+                    letters.add(part)
+            else:
+                self[word] = self._part(word.decode())
+        self._encode(list(letters))
+        for word, part, marks in plans:
+            self[word] = self.parts[part] + self._part(marks)
+
+    def _encode(self, letters: list[str]) -> None:
+        texts = [letters[i : i + 256] for i in range(0, len(letters), 256)]
+        found = self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False)
+        for names, encoded in zip(texts, found):
+            ids = encoded.ids
+            cuts = [i + 1 for i, x in enumerate(ids) if x in self.ends]
+            if len(cuts) != len(names):
+                for name in names:
+                    self._part(name)
+                continue
+            for name, a, b in zip(names, [0, *cuts], cuts):
+                self.parts[name] = struct.pack(f"<{b - a}I", *ids[a:b])
+
+    def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            if len(self.parts) >= 2 * WORDS_HELD:
-                self.parts.clear()
-            ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids if part else []
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids if part else []
             self.parts[part] = found = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
+    def of(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Token ids of each text."""
+        words = [t.split() for t in texts]
+        self.learn(set().union(*words))
+        for w in words:
+            yield b"".join(map(self.__getitem__, w))
+
 
 class FrameWriter:
     """Collects documents into frames and closes the file with its two tables."""
@@ -183,17 +219,17 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     last = struct.pack("<I", end)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(tokenizer).__getitem__
+        words = WordIds(tokenizer)
         part, writer, name, done = None, None, "", []
         for r in rows:
-            for p, doc_id, text in zip(r.column(0).to_pylist(), r.column(1).to_pylist(), byte_list(r.column(2))):
+            for p, doc_id, ids in zip(r.column(0).to_pylist(), r.column(1).to_pylist(), words.of(byte_list(r.column(2)))):
                 if p != part:
                     if writer:
                         writer.close()
                         done.append((part, name, writer.docs, writer.total))
                     part, name = p, new_name(place, f"part-{p:05d}", ".zst")
                     writer = FrameWriter(name, frame_bytes, level)
-                writer.add(doc_id, b"".join(map(ids_of, text.split())) + last)
+                writer.add(doc_id, ids + last)
         if writer:
             writer.close()
             done.append((part, name, writer.docs, writer.total))
@@ -235,7 +271,7 @@ def read_tokens(files: DataFrame, with_ids: bool = False) -> DataFrame:
     ddl = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", token_ids array<long>" * with_ids
     return (
         based.select("file", "base")
-        .repartition("file")
+        .repartition(max(1, files.count()), "file")
         .mapInArrow(run, ddl)
         .withColumn("doc_id", id_back("doc_id"))
     )

@@ -218,7 +218,8 @@ def candidates(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     last = F.floor((F.col("size") - 1) / block_bytes)
     blocks = files.filter("size > 0").select("file", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
-    return blocks.repartition("file", "block").mapInArrow(run, "file string, block long, place long, after long, leaves long")
+    number = files.agg(F.sum(last + 1)).first()[0] or 1
+    return blocks.repartition(int(number), "file", "block").mapInArrow(run, "file string, block long, place long, after long, leaves long")
 
 
 def entries(found: DataFrame, files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -264,7 +265,7 @@ def read_records(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     found = stage(candidates(files, block_bytes), "candidates")
     true = stage(entries(found, files, block_bytes), "entries")
-    return true.repartition("file", "place").mapInArrow(run, "file string, place long, head binary, block binary")
+    return true.repartition(max(1, true.count()), "file", "place").mapInArrow(run, "file string, place long, head binary, block binary")
 
 
 def read_pages(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
