@@ -62,7 +62,7 @@ from tallyloom.operators.stats import (
 )
 from tallyloom.plans.run import Run, run
 from tallyloom.sources.delimited import column_names, read_delimited, read_tolerant, write_delimited
-from tallyloom.sources.tables import stage, write_table
+from tallyloom.sources.tables import clear_staged, stage, staged_tables, write_table
 from tallyloom.spec import (
     CENSUS_INCOME,
     TableSpec,

@@ -18,12 +18,13 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY = 1e-300
-_EPS = 1e-16
+_EPS = 3e-16
 _LARGE_DF = 20_000.0
 
 
 def _continued_fraction(terms, limit: int) -> float:
-    """Modified Lentz evaluation of b0 + a1/(b1 + a2/(b2 + ...)) from ``terms``."""
+    """Modified Lentz evaluation of b0 + a1/(b1 + a2/(b2 + ...)) from ``terms``; NaN if it
+    has not converged after ``limit`` terms."""
     first = next(terms)[1]
     f = first if first != 0 else _TINY
     c, d = f, 0.0
@@ -34,9 +35,10 @@ def _continued_fraction(terms, limit: int) -> float:
         c = c if c != 0 else _TINY
         step = c * d
         f *= step
-        if abs(step - 1.0) < _EPS or k > limit:
-            break
-    return f
+        if abs(step - 1.0) < _EPS:
+            return f
+        if k > limit:
+            return math.nan
 
 
 def _beta_terms(a: float, b: float, x: float):
@@ -93,6 +95,23 @@ def _gamma_terms(a: float, x: float):
         yield -k * (k - a), x + 2 * k + 1.0 - a
 
 
+def _gamma_upper_uniform(a: float, x: float) -> float:
+    """Upper incomplete gamma ratio for large a: the leading terms of Temme's uniform
+    asymptotic expansion, whose next term is below 1/a**2."""
+    m = (x - a) / a
+    # eta**2 / 2 = m - log(1 + m), summed as a series where that would cancel.
+    half = m - math.log1p(m) if abs(m) > 0.01 else sum((-1) ** k * m**k / k for k in range(2, 14))
+    eta = math.copysign(math.sqrt(2 * half), m)
+    if abs(eta) < 1e-3:
+        first = -1 / 3 + eta / 12 - 2 * eta * eta / 135
+        second = -1 / 540 - eta / 288
+    else:
+        first = 1 / m - 1 / eta
+        second = 1 / eta**3 - 1 / m**3 - 1 / m**2 - 1 / (12 * m)
+    tail = math.exp(-a * half) / math.sqrt(2 * math.pi * a)
+    return min(1.0, max(0.0, 0.5 * math.erfc(eta * math.sqrt(a / 2)) + tail * (first + second / a)))
+
+
 def chi2_upper(x: float, dof: float) -> float:
     """P(X >= x) of the chi-square distribution."""
     if math.isnan(x) or math.isnan(dof):
@@ -102,6 +121,8 @@ def chi2_upper(x: float, dof: float) -> float:
     if math.isinf(x):
         return 0.0
     a, h = dof / 2.0, x / 2.0
+    if dof > _LARGE_DF:
+        return _gamma_upper_uniform(a, h)
     front = a * math.log(h) - h - math.lgamma(a)
     if h < a + 1:
         term = total = 1.0 / a

@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from tallyloom.spec import col, string_columns
 
+# The characters Unicode calls white space, and the four separators that
+# text tools count with them.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def strip_space(c: Column) -> Column:
-    """Strip all white space at both ends (``trim`` takes blanks only)."""
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    """Strip all white space at both ends, also what Unicode counts as such."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def strip_strings(df: DataFrame) -> DataFrame:
@@ -38,4 +45,4 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
 
 def clean_label(c: Column) -> Column:
     """Strip white space, then all trailing dots."""
-    return F.regexp_replace(strip_space(c), r"\.+$", "")
+    return F.rtrim(strip_space(c), F.lit("."))

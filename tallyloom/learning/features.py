@@ -15,19 +15,14 @@ from pyspark.ml.util import (
     MLReadable,
     MLWritable,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.profile import modes, value_counts
-from tallyloom.operators.rank import medians
+from tallyloom.operators.rank import medians, with_stats
 from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, require_columns
 
-# Level tables up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_LEVELS = 50_000
-# Every frequent level is a named feature that the driver has to hold.
-MAX_FEATURES = 100_000
-MAX_CLASSES = 1_000
 INFREQUENT = "infrequent"
 
 
@@ -110,9 +105,8 @@ class CategoryLevels(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWr
         filled = df.select(*[F.coalesce(col(c).cast("string"), F.lit(found[c])).alias(c) for c in columns])
         counts = stage(value_counts(filled, columns), "levels")
         enough = F.col("n") >= self.getOrDefault("minFrequency")
-        frequent = counts.where(enough).select("column", "value").limit(MAX_FEATURES + 1).collect()
-        if len(frequent) > MAX_FEATURES:
-            raise ValueError(f"more than {MAX_FEATURES} levels to encode; leave the column out")
+        # One row per feature; the vector's own metadata holds as many names.
+        frequent = counts.where(enough).select("column", "value").collect()
         sizes = {
             r["column"]: (r["n_levels"], r["n_rare"])
             for r in counts.groupBy("column")
@@ -154,20 +148,19 @@ class CategoryLevelsModel(Model, _Columns, MLReadable, MLWritable):
         return {c: s.split("\x00") for c, s in zip(self.getInputCols(), packed)}
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        fills, sizes = self.getOrDefault("fills"), self.getOrDefault("sizes")
+        fills = self.getOrDefault("fills")
         out = df
         for i, c in enumerate(self._require(df)):
             names = self.slots()[c]
             side = self.levels.where(F.col("column") == c).select(
                 F.col("value").alias("_value"), F.col("slot").alias("_slot")
             )
-            if sizes[i] <= BROADCAST_LEVELS:
-                side = F.broadcast(side)
             value = F.coalesce(col(c).cast("string"), F.lit(fills[i]))
+            valued = with_stats(out.withColumn("_value", value), side, ["_value"], "left")
             nominal = {"ml_attr": {"type": "nominal", "vals": [*names, "\x00unseen"]}}
             slot = F.coalesce(F.col("_slot"), F.lit(len(names))).cast("double")
             target = self.getOutputCols()[i]
-            out = out.join(side, value == F.col("_value"), "left").select(
+            out = valued.select(
                 *[col(k) for k in out.columns], slot.alias(target, metadata=nominal)
             )
         return out
@@ -196,15 +189,21 @@ class _LevelsReader(DefaultParamsReader):
 def feature_stages(
     numeric: list[str], categorical: list[str], min_frequency: int = 10, output: str = "features"
 ) -> list:
-    """Numeric block, then one-hot block; features are named num__x and cat__x_level."""
+    """Numeric block, then one-hot block; features are named num__x and cat__x_level.
+
+    A block without columns is left out.
+    """
     scaled = [f"num__{c}" for c in numeric]
     slots, hot = [f"slot__{c}" for c in categorical], [f"cat__{c}" for c in categorical]
-    return [
-        NumericPrep(inputCols=numeric, outputCols=scaled),
-        CategoryLevels(inputCols=categorical, outputCols=slots, minFrequency=min_frequency),
-        OneHotEncoder(inputCols=slots, outputCols=hot, dropLast=True, handleInvalid="error"),
-        VectorAssembler(inputCols=[*scaled, *hot], outputCol=output),
-    ]
+    if not numeric and not categorical:
+        raise ValueError("a model needs at least one feature")
+    stages: list = [NumericPrep(inputCols=numeric, outputCols=scaled)] if numeric else []
+    if categorical:
+        stages += [
+            CategoryLevels(inputCols=categorical, outputCols=slots, minFrequency=min_frequency),
+            OneHotEncoder(inputCols=slots, outputCols=hot, dropLast=True, handleInvalid="error"),
+        ]
+    return [*stages, VectorAssembler(inputCols=[*scaled, *hot], outputCol=output)]
 
 
 def feature_names(df: DataFrame, column: str = "features") -> list[str]:
@@ -214,34 +213,23 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     return [name for _, name in ordered]
 
 
-def class_counts(df: DataFrame, label: str) -> dict[str, int]:
-    """Rows per class; refuses a column that is no class label."""
-    rows = (
-        df.groupBy(col(label).cast("string").alias("label"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    if any(r["label"] is None for r in rows):
+def class_table(df: DataFrame, label: str) -> DataFrame:
+    """``(label, n)``: rows per class, in the shared folder; a missing label is an error."""
+    require_columns(df, [label])
+    counts = df.groupBy(col(label).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    held = stage(counts, "classes")
+    if not held.where("label IS NULL").isEmpty():
         raise ValueError(f"{label} contains missing values")
-    return {r["label"]: r["n"] for r in sorted(rows, key=lambda r: r["label"])}
+    return held
 
 
-def class_weights(counts: dict[str, int]) -> dict[str, float]:
-    """Balanced weights: rows / (classes x rows of the class)."""
-    total = sum(counts.values())
-    return {c: total / (len(counts) * n) for c, n in counts.items()}
+def class_weights(classes: DataFrame) -> DataFrame:
+    """``(label, weight)`` with balanced weights: rows / (classes x rows of the class)."""
+    total, number = classes.agg(F.sum("n"), F.count(F.lit(1))).first()
+    return classes.select("label", (F.lit(float(total or 0)) / (F.lit(number) * F.col("n"))).alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
-    weights = class_weights(class_counts(df, label))
-    return df.withColumn(output, by_class(df, label, weights))
-
-
-def by_class(df: DataFrame, label: str, values: dict[str, object]) -> Column:
-    """The value of the row's class."""
-    return F.coalesce(
-        *[F.when(col(label).cast("string") == F.lit(c), F.lit(v)) for c, v in values.items()]
-    )
+    weights = class_weights(class_table(df, label)).toDF("_label", "_weight")
+    met = with_stats(df.withColumn("_label", col(label).cast("string")), weights, ["_label"])
+    return met.select(*[col(c) for c in df.columns if c != output], F.col("_weight").alias(output))

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.learning.features import MAX_CLASSES
-from tallyloom.operators.rank import bucket_edges, with_bucket
+from tallyloom.operators.rank import in_ranges
 from tallyloom.spec import col, require_columns
 
 
@@ -20,15 +19,11 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     cells = cells.where("n > 0")
     labels = (
         cells.select(F.explode(F.array("actual", "predicted")).alias("label"))
+        .where("label IS NOT NULL")
         .distinct()
-        .limit(MAX_CLASSES + 1)
         .agg(F.collect_list("label").alias("labels"))
     )
-    too_many = F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))
-    checked = labels.select(
-        F.when(F.size("labels") > MAX_CLASSES, too_many).otherwise(F.col("labels")).alias("labels")
-    )
-    zeros = checked.select(F.explode("labels").alias("actual"), "labels").select(
+    zeros = labels.select(F.explode("labels").alias("actual"), "labels").select(
         "actual", F.explode("labels").alias("predicted"), F.lit(0).cast("long").alias("n")
     )
     return cells.unionByName(zeros).groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
@@ -104,38 +99,41 @@ def scores(cells: DataFrame, positive: str) -> DataFrame:
 def roc_auc(df: DataFrame, score: str, is_positive: Column) -> DataFrame:
     """Exact area under the ROC curve, tied scores counting half; null with one class only.
 
-    Scores are counted first, then ranked two-level: pairs inside a bucket by a window
-    over the bucket, pairs between buckets from the bucket totals.
+    A score or label that is missing is an error. Scores are counted first and sorted over
+    ranges: pairs inside a range by a window over it, pairs between ranges from their
+    totals.
     """
     require_columns(df, [score])
+    value = col(score).cast("double")
+    missing = F.raise_error(F.lit("a score or label is missing"))
     counts = (
-        df.select(col(score).cast("double").alias("score"), is_positive.alias("positive"))
+        df.select(
+            F.when(value.isNull() | F.isnan(value), missing.cast("double")).otherwise(value).alias("score"),
+            F.when(is_positive.isNull(), missing.cast("boolean")).otherwise(is_positive).alias("positive"),
+        )
         .groupBy("score")
         .agg(
             F.count_if(F.col("positive")).cast("double").alias("pos"),
             F.count_if(~F.col("positive")).cast("double").alias("neg"),
         )
-        .where(F.col("pos") + F.col("neg") > 0)
     )
-    placed = with_bucket(counts, "score", bucket_edges(counts, "score", ["score"]))
-    inside = Window.partitionBy("bucket").orderBy("score")
+    placed = in_ranges(counts, F.col("score").asc())
+    inside = Window.partitionBy("_range").orderBy("score")
     won = F.col("pos") * (F.sum("neg").over(inside) - F.col("neg") / 2)
-    buckets = (
+    ranges = (
         placed.withColumn("won", won)
-        .groupBy("bucket")
+        .groupBy("_range")
         .agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
-    # A bounded number of buckets from here on, in one partition.
-    earlier = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    # As many rows as shuffle partitions from here on.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("neg").over(earlier), F.lit(0.0))
     return (
-        buckets.withColumn("before", before)
+        ranges.withColumn("before", before)
         .agg(
             F.sum(F.col("won") + F.col("pos") * F.col("before")).alias("won"),
-            F.sum("pos").alias("n_pos"),
-            F.sum("neg").alias("n_neg"),
+            F.coalesce(F.sum("pos"), F.lit(0.0)).alias("n_pos"),
+            F.coalesce(F.sum("neg"), F.lit(0.0)).alias("n_neg"),
         )
         .select(
             F.try_divide("won", F.col("n_pos") * F.col("n_neg")).alias("roc_auc"),

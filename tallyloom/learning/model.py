@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ class ForestSize:
     depth: int = 18
     leaf_rows: int = 3
     memory_mb: int = 1024
+    bins: int = 32  # cut points tried for a numeric feature
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,7 @@ def build_model(spec: TableSpec, size: ForestSize = ForestSize(), min_frequency:
         featureSubsetStrategy="sqrt",
         impurity="gini",
         maxMemoryInMB=size.memory_mb,
+        maxBins=size.bins,
         seed=spec.seed,
     )
     features = feature_stages(list(spec.numeric), list(spec.categorical), min_frequency)
@@ -141,11 +144,12 @@ def save_model(model: PipelineModel, path: str) -> str:
 def verify_reload(path: str, model: PipelineModel, sample: DataFrame, positive: str) -> bool:
     """Whether the saved model loads and predicts the sample as the one in hand does.
 
-    Any failure on the way counts as no.
+    Any failure on the way counts as no, and its cause is logged.
     """
     try:
         mine = predict(model, sample, positive)
         theirs = predict(PipelineModel.load(path), sample, positive)
         return mine.exceptAll(theirs).isEmpty() and theirs.exceptAll(mine).isEmpty()
     except Exception:  # noqa: BLE001 - the answer is the verdict, whatever went wrong
+        logging.getLogger(__name__).exception("the model at %s did not answer", path)
         return False

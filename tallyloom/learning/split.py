@@ -8,30 +8,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.learning.features import by_class, class_counts
+from tallyloom.learning.features import class_table
+from tallyloom.operators.rank import row_numbers, with_stats
 from tallyloom.sources.tables import stage
 from tallyloom.spec import col, require_columns
 
-FINAL_ROWS = 10_000
+COPIES_AT_ONCE = 1_000
 _STEP_BITS = 12
 
 
-def test_quotas(counts: dict[str, int], test_size: float) -> dict[str, int]:
-    """Test rows per class: training rows are shared out by largest remainder."""
-    total = sum(counts.values())
-    n_test = math.ceil(test_size * total)
-    n_train = total - n_test
-    if min(counts.values()) < 2 or min(n_test, n_train) < len(counts):
+def class_quotas(classes: DataFrame, test_size: float) -> DataFrame:
+    """``(label, n, n_test)`` of a table of classes: training rows are shared out by
+    largest remainder, ties in the order of the labels."""
+    total, smallest, number = classes.agg(F.sum("n"), F.min("n"), F.count(F.lit(1))).first()
+    n_test = math.ceil(test_size * (total or 0))
+    n_train = (total or 0) - n_test
+    if not number or smallest < 2 or min(n_test, n_train) < number:
         raise ValueError("every class needs two rows and a place on both sides of the split")
-    shares = {c: divmod(n * n_train, total) for c, n in counts.items()}
-    train = {c: whole for c, (whole, _) in shares.items()}
-    left = n_train - sum(train.values())
-    for c in sorted(shares, key=lambda c: (-shares[c][1], c))[:left]:
-        train[c] += 1
-    return {c: counts[c] - train[c] for c in counts}
-
-
-test_quotas.__test__ = False  # a name pytest would collect
+    product = F.col("n").cast("decimal(18,0)") * F.lit(n_train).cast("decimal(18,0)")
+    shares = classes.withColumns(
+        {"_rest": (product % F.lit(total).cast("decimal(18,0)")).cast("long"), "_all": product}
+    ).withColumn("_whole", ((F.col("_all") - F.col("_rest")) / F.lit(total).cast("decimal(18,0)")).cast("long"))
+    left = n_train - shares.agg(F.sum("_whole")).first()[0]
+    ranked = row_numbers(shares.drop("_all"), [F.col("_rest").desc(), F.col("label").asc()], "_rank")
+    train = F.col("_whole") + F.when(F.col("_rank") < left, 1).otherwise(0)
+    return ranked.select("label", "n", (F.col("n") - train).alias("n_test"))
+
+
+def numbered_copies(df: DataFrame) -> DataFrame:
+    """All rows with the number of each among its copies (``_copy``), whatever the order or
+    the partitions of the table. Copies are counted, and dealt out again in chunks."""
+    counted = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES_AT_ONCE))))
+    dealt = chunks.repartition(F.xxhash64(*[col(c) for c in df.columns], F.col("_chunk")))
+    first = F.col("_chunk") * COPIES_AT_ONCE
+    last = F.least(first + COPIES_AT_ONCE, F.col("_n")) - 1
+    return dealt.withColumn("_copy", F.explode(F.sequence(first, last))).select(*[col(c) for c in df.columns], "_copy")
 
 
 def stratified_split(
@@ -44,59 +56,70 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``: per class, the rows with the smallest hashes, in exact numbers.
 
-    ``key`` names columns that identify a row; the split then does not depend on how the
-    table is partitioned. Without it rows are numbered first and written to the shared
-    folder, since copies of a row have to part. The cut is found by counting hash
-    prefixes, so rows are neither sorted nor shuffled; ``order`` replaces the hash with
-    a long column of the caller.
+    ``key`` names columns that identify a row. Without it copies of a row are numbered, as
+    they have to part, and the table is written to the shared folder. Either way the split
+    does not depend on how the table is partitioned. The cut is found by counting hash
+    prefixes, so rows are not sorted; ``order`` replaces the hash with a long column of the
+    caller.
     """
     require_columns(df, [label, *(key or [])])
-    counts = class_counts(df, label)
+    quotas = stage(class_quotas(class_table(df, label), test_size), "quotas")
     if key is None:
-        numbered = df.withColumn("_row", F.monotonically_increasing_id())
-        numbered = stage(numbered, "numbered", rows=sum(counts.values()))
+        numbered = stage(numbered_copies(df), "numbered")
         identity = [col(c) for c in numbered.columns]
     else:
         numbered, identity = df, [col(c) for c in key]
     first = order if order is not None else F.xxhash64(F.lit(seed), *identity)
-    hashed = numbered.withColumns({"_h1": first, "_h2": F.xxhash64(F.lit(seed + 1), *identity)})
-    cuts = _cuts(hashed, label, test_quotas(counts, test_size))
-    top, rest = (by_class(hashed, label, {c: cut[i] for c, cut in cuts.items()}) for i in (0, 1))
-    below = (F.col("_h1") < top) | ((F.col("_h1") == top) & (F.col("_h2") <= rest))
-    return hashed.withColumn("is_test", F.coalesce(below, F.lit(False))).drop("_h1", "_h2", "_row")
+    hashed = numbered.withColumns(
+        {"_label": col(label).cast("string"), "_h1": first, "_h2": F.xxhash64(F.lit(seed + 1), *identity)}
+    )
+    cuts = _cuts(hashed.select("_label", "_h1", "_h2"), quotas)
+    below = (F.col("_h1") < F.col("_c1")) | ((F.col("_h1") == F.col("_c1")) & (F.col("_h2") <= F.col("_c2")))
+    marked = with_stats(hashed, cuts, ["_label"]).withColumn("is_test", F.coalesce(below, F.lit(False)))
+    return marked.select(*[col(c) for c in df.columns], "is_test")
 
 
-def _prefix(bits: int) -> Column:
+def _prefix(hash_: str, bits: int) -> Column:
     """Leading bits of the hash, in the order of its signed value."""
-    unsigned = F.col("_h1").bitwiseXOR(F.lit(-(1 << 63)))
-    return F.shiftrightunsigned(unsigned, 64 - bits)
-
-
-def _cuts(hashed: DataFrame, label: str, quotas: dict[str, int]) -> dict[str, tuple[int, int]]:
-    """Per class the largest hash pair that still belongs to the test rows."""
-    need, bits, size = {c: q for c, q in quotas.items() if q > 0}, 0, None
-    cuts = {c: (-(1 << 63), -(1 << 63)) for c in quotas}
-    if not need:
-        return cuts
-    pool = hashed.select(col(label).cast("string").alias("label"), "_h1", "_h2")
-    pool = pool.where(F.col("label").isin(list(need)))
-    upto = F.sum("n").over(Window.partitionBy("label").orderBy("p"))  # at most 4096 prefixes
-    while bits < 60 and (size is None or size > FINAL_ROWS):
-        bits += _STEP_BITS
-        counts = pool.groupBy("label", _prefix(bits).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        place = counts.withColumn("upto", upto).withColumn("need", by_class(counts, "label", need))
-        rows = place.where("need <= upto AND need > upto - n").collect()  # one per class
-        hit = {r["label"]: r["p"] for r in rows}
-        need = {r["label"]: r["need"] - (r["upto"] - r["n"]) for r in rows}
-        size = max(r["n"] for r in rows)
-        pool = pool.where(_prefix(bits) == by_class(pool, "label", hit))
-    if size > FINAL_ROWS:
-        raise ValueError(f"the split key does not identify rows: {size} rows share one hash")
-    order = Window.partitionBy("label").orderBy("_h1", "_h2")  # at most FINAL_ROWS rows
-    pair = F.struct("_h1", "_h2")
-    ranked = pool.withColumns({"rank": F.row_number().over(order), "next": F.lead(pair).over(order)})
-    for r in ranked.where(F.col("rank") == by_class(ranked, "label", need)).collect():
-        cuts[r["label"]] = (r["_h1"], r["_h2"])
-        if r["next"] is not None and tuple(r["next"]) == cuts[r["label"]]:
+    if not bits:
+        return F.lit(0).cast("long")
+    unsigned = F.col(hash_).bitwiseXOR(F.lit(-(1 << 63)))
+    # All bits stay signed, so that they compare as the hash does.
+    return F.col(hash_) if bits == 64 else F.shiftrightunsigned(unsigned, 64 - bits)
+
+
+def _cuts(pool: DataFrame, quotas: DataFrame) -> DataFrame:
+    """Per class the largest hash pair that still belongs to the test rows; null where
+    none does: ``(_label, _c1, _c2)``."""
+    zero = F.lit(0).cast("long")
+    todo = quotas.where("n_test > 0").select(F.col("label").alias("_label"), zero.alias("_p1"), zero.alias("_p2"), F.col("n_test").alias("_need"))
+    none = F.lit(None).cast("long")
+    found = quotas.where("n_test = 0").select(F.col("label").alias("_label"), none.alias("_c1"), none.alias("_c2"))
+    widths = [*range(_STEP_BITS, 64, _STEP_BITS), 64]
+    steps = [(b, 0) for b in widths] + [(64, b) for b in widths]
+    held = (0, 0)
+    for bits in steps:
+        inside = with_stats(pool, todo, ["_label"]).where(
+            (_prefix("_h1", held[0]) == F.col("_p1")) & (_prefix("_h2", held[1]) == F.col("_p2"))
+        )
+        pair = F.struct("_h1", "_h2")
+        counts = inside.groupBy(
+            "_label", "_need", _prefix("_h1", bits[0]).alias("_q1"), _prefix("_h2", bits[1]).alias("_q2")
+        ).agg(F.count(F.lit(1)).alias("_n"), F.min(pair).alias("_lo"), F.max(pair).alias("_hi"))
+        upto = F.sum("_n").over(Window.partitionBy("_label").orderBy("_q1", "_q2"))  # at most 4096 prefixes
+        hit = stage(
+            counts.withColumn("_upto", upto)
+            .where("_need <= _upto AND _need > _upto - _n")
+            .withColumn("_left", F.col("_need") - F.col("_upto") + F.col("_n")),
+            "cuts",
+        )
+        done = F.col("_left") == F.col("_n")
+        found = found.unionByName(hit.where(done).select("_label", F.col("_hi._h1").alias("_c1"), F.col("_hi._h2").alias("_c2")))
+        todo = hit.where(~done).select("_label", F.col("_q1").alias("_p1"), F.col("_q2").alias("_p2"), F.col("_left").alias("_need"))
+        held = bits
+        open_, stuck = hit.agg(F.count_if(~done), F.count_if(~done & (F.col("_lo") == F.col("_hi")))).first()
+        if stuck:
             raise ValueError("the split key does not identify rows: rows at the cut share one hash")
-    return cuts
+        if not open_:
+            break
+    return stage(found, "cuts")

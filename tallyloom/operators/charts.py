@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.rank import FEW_GROUPS, drop_null_keys, quantiles
+from tallyloom.operators.rank import drop_null_keys, quantiles, with_stats
 from tallyloom.spec import as_double, col, require_columns
 
-# exp(-z*z/2) is exactly zero in double precision from here on.
-KERNEL_REACH = 39.0
-
-
-def few_groups(df: DataFrame, group: str) -> bool:
-    """Whether statistics per group are few enough to broadcast them to the rows."""
-    return df.select(col(group)).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
-
-
-def counted_values(df: DataFrame, value: str, group: str) -> DataFrame:
-    """``(group, x, n)``: distinct values per group, nulls left out."""
-    require_columns(df, [value, group])
-    return (
-        drop_null_keys(df, [group])
-        .select(col(group), as_double(df, value).alias("x"))
-        .where(F.col("x").isNotNull())
-        .groupBy(col(group), "x")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+# Groups whose curves a task holds before it passes on its sums.
+HELD_GROUPS = 1_000
 
 
 def histogram(df: DataFrame, value: str, group: str, bins: int = 30) -> DataFrame:
@@ -83,39 +70,57 @@ def histogram(df: DataFrame, value: str, group: str, bins: int = 30) -> DataFram
 def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density per group with Scott's bandwidth: ``(group, point, x, density)``.
 
-    The grid runs from the smallest to the largest value of the group. Values are counted
-    first, and each only meets the grid points its kernel reaches. A group without spread
-    has no curve.
+    The grid runs from the smallest to the largest value of the group. Each task sums the
+    kernels of its own values at the grid points; only these sums are shuffled. A group
+    without spread has no curve.
     """
-    counts = counted_values(df, value, group)
-    x, n = F.col("x"), F.col("n")
-    rows = (
-        drop_null_keys(df, [group])
-        .select(col(group), as_double(df, value).alias("x"))
-        .groupBy(col(group))
+    require_columns(df, [value, group])
+    known = drop_null_keys(df, [group]).select(col(group).alias("_group"), as_double(df, value).alias("_x"))
+    stats = (
+        known.groupBy("_group")
         .agg(
-            F.count("x").alias("total"),
-            F.stddev_samp("x").alias("spread"),
-            F.min("x").alias("low"),
-            F.max("x").alias("high"),
+            F.count("_x").alias("total"),
+            F.stddev_samp("_x").alias("spread"),
+            F.min("_x").alias("low"),
+            F.max("_x").alias("high"),
         )
         .where("total > 1 AND spread > 0 AND low < high")
         .withColumn("bandwidth", F.col("spread") * F.pow(F.col("total").cast("double"), F.lit(-0.2)))
         .withColumn("step", (F.col("high") - F.col("low")) / (points - 1))
     )
-    placed = counts.join(F.broadcast(rows) if few_groups(df, group) else rows, group)
-    reach = F.col("bandwidth") * KERNEL_REACH
-    first = F.greatest(F.ceil((x - reach - F.col("low")) / F.col("step")), F.lit(0)).cast("int")
-    last = F.least(F.floor((x + reach - F.col("low")) / F.col("step")), F.lit(points - 1)).cast("int")
-    # The smallest value meets the whole grid, so that a point beyond every kernel has a row.
-    whole = F.sequence(F.lit(0), F.lit(points - 1))
-    reached = F.when(x == F.col("low"), whole).otherwise(F.sequence(first, last))
-    spread = placed.withColumn("point", F.explode(reached))
-    at = F.col("low") + F.col("point") * F.col("step")
-    z = (at - x) / F.col("bandwidth")
-    scale = F.col("total") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi())
-    return spread.groupBy(col(group), "point").agg(
-        F.max(at).alias("x"), F.sum(n * F.exp(-z * z / 2.0) / scale).alias("density")
+    steps = np.arange(points)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+
+        def passed_on() -> pd.DataFrame:
+            found = [(g, i, float(x), float(d)) for g, (grid, sum_) in held.items() for i, (x, d) in enumerate(zip(grid, sum_))]
+            held.clear()
+            return pd.DataFrame(found, columns=["_group", "point", "x", "density"])
+
+        for batch in batches:
+            for g, part in batch.groupby("_group", sort=False):
+                first = part.iloc[0]
+                if g not in held:
+                    held[g] = [first["low"] + steps * first["step"], np.zeros(points)]
+                grid, sum_ = held[g]
+                x, n = np.unique(part["_x"].to_numpy(float), return_counts=True)
+                scale = first["total"] * first["bandwidth"] * np.sqrt(2 * np.pi)
+                for at in range(0, len(x), 4096):
+                    z = (grid[:, None] - x[at : at + 4096]) / first["bandwidth"]
+                    sum_ += np.exp(-z * z / 2) @ n[at : at + 4096] / scale
+            if len(held) > HELD_GROUPS:
+                yield passed_on()
+        if held:
+            yield passed_on()
+
+    kind = known.schema["_group"].dataType.simpleString()
+    placed = with_stats(known.where("_x IS NOT NULL"), stats.drop("spread", "high"), ["_group"])
+    return (
+        placed.mapInPandas(sums, f"_group {kind}, point int, x double, density double")
+        .groupBy("_group", "point")
+        .agg(F.max("x").alias("x"), F.sum("density").alias("density"))
+        .select(F.col("_group").alias(group), "point", "x", "density")
     )
 
 
@@ -129,11 +134,7 @@ def box_plot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
     quartiles = quantiles(
         known, ["x"], [0.25, 0.5, 0.75], by=[group], names=["q1", "median", "q3"]
     ).drop("column")
-    if few_groups(df, group):  # rows stay where they are
-        placed = known.where("x IS NOT NULL").withColumn("n", F.lit(1).cast("long"))
-        placed = placed.join(F.broadcast(quartiles), group)
-    else:
-        placed = counted_values(df, value, group).join(quartiles, group)
+    placed = with_stats(known.where("x IS NOT NULL"), quartiles, [group]).withColumn("n", F.lit(1).cast("long"))
     low = F.col("q1") - (F.col("q3") - F.col("q1")) * reach
     high = F.col("q3") + (F.col("q3") - F.col("q1")) * reach
     x = F.col("x")
@@ -162,9 +163,6 @@ def outliers(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
     """The distinct values beyond the whiskers with their counts: ``(group, x, n)``."""
     box = box_plot(df, value, group, reach).select(col(group), "whisker_low", "whisker_high")
     beyond = (F.col("x") < F.col("whisker_low")) | (F.col("x") > F.col("whisker_high"))
-    if few_groups(df, group):
-        rows = df.select(col(group), as_double(df, value).alias("x"))
-        far = rows.join(F.broadcast(box), group).where(beyond)
-        return far.groupBy(col(group), "x").agg(F.count(F.lit(1)).alias("n"))
-    counts = counted_values(df, value, group)
-    return counts.join(box, group).where(beyond).select(col(group), "x", "n")
+    rows = drop_null_keys(df, [group]).select(col(group), as_double(df, value).alias("x"))
+    far = with_stats(rows, box, [group]).where(beyond)
+    return far.groupBy(col(group), "x").agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.rank import drop_null_keys, quantiles, top_per_group
+from tallyloom.operators.rank import drop_null_keys, empty_table, quantiles, top_per_group
+from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, numeric_columns, present, require_columns, string_columns
 
 # Aggregates of more columns would outgrow a compiled stage. Each part of a wide table
@@ -17,7 +18,7 @@ CHUNK = 50
 
 
 def per_chunk(build: Callable[[list[str]], DataFrame], columns: Sequence[str]) -> DataFrame:
-    parts = [build(list(columns[i : i + CHUNK])) for i in range(0, len(columns), CHUNK)]
+    parts = [build(list(columns[i : i + CHUNK])) for i in range(0, max(1, len(columns)), CHUNK)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -52,9 +53,43 @@ def null_cells(df: DataFrame) -> DataFrame:
         ]
         return counted.select("n_rows", F.inline(F.array(*cells))).select("column", "n_null", "n_rows")
 
+    if not df.columns:
+        return empty_table(df, "`column` string, n_null bigint, n_rows bigint")
     return per_chunk(count, df.columns)
 
 
+MOMENTS = ("count", "mean", "std", "min", "max")
+
+
+def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Nulls of every column and moments of the numeric ones, from one aggregate over the
+    table: ``(position, column, n_rows, n_null, numeric, count, mean, std, min, max)``."""
+    columns = df.columns if columns is None else list(columns)
+    numeric = set(numeric_columns(df))
+
+    def stats(part: list[str]) -> DataFrame:
+        aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
+        cells = []
+        for i, c in enumerate(part):
+            aggs.append(F.count(present(df, c)).alias(f"known{i}"))
+            moments = [F.lit(None).cast("double").alias(m) for m in MOMENTS[1:]]
+            if c in numeric:
+                v = as_double(df, c)
+                found = zip(MOMENTS[1:], (F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)))
+                aggs += [a.alias(f"{m}{i}") for m, a in found]
+                moments = [F.col(f"{m}{i}").alias(m) for m in MOMENTS[1:]]
+            cells.append(
+                F.struct(
+                    F.lit(columns.index(c)).alias("position"), F.lit(c).alias("column"), F.col("n_rows"),
+                    (F.col("n_rows") - F.col(f"known{i}")).alias("n_null"), F.lit(c in numeric).alias("numeric"),
+                    F.col(f"known{i}").alias("count"), *moments,
+                )
+            )
+        return df.agg(*aggs).select(F.inline(F.array(*cells)))
+
+    return per_chunk(stats, columns)
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Count and share of nulls, for the columns that have any."""
     return (
@@ -80,6 +115,8 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """Frequencies of the non-null values of string columns: ``(column, value, n)``."""
     columns = string_columns(df) if columns is None else list(columns)
     require_columns(df, columns)
+    if not columns:
+        return empty_table(df, "`column` string, value string, n bigint")
     wide = df.select(*[col(c).cast("string").alias(c) for c in columns])
     return (
         wide.unpivot([], [col(c) for c in columns], "column", "value")
@@ -158,31 +195,19 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
     columns = numeric_columns(df) if columns is None else list(columns)
     require_columns(df, columns)
+    if not columns:
+        measures = ("mean", "std", "min", "q1", "median", "q3", "max")
+        return empty_table(df, "position int, `column` string, count bigint, " + ", ".join(f"{m} double" for m in measures))
+
+    return _described(column_stats(df, columns), df, columns)
 
-    def moments(part: list[str]) -> DataFrame:
-        aggs: list[Column] = []
-        for i, c in enumerate(part):
-            v = as_double(df, c)
-            aggs += [
-                F.count(v).alias(f"count{i}"),
-                F.avg(v).alias(f"mean{i}"),
-                F.stddev_samp(v).alias(f"std{i}"),
-                F.min(v).alias(f"min{i}"),
-                F.max(v).alias(f"max{i}"),
-            ]
-        rows = [
-            F.struct(
-                F.lit(columns.index(c)).alias("position"),
-                F.lit(c).alias("column"),
-                *[F.col(f"{m}{i}").alias(m) for m in ("count", "mean", "std", "min", "max")],
-            )
-            for i, c in enumerate(part)
-        ]
-        return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
-    quartiles = quantiles(df, columns, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
+def _described(stats: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    quartiles = per_chunk(
+        lambda part: quantiles(df, part, [0.25, 0.5, 0.75], names=["q1", "median", "q3"]), columns
+    )
     # One row per column of the table.
-    return per_chunk(moments, columns).join(F.broadcast(quartiles), "column", "left").select(
+    return stats.join(F.broadcast(quartiles), "column", "left").select(
         "position", "column", "count", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 
@@ -230,15 +255,21 @@ def long_rows(
 def eda_summary(df: DataFrame, target: str) -> DataFrame:
     """Shape, duplicates, types, nulls, label counts and statistics in the long form."""
     table = F.lit("table")
+    stats = stage(column_stats(df), "column_stats")
+    width = F.lit(len(df.columns)).cast("long").alias("n_cols")
+    size = stats.agg(F.max("n_rows").alias("n_rows")).select("n_rows", width)
+    nulls = stats.where("n_null > 0").select("column", "n_null", (F.col("n_null") / F.col("n_rows") * 100).alias("null_pct"))
+    numeric = numeric_columns(df)
+    described = _described(stats.where("numeric"), df, numeric) if numeric else describe_numeric(df)
     return (
-        long_rows(shape(df), "shape", table, ["n_rows", "n_cols"])
+        long_rows(size, "shape", table, ["n_rows", "n_cols"])
         .unionByName(long_rows(duplicate_count(df), "duplicates", table, ["n_duplicates"]))
         .unionByName(long_rows(dtypes(df), "dtypes", F.col("column"), ["dtype"]))
-        .unionByName(long_rows(null_profile(df), "nulls", F.col("column"), ["n_null", "null_pct"]))
+        .unionByName(long_rows(nulls, "nulls", F.col("column"), ["n_null", "null_pct"]))
         .unionByName(long_rows(target_share(df, target), "target", F.col("label"), ["n", "pct"]))
         .unionByName(
             long_rows(
-                describe_numeric(df),
+                described,
                 "describe",
                 F.col("column"),
                 ["count", "mean", "std", "min", "q1", "median", "q3", "max"],

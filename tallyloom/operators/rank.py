@@ -1,10 +1,9 @@
 """Exact ranks and prefix sums without a single-task sort, and top-k.
 
-A table of at most ``DIRECT_ROWS`` rows is ranked with a plain window. Beyond that the
-sort is two-level: a fixed-size, repeatable sample of the keys gives bucket edges;
-per-bucket totals are few and take the running sum over buckets; the rows themselves
-are only sorted inside their bucket. Equal keys always share a bucket, and a key that
-fills a third of the table is one row of counts by then. Both ways give equal results.
+Quantiles are found by radix selection: values are counted by their order-preserving
+leading digits, first sign and power of two, then 4096 steps of the interval that holds a
+wanted rank, until an interval is one value. Only counts are shuffled, map-side combined,
+whatever the number of rows, groups or equal values.
 """
 
 from __future__ import annotations
@@ -14,56 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, q
 
-DIRECT_ROWS = 100_000
-BUCKETS = 2048
-# Brackets around wanted ranks come from sketches merged in two steps: tasks to SALTS
-# sketches, each read at GRID points, and those points to one. A rank from them is off by
-# at most 1/GRID plus twice 1/accuracy of the rows; brackets are drawn twice as wide.
-SKETCH_ACCURACY = 10_000
-GRID = 1_000
-SALTS = 256
-SKETCH_MARGIN = 2 * (1 / GRID + 2 / SKETCH_ACCURACY)
-# Groups of at most this many values are kept whole: a bracket there would be a few ranks
-# wide, too few to hold both neighbours of an interpolated quantile for certain.
-KEPT_WHOLE = 25_000
-# With more groups than this the sketches of all tasks would outweigh the values.
-NARROW_GROUPS = 64
-# Statistics of at most this many groups are broadcast to the rows.
-FEW_GROUPS = 10_000
-
-
-def bucket_edges(keys: DataFrame, key: str, identity: Sequence[str], buckets: int = BUCKETS) -> Column:
-    """Sorted bucket edges as a scalar: the keys with the smallest hashes.
-
-    A top-k over hashes of distinct rows is a uniform sample that comes out the same
-    however the data is partitioned, so every use of it agrees on the edges.
-    """
-    sample = (
-        keys.where(col(key).isNotNull())
-        .select(col(key).alias("edge"), F.xxhash64(*[col(c) for c in identity]).alias("h"))
-        .orderBy("h", "edge")
-        .limit(buckets)
-    )
-    return sample.agg(F.array_sort(F.collect_set("edge")).alias("edges")).scalar()
-
-
-def with_bucket(df: DataFrame, key: str, edges: Column, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``bucket``: the number of edges below the key (null: 0), by binary search in the row."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(buckets.bit_length()))])
-    value = col(key)
-    found = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda pos, step: pos
-        + F.when(
-            F.coalesce(F.get(F.col("_edges"), pos + step - 1) < value, F.lit(False)), step
-        ).otherwise(0),
-    )
-    # Declared non-null, or the join on it would search every row a second time.
-    bucket = F.coalesce(F.when(value.isNotNull(), found), F.lit(0))
-    return df.withColumn("_edges", edges).withColumn("bucket", bucket).drop("_edges")
+STEPS = 4096
+# Rows meet statistics of their group in this many parts of the group, so that a group
+# with a large share of the rows is more than one task where Spark joins by shuffle.
+SALTS = 16
 
 
 def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -74,70 +30,102 @@ def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     ).where(F.col("value").isNotNull())
 
 
-def _near_ranks(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
-) -> DataFrame | None:
-    """Long form of the columns, keeping apart only the values near the wanted ranks.
+def empty_table(df: DataFrame, schema: str, by: Sequence[str] = ()) -> DataFrame:
+    """No rows of the columns ``by`` of a table and those of ``schema``."""
+    none = df.sparkSession.createDataFrame([], schema)
+    return df.select(*[col(b) for b in by]).limit(0).join(none) if by else none
 
-    One pass of sketches brackets every wanted rank; its result is a few numbers per group
-    and column, read once so that all uses agree on them. Values outside all brackets keep
-    only their place in the order: they collapse onto the end of the bracket before them,
-    marked as a gap. None if there are too many groups to do this for.
-    """
-    groups = 1
-    if by:
-        groups = df.select(*[col(b) for b in by]).distinct().limit(NARROW_GROUPS + 1).count()
-    if not 1 <= groups <= NARROW_GROUPS:
-        return None
-    order = sorted(probs)
-    marks = [(max(p - SKETCH_MARGIN, 0.0), min(p + SKETCH_MARGIN, 1.0)) for p in order]
-    flat = [m for pair in marks for m in pair]
-    grid = ", ".join(f"{(j + 0.5) / GRID}D" for j in range(GRID))
-    blank = F.array_repeat(F.lit(None).cast("double"), GRID)
-    sketches, ends = [], []
-    for i in range(len(columns)):
-        points = F.expr(f"percentile_approx(_v{i}, array({grid}), {SKETCH_ACCURACY})")
-        sketches += [F.coalesce(points, blank).alias(f"_p{i}"), F.count(f"_v{i}").alias(f"_n{i}")]
-        enough = F.sum(f"_n{i}") / GRID > KEPT_WHOLE
-        ends.append(F.when(enough, F.percentile(f"_p{i}", flat, F.col(f"_n{i}"))).alias(f"_ends{i}"))
-    keys, counts = [col(b) for b in by], [f"_n{i}" for i in range(len(columns))]
-    salt = F.pmod(F.spark_partition_id(), F.lit(max(1, SALTS // groups)))
-    values = [as_double(df, c).alias(f"_v{i}") for i, c in enumerate(columns)]
-    sketched = df.select(*keys, *values).groupBy(*keys, salt.alias("_salt")).agg(*sketches)
-    zipped = F.inline(F.arrays_zip(*[f"_p{i}" for i in range(len(columns))]))
-    merged = sketched.select(*keys, *counts, zipped).groupBy(*keys).agg(*ends)
-    rows = merged.collect()
-    if by:
-        brackets = df.sparkSession.createDataFrame(rows, merged.schema)
-        df = df.join(F.broadcast(brackets), list(by))
-
-    def place(i: int, c: str) -> Column:
-        value, kept, gap_at = as_double(df, c), F.lit(False), F.lit(None).cast("double")
-        if by:
-            ends = [col(f"_ends{i}")[k] for k in range(len(flat))]
-            kept = col(f"_ends{i}").isNull()
-        elif not rows or rows[0][i] is None:
-            ends, kept = [F.lit(None).cast("double")] * len(flat), F.lit(True)
-        else:
-            ends = [F.lit(e) for e in rows[0][i]]
-        for j, (first, last) in enumerate(marks):
-            low, high = ends[2 * j], ends[2 * j + 1]
-            above = F.lit(True) if first == 0 else value >= low
-            below = F.lit(True) if last == 1 else value <= high
-            kept = kept | (above & below)
-            gap_at = F.when(value > high, high).otherwise(gap_at)
-        return F.struct(
-            F.when(kept, value).otherwise(gap_at).alias("value"),
-            F.when(kept, 0).otherwise(1).alias("gap"),
-            value.isNotNull().alias("known"),
-        ).alias(c)
-
-    placed = df.select(*[col(b) for b in by], *[place(i, c) for i, c in enumerate(columns)])
+
+def with_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join rows to the statistics of their key, keys split by salt. Where Spark knows the
+    statistics to be small it broadcasts them and rows stay in place."""
+    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return (
-        placed.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "place")
-        .where("place.known")
-        .select(*[col(b) for b in by], "column", "place.value", "place.gap")
+        rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        .join(salted, [*keys, "_salt"], how)
+        .drop("_salt")
+    )
+
+
+def in_ranges(df: DataFrame, *order: Column) -> DataFrame:
+    """The table in the shared folder, sorted over numbered ranges (``_range``, from 0),
+    of which there are as many as Spark makes shuffle partitions."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stage(sorted_.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """Number all rows from 0 in an order that leaves no ties."""
+    held = in_ranges(df, *order)
+    sizes = held.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return (
+        held.withColumn("_inside", inside)
+        .join(before, "_range")
+        .withColumn(name, F.col("_before") + F.col("_inside"))
+        .drop("_range", "_before", "_inside")
+    )
+
+
+def _octave(x: Column) -> Column:
+    """Sign and power of two of a value, in the order of the values."""
+    power = F.least(F.floor(F.log2(F.abs(x))), F.lit(1030).cast("long"))
+    return F.when(x == 0, 0).otherwise(F.signum(x).cast("int") * (power + 1100).cast("int"))
+
+
+def _select(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The values next to each wanted rank: ``(*keys, total, i, high, value)``.
+
+    ``i`` is the number of the probability; ``high`` marks the upper neighbour. One pass
+    over the values for each digit.
+    """
+    key_cols, x = [col(k) for k in keys], F.col("value")
+
+    def counted(rows: DataFrame, within: Sequence[str], digit: Column) -> DataFrame:
+        counts = (
+            rows.groupBy(*key_cols, *within, digit.alias("_bin"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+        )
+        # At most STEPS rows in a group of these.
+        whole = Window.partitionBy(*[q(k) for k in [*keys, *within]])
+        return counts.withColumns(
+            {"_start": F.sum("_n").over(whole.orderBy("_bin")) - F.col("_n"), "_total": F.sum("_n").over(whole)}
+        )
+
+    ranks = []
+    for i, p in enumerate(probs):
+        low = F.floor((F.col("_total") - 1) * F.lit(float(p)))
+        for high in (False, True):
+            ranks.append(F.struct(F.lit(i).alias("i"), F.lit(high).alias("high"), (low + int(high)).alias("rank")))
+    first = (
+        counted(long, [], _octave(x))
+        .withColumn("_want", F.explode(F.filter(F.array(*ranks), lambda w: (w["rank"] >= F.col("_start")) & (w["rank"] < F.col("_start") + F.col("_n")))))
+        .select(*key_cols, F.col("_total").alias("total"), "_want.i", "_want.high", (F.col("_want.rank") - F.col("_start")).alias("_place"), "_n", "_lo", "_hi")
     )
+    found, picked = [], stage(first, "picked")
+    known = (F.col("_lo") == F.col("_hi")) | (F.col("_place") == 0) | (F.col("_place") == F.col("_n") - 1)
+    while True:
+        value = F.when(F.col("_place") == 0, F.col("_lo")).otherwise(F.col("_hi"))
+        found.append(picked.where(known).select(*key_cols, "total", "i", "high", value.alias("value")))
+        open_ = picked.where(~known).select(
+            *key_cols, "total", "i", "high", "_place", F.col("_lo").alias("_from"), F.col("_hi").alias("_to")
+        )
+        if open_.isEmpty():
+            break
+        spans = open_.select(*key_cols, "_from", "_to").distinct()
+        inside = with_stats(long, spans, keys).where((x >= F.col("_from")) & (x <= F.col("_to")))
+        share = (x - F.col("_from")) / (F.col("_to") - F.col("_from"))
+        digit = F.least(F.floor(share * STEPS), F.lit(STEPS - 1).cast("long"))
+        finer = counted(inside, ["_from", "_to"], digit).drop("_total")
+        met = open_.join(finer, [*keys, "_from", "_to"]).where(
+            (F.col("_place") >= F.col("_start")) & (F.col("_place") < F.col("_start") + F.col("_n"))
+        )
+        picked = stage(met.withColumn("_place", F.col("_place") - F.col("_start")).select(*picked.columns), "picked")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def quantiles(
@@ -146,96 +134,38 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: one row per ``(*by, column)``.
 
-    Rows with a null in ``by`` are left out, nulls and NaN are skipped. Equal values are
-    counted before they are shuffled. In a table beyond ``direct_rows`` rows only the
-    values near the wanted ranks are shuffled at all, unless there are many groups.
+    Rows with a null in ``by`` are left out, nulls and NaN are skipped.
     """
     names = list(names or [f"p{round(p * 100, 6):g}" for p in probs])
-    keys = [*by, "column"]
-    key_cols = [col(k) for k in keys]
-    known = drop_null_keys(df, by)
-    to_sort = df.count()
-    long = None
-    if to_sort > direct_rows:
-        long = _near_ranks(known, columns, probs, by)
-        if long is not None:
-            to_sort = max(KEPT_WHOLE, to_sort * 4 * SKETCH_MARGIN * len(probs))
-    if long is None:
-        long = melt_numeric(known, columns, by).withColumn("gap", F.lit(0))
-    small = to_sort <= direct_rows
-    counts = long.groupBy(*key_cols, "value", "gap").agg(F.count(F.lit(1)).alias("n"))
-    ranked = _spans(counts, keys) if small else _spans_by_bucket(counts, keys, probs, bool(by))
-
-    failed = F.raise_error(F.lit("a wanted rank fell outside its bracket; raise direct_rows"))
-    at = F.when(F.col("gap") == 0, F.col("value")).otherwise(failed)
-
-    def rank(p: float) -> Column:
-        return F.floor((F.col("total") - 1) * F.lit(float(p)))
-
-    def holds(r: Column) -> Column:
-        return (F.col("start") <= r) & (r < F.col("start") + F.col("n"))
-
-    picks = []
-    for i, p in enumerate(probs):
-        picks.append(F.max(F.when(holds(rank(p)), at)).alias(f"low{i}"))
-        picks.append(F.max(F.when(holds(rank(p) + 1), at)).alias(f"high{i}"))
-    found = ranked.groupBy(*key_cols).agg(F.max("total").alias("total"), *picks)
+    if not columns:
+        return empty_table(df, "`column` string, " + ", ".join(f"{q(n)} double" for n in names), by)
+    groups = [f"_g{i}" for i in range(len(by))]
+    keys = [*groups, "column"]
+    known = drop_null_keys(df, by).select(
+        *[col(b).alias(g) for b, g in zip(by, groups)], *[as_double(df, c).alias(c) for c in columns]
+    )
+    near = _select(melt_numeric(known, columns, groups), keys, probs)
+    sides = [
+        F.max(F.when((F.col("i") == i) & (F.col("high") == high), F.col("value"))).alias(f"_{side}{i}")
+        for i in range(len(probs))
+        for side, high in (("low", False), ("high", True))
+    ]
+    found = near.groupBy(*[col(k) for k in keys]).agg(F.max("total").alias("_total"), *sides)
 
     def interpolate(i: int, p: float) -> Column:
-        share = (F.col("total") - 1) * F.lit(float(p)) - rank(p)
-        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        share = at - F.floor(at)
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
         return F.when((share == 0) | (low == high), low).otherwise(low + (high - low) * share)
 
     return found.select(
-        *key_cols, *[interpolate(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))]
+        *[F.col(g).alias(b) for b, g in zip(by, groups)], "column", *[interpolate(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))]
     )
 
 
-def _value_order(*keys: str) -> Window:
-    return Window.partitionBy(*[q(k) for k in keys]).orderBy(
-        F.col("value").asc_nulls_first(), F.col("gap")
-    )
-
-
-def _spans(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the first rank (``start``) of each counted value and the ``total`` per key."""
-    whole = Window.partitionBy(*[q(k) for k in keys])
-    return counts.withColumn("start", F.sum("n").over(_value_order(*keys)) - F.col("n")).withColumn(
-        "total", F.sum("n").over(whole)
-    )
-
-
-def _spans_by_bucket(
-    counts: DataFrame, keys: Sequence[str], probs: Sequence[float], grouped: bool
-) -> DataFrame:
-    """As ``_spans``, two-level, and only for the buckets that hold a wanted rank."""
-    counts = counts.where("n > 0")
-    placed = with_bucket(counts, "value", bucket_edges(counts, "value", [*keys, "value"]))
-    whole = Window.partitionBy(*[q(k) for k in keys])
-    upto = whole.orderBy("bucket")
-    buckets = (
-        placed.groupBy(*[col(k) for k in keys], "bucket")
-        .agg(F.sum("n").alias("bucket_n"))
-        .withColumn("before", F.sum("bucket_n").over(upto) - F.col("bucket_n"))
-        .withColumn("total", F.sum("bucket_n").over(whole))
-    )
-    wanted = F.lit(False)
-    for p in probs:
-        rank = F.floor((F.col("total") - 1) * F.lit(float(p)))
-        wanted = wanted | (
-            (F.col("before") <= rank + 1) & (F.col("before") + F.col("bucket_n") > rank)
-        )
-    hit = buckets.where(wanted)
-    if not grouped:  # at most two buckets per column and quantile
-        hit = F.broadcast(hit)
-    local = F.sum("n").over(_value_order(*keys, "bucket")) - F.col("n")
-    return placed.join(hit, [*keys, "bucket"]).withColumn("start", F.col("before") + local)
-
-
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=[q(k) for k in keys]) if keys else df
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.rank import drop_null_keys
+from tallyloom.operators.rank import drop_null_keys, with_stats
+from tallyloom.sources.tables import stage
 from tallyloom.spec import col, q, require_columns
 
 
@@ -28,15 +29,21 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> D
     return known.groupBy(col(a)).pivot(q(b), values).count().na.fill(0)
 
 
-def crosstab_pct(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> DataFrame:
-    """Share of each cell in its row, long form ``(a, b, pct)``, zeros included."""
-    wide = crosstab(df, a, b, values)
-    cells = [c for c in wide.columns if c != a]
-    total = sum((col(c) for c in cells[1:]), col(cells[0])) if cells else F.lit(0)
-    shares = wide.select(
-        col(a), *[F.coalesce(F.try_divide(col(c) * 100, total), F.lit(0.0)).alias(c) for c in cells]
+def crosstab_pct(df: DataFrame, a: str, b: str, zeros: bool = True) -> DataFrame:
+    """Share of each cell in its row, long form ``(a, b, pct)``.
+
+    From counts and row totals. With ``zeros`` every pair of values has a row; leave them
+    out where the values are many.
+    """
+    cells = stage(crosstab_long(df, a, b).toDF("_a", "_b", "_n"), "cells")
+    totals = cells.groupBy("_a").agg(F.sum("_n").alias("_total"))
+    if zeros:
+        values = cells.agg(F.collect_set("_b")).scalar()
+        none = totals.select("_a", F.explode(values).alias("_b"), F.lit(0).cast("long").alias("_n"))
+        cells = cells.unionByName(none).groupBy("_a", "_b").agg(F.sum("_n").alias("_n"))
+    return with_stats(cells, totals, ["_a"]).select(
+        F.col("_a").alias(a), F.col("_b").alias(b), (F.col("_n") * 100 / F.col("_total")).alias("pct")
     )
-    return melt(shares, [a], cells, b, "pct")
 
 
 def melt(

@@ -10,21 +10,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tails import chi2_tail, p_text, t_tail, verdict
-from tallyloom.operators.rank import drop_null_keys
+from tallyloom.operators.rank import drop_null_keys, empty_table, with_stats
 from tallyloom.operators.reshape import crosstab_long
+from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, numeric_columns, require_columns
 
 ALPHA = 0.05
-# Past this many columns the pairs are summed as matrices inside the tasks; a single
-# aggregate of that many expressions would not compile to one stage any more.
-WIDE = 12
+# A pair whose spread is less than this share of its squares around the column's mean has
+# lost digits in the matrix pass and is computed again around its own mean.
+LOST = 1e-4
+PAIRS_AT_ONCE = 25
 
 
 def _pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per pair ``i <= j``: count, both sums, both squares and the product, shifted."""
+    """Per pair ``i <= j``: count, both sums, both squares and the product, shifted.
+
+    Each task sums matrices over its rows; there are no more tasks than cores, so no more
+    matrices are shuffled.
+    """
     wide = df.select(*[as_double(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
     means = wide.agg(*[F.avg(f"c{i}") for i in range(len(columns))]).first()
-    shift = np.array([0.0 if m is None else m for m in means])
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
     i, j = np.triu_indices(len(columns))
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -46,63 +52,69 @@ def _pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
     return (
-        wide.mapInPandas(sums, schema)
+        wide.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+        .mapInPandas(sums, schema)
         .groupBy("i", "j")
         .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
 
 
-def _correlations_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    sums = _pair_sums(df, columns)
+def _pairs_again(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """``(i, j, again)``: r of the given pairs, each around the mean of its own rows."""
+    parts = []
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        aggs, cells = [], []
+        for i, j in pairs[at : at + PAIRS_AT_ONCE]:
+            a, b = as_double(df, columns[i]), as_double(df, columns[j])
+            both = a.isNotNull() & b.isNotNull()
+            x, y = F.when(both, a), F.when(both, b)
+            spread = F.stddev_samp(x) * F.stddev_samp(y)
+            aggs.append(F.try_divide(F.covar_samp(x, y), spread).alias(f"r{i}_{j}"))
+            cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{i}_{j}").alias("again")))
+        parts.append(df.agg(*aggs).select(F.inline(F.array(*cells))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _upper(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    """``(i, j, column_a, column_b, r)`` of the pairs ``i <= j``."""
+    columns = numeric_columns(df) if columns is None else list(columns)
+    require_columns(df, columns)
+    if not columns:
+        return empty_table(df, "i int, j int, column_a string, column_b string, r double")
+    sums = stage(_pair_sums(df, columns), "pair_sums")
     n = F.col("n")
 
     def spread(squares: str, total: str) -> Column:
-        raw = F.col(squares) - F.try_divide(F.col(total) * F.col(total), n)
-        # What rounding leaves of a constant column counts as zero.
-        return F.when(raw > F.col(squares) * 1e-14, raw).otherwise(F.lit(0.0))
+        return F.col(squares) - F.try_divide(F.col(total) * F.col(total), n)
 
+    a, b = spread("sxx", "sx"), spread("syy", "sy")
+    lost = (n > 1) & ((a <= F.col("sxx") * LOST) | (b <= F.col("syy") * LOST)) & (F.col("sxx") > 0) & (F.col("syy") > 0)
     product = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    r = F.try_divide(product, F.sqrt(spread("sxx", "sx")) * F.sqrt(spread("syy", "sy")))
+    r = F.try_divide(product, F.sqrt(a) * F.sqrt(b))
     names = F.array(*[F.lit(c) for c in columns])
+    # As many rows as pairs of columns.
+    pairs = sorted((p["i"], p["j"]) for p in sums.where(lost).select("i", "j").collect())
+    if pairs:
+        sums = sums.join(F.broadcast(_pairs_again(df, columns, pairs)), ["i", "j"], "left")
+        r = F.when(lost, F.col("again")).otherwise(r)
+    one = F.when(r.isNotNull(), 1.0)
     return sums.select(
         "i", "j", names[F.col("i")].alias("column_a"), names[F.col("j")].alias("column_b"),
-        F.when(n > 1, r).alias("r"),
+        F.when(n > 1, F.when(F.col("i") == F.col("j"), one).otherwise(r)).alias("r"),
     )
 
 
-def _correlations_narrow(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    values = [as_double(df, c) for c in columns]
-    aggs, cells = [], []
-    for i in range(len(columns)):
-        for j in range(i, len(columns)):
-            both = values[i].isNotNull() & values[j].isNotNull()
-            x, y = F.when(both, values[i]), F.when(both, values[j])
-            spread = F.stddev_samp(x) * F.stddev_samp(y)
-            aggs.append(F.try_divide(F.covar_samp(x, y), spread).alias(f"r{i}_{j}"))
-            cells.append(
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(j).alias("j"),
-                    F.lit(columns[i]).alias("column_a"),
-                    F.lit(columns[j]).alias("column_b"),
-                    F.col(f"r{i}_{j}").alias("r"),
-                )
-            )
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
-
-
-def correlations(
-    df: DataFrame, columns: Sequence[str] | None = None, wide: int = WIDE
-) -> DataFrame:
+def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson's r over jointly known rows, one row per pair ``i < j``; null if undefined."""
-    return _upper(df, columns, wide).where(F.col("i") < F.col("j"))
+    return _upper(df, columns).where(F.col("i") < F.col("j"))
 
 
-def correlation_matrix(
-    df: DataFrame, columns: Sequence[str] | None = None, wide: int = WIDE
-) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """All cells of the matrix in long form, diagonal and mirrored half included."""
-    upper = _upper(df, columns, wide)
+    upper = _upper(df, columns)
     cell = ["i", "j", "column_a", "column_b", "r"]
     mirrored = F.array(
         F.struct(*cell),
@@ -118,13 +130,6 @@ def correlation_matrix(
     return upper.select(F.inline(both))
 
 
-def _upper(df: DataFrame, columns: Sequence[str] | None, wide: int) -> DataFrame:
-    columns = numeric_columns(df) if columns is None else list(columns)
-    require_columns(df, columns)
-    build = _correlations_narrow if len(columns) <= wide else _correlations_wide
-    return build(df, columns)
-
-
 def top_correlations(pairs: DataFrame, top_n: int = 5, digits: int = 3) -> DataFrame:
     """Strongest pairs by the rounded coefficient, ties in column order."""
     r = F.bround("r", digits)
@@ -221,8 +226,7 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = ALPHA) -> Da
     o = F.col("o").cast("double")
     e = F.col("row_n") / F.col("n") * F.col("col_n")
     summed = (
-        cells.join(rows, "a")
-        .join(cols, "b")
+        with_stats(with_stats(cells, rows, ["a"]), cols, ["b"])
         .withColumn("n", side.getField("n"))
         .agg(
             F.count(F.lit(1)).alias("n_cells"),

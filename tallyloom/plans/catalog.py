@@ -181,10 +181,8 @@ def describe_with_gaps(spark, sf):
     ),
 )
 def quantiles_narrowed(spark, sf):
-    """The way a table beyond one task's size is ranked, forced on a table of any size."""
     found = tl.quantiles(
-        table(spark, sf, "orders"), ["o_totalprice", "o_custkey"], [0.01, 0.5, 0.999],
-        names=["p1", "p50", "p99_9"], direct_rows=0,
+        table(spark, sf, "orders"), ["o_totalprice", "o_custkey"], [0.01, 0.5, 0.999], names=["p1", "p50", "p99_9"]
     )
     return rounded(found, 6)
 
@@ -198,12 +196,59 @@ def quantiles_narrowed(spark, sf):
     ),
 )
 def quantiles_by_group(spark, sf):
-    found = tl.quantiles(
-        table(spark, sf, "events"), ["value", "user_id"], [0.1, 0.9], by=["event_type"], direct_rows=0
-    )
+    found = tl.quantiles(table(spark, sf, "events"), ["value", "user_id"], [0.1, 0.9], by=["event_type"])
     return rounded(found, 6)
 
 
+@query(
+    "quantiles_many_groups",
+    """SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS customer, 'o_totalprice' AS "column",
+         round_even(quantile_cont(o_totalprice, 0.25), 6) AS p25, round_even(quantile_cont(o_totalprice, 0.5), 6) AS p50
+       FROM orders GROUP BY 1""",
+)
+def quantiles_many_groups(spark, sf):
+    """As many groups as customers, one of which holds a third of the rows."""
+    rows = table(spark, sf, "orders").withColumn(
+        "customer", F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(F.col("o_custkey"))
+    )
+    return rounded(tl.quantiles(rows, ["o_totalprice"], [0.25, 0.5], by=["customer"]), 6)
+
+
+@query(
+    "describe_text_only",
+    """SELECT 0 AS "position", '' AS "column", 0::BIGINT AS "count", 0.0 AS mean, 0.0 AS std, 0.0 AS min, 0.0 AS q1,
+         0.0 AS median, 0.0 AS q3, 0.0 AS max FROM customer WHERE c_custkey IS NULL""",
+)
+def describe_text_only(spark, sf):
+    return tl.describe_numeric(table(spark, sf, "customer").select("c_name", "c_mktsegment"))
+
+
+@query(
+    "eda_text_only",
+    """WITH c AS (SELECT c_mktsegment AS s, nullif(c_mktsegment, 'BUILDING') AS g FROM customer), k AS (SELECT count(*) AS n FROM c)
+    SELECT 'shape' AS section, 'table' AS item, 'n_rows' AS metric, n::DOUBLE AS value_num, NULL AS value_str FROM k
+    UNION ALL SELECT 'shape', 'table', 'n_cols', 2, NULL
+    UNION ALL SELECT 'duplicates', 'table', 'n_duplicates', n - (SELECT count(*) FROM (SELECT DISTINCT s, g FROM c)), NULL FROM k
+    UNION ALL SELECT 'dtypes', x, 'dtype', NULL, 'string' FROM (VALUES ('s'), ('g')) v(x)
+    UNION ALL SELECT 'nulls', 'g', 'n_null', count(*), NULL FROM c WHERE g IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'nulls', 'g', 'null_pct', round_even(100.0 * count(*) / (SELECT n FROM k), 6), NULL FROM c WHERE g IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'target', s, 'n', count(*), NULL FROM c GROUP BY s
+    UNION ALL SELECT 'target', s, 'pct', round_even(count(*) * 100.0::DOUBLE / (SELECT n FROM k), 6), NULL FROM c GROUP BY s""",
+)
+def eda_text_only(spark, sf):
+    rows = table(spark, sf, "customer").selectExpr("c_mktsegment AS s", "nullif(c_mktsegment, 'BUILDING') AS g")
+    return rounded(tl.eda_summary(rows, "s"), 6)
+
+
+@query(
+    "categories_numbers_only",
+    """SELECT 0 AS position, '' AS "column", 0::BIGINT AS n_unique, 0 AS rank, '' AS value, 0::BIGINT AS n, 0.0 AS pct
+       FROM orders WHERE o_orderkey IS NULL""",
+)
+def categories_numbers_only(spark, sf):
+    return tl.categorical_profile(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"))
+
+
 PROFILE_SQL = """
 WITH v AS ({values}),
 t AS (SELECT "column", sum(n) AS total, count(*) AS n_unique FROM v GROUP BY "column"),
@@ -387,9 +432,10 @@ def worst_impact(spark, sf):
 DIRTY = {
     "event_id": "event_id",
     "kind": "CASE WHEN event_id % 5 = 0 THEN concat(' ', event_type, '.. ') "
-    "WHEN event_id % 5 = 1 THEN ' ? ' ELSE event_type END",
+    "WHEN event_id % 5 = 2 THEN concat(chr(9), event_type, chr(160), chr(9)) WHEN event_id % 5 = 1 THEN ' ? ' ELSE event_type END",
     "note": "CASE WHEN user_id % 3 = 0 THEN '?' WHEN user_id % 3 = 1 THEN concat(props, '  ') ELSE props END",
 }
+WHITE = "' ' || chr(9) || chr(160)"
 DIRTY_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in DIRTY.items()) + " FROM events"
 
 
@@ -397,14 +443,14 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").selectExpr(*[f"{e} AS {n}" for n, e in DIRTY.items()])
 
 
-@query("strip_strings", f"SELECT event_id, trim(kind) AS kind, trim(note) AS note FROM ({DIRTY_SQL})")
+@query("strip_strings", f"SELECT event_id, trim(kind, {WHITE}) AS kind, trim(note, {WHITE}) AS note FROM ({DIRTY_SQL})")
 def strip_strings(spark, sf):
     return tl.strip_strings(dirty(spark, sf))
 
 
 @query(
     "sentinel_null",
-    f"SELECT event_id, nullif(trim(kind), '?') AS kind, nullif(trim(note), '?') AS note FROM ({DIRTY_SQL})",
+    f"SELECT event_id, nullif(trim(kind, {WHITE}), '?') AS kind, nullif(trim(note, {WHITE}), '?') AS note FROM ({DIRTY_SQL})",
 )
 def sentinel_null(spark, sf):
     return tl.tokens_to_null(tl.strip_strings(dirty(spark, sf)), ["?"])
@@ -412,14 +458,14 @@ def sentinel_null(spark, sf):
 
 @query(
     "drop_empty_rows",
-    f"""SELECT kind, note FROM (SELECT nullif(trim(kind), '?') AS kind, nullif(trim(note), '?') AS note
+    f"""SELECT kind, note FROM (SELECT nullif(trim(kind, {WHITE}), '?') AS kind, nullif(trim(note, {WHITE}), '?') AS note
         FROM ({DIRTY_SQL})) WHERE kind IS NOT NULL OR note IS NOT NULL""",
 )
 def drop_empty_rows(spark, sf):
     return tl.drop_empty_rows(tl.tokens_to_null(tl.strip_strings(dirty(spark, sf)), ["?"]).drop("event_id"))
 
 
-@query("label_clean", f"SELECT event_id, regexp_replace(trim(kind), '\\.+$', '') AS kind FROM ({DIRTY_SQL})")
+@query("label_clean", f"SELECT event_id, regexp_replace(trim(kind, {WHITE}), '\\.+$', '') AS kind FROM ({DIRTY_SQL})")
 def label_clean(spark, sf):
     return dirty(spark, sf).select("event_id", tl.clean_label(F.col("kind")).alias("kind"))
 
@@ -543,10 +589,22 @@ def corr_with_gaps(spark, sf):
     return rounded(tl.correlations(with_gaps(spark, sf)), 6)
 
 
-@query("corr_wide", _corr_sql(MEASURES, "lineitem", PAIRS, 6))
+# Fourteen columns: offsets, and gaps that follow another column, huge where it is missing.
+WIDE = {
+    f"w{k}": f"CASE WHEN l_partkey % 5 = {k % 5} THEN NULL WHEN l_partkey % 5 = {(k + 1) % 5} THEN 1e7 + l_orderkey "
+    f"ELSE {MEASURES[k % 4]} * {k + 1} + {10**k % 999_983} END"
+    for k in range(14)
+}
+WIDE_SQL = "SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE.items()) + " FROM lineitem"
+
+
+@query(
+    "corr_wide",
+    f"WITH raw AS ({WIDE_SQL}) " + _corr_sql(list(WIDE), "raw", [(i, j) for i in range(14) for j in range(i + 1, 14)], 6),
+)
 def corr_wide(spark, sf):
-    """The way a wide table is summed, as matrices inside the tasks, forced on four columns."""
-    return rounded(tl.correlation_matrix(table(spark, sf, "lineitem"), MEASURES, wide=0), 6)
+    rows = table(spark, sf, "lineitem").selectExpr(*[f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE.items()])
+    return rounded(tl.correlations(rows), 6)
 
 
 @query(
@@ -658,9 +716,10 @@ def chi2_rxc(spark, sf):
     return _chi2(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
 
 
-@query("chi2_sparse", _chi2_sql("customer", "c_nationkey", "c_mktsegment"))
+@query("chi2_sparse", _chi2_sql("orders", "o_custkey", "o_orderdate"))
 def chi2_sparse(spark, sf):
-    return _chi2(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment")
+    """Most pairs of a customer and a day hold no row."""
+    return _chi2(table(spark, sf, "orders"), "o_custkey", "o_orderdate")
 
 
 # With eight degrees of freedom the tail is a finite sum.
@@ -969,7 +1028,8 @@ def class_weights(spark, sf):
 
 ORDER_TEXT = {
     "o_orderkey": "cast(o_orderkey AS string)",
-    "o_orderstatus": "CASE WHEN o_custkey % 6 = 0 THEN '?' WHEN o_custkey % 6 = 1 THEN concat('  ', o_orderstatus) ELSE o_orderstatus END",
+    "o_orderstatus": "CASE WHEN o_custkey % 6 = 0 THEN '?' WHEN o_custkey % 6 = 1 THEN concat('  ', o_orderstatus) "
+    "WHEN o_custkey % 6 = 2 THEN concat(chr(9), o_orderstatus, chr(160)) WHEN o_custkey % 6 = 3 THEN '   ' ELSE o_orderstatus END",
     "o_totalprice": "CASE WHEN o_orderkey % 10 = 0 THEN '?' ELSE cast(o_totalprice AS string) END",
     "o_orderpriority": "CASE WHEN o_custkey % 4 = 0 THEN concat(o_orderpriority, ' ') ELSE o_orderpriority END",
 }
@@ -981,18 +1041,31 @@ ORDER_SCHEMA = T.StructType(
         T.StructField("o_orderpriority", T.StringType()),
     ]
 )
-SCAN_SQL = """SELECT o_orderkey, CASE WHEN o_custkey % 6 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+SCAN_SQL = """SELECT o_orderkey, CASE WHEN o_custkey % 6 IN (0, 3) THEN NULL ELSE o_orderstatus END AS o_orderstatus,
   CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice, o_orderpriority FROM orders"""
 
 
+_ORDER_FILES: dict[tuple[str, str], str] = {}
+
+
 def order_file(spark: SparkSession, sf: str) -> str:
-    """The orders as untidy delimited text, written by Spark to the shared folder."""
+    """The orders as untidy delimited text, written once by Spark to the shared folder."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known in _ORDER_FILES and _exists(spark, _ORDER_FILES[known]):
+        return _ORDER_FILES[known]
     texts = table(spark, sf, "orders").selectExpr(*[f"{e} AS {n}" for n, e in ORDER_TEXT.items()])
     path = staging_path(spark, "orders-text")
-    texts.write.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quoteAll": True}
+    texts.write.options(**keep).csv(path)
+    _ORDER_FILES[known] = path
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 @query("scan_delimited", SCAN_SQL)
 def scan_delimited(spark, sf):
     return tl.read_delimited(spark, order_file(spark, sf), ORDER_SCHEMA)
@@ -1026,6 +1099,26 @@ def reconcile(spark, sf):
     return facts.select("metric", "position", *shown, "equal")
 
 
+@query(
+    "reconcile_unequal",
+    """SELECT metric, position, left_value, right_value, left_value = right_value AS equal FROM (
+      SELECT 'n_rows' AS metric, 0 AS position, count(*) AS left_value, count(*) AS right_value FROM orders
+      UNION ALL SELECT 'n_cols', 1, 2, 2
+      UNION ALL SELECT 'n_null', 2, 0, count(*) FILTER (WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)) FROM orders
+      UNION ALL SELECT 'n_null:o_orderkey', 4, 0, 0
+      UNION ALL SELECT 'n_null:o_totalprice', 5, 0, count(*) FILTER (WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)) FROM orders)
+    UNION ALL SELECT 'fingerprint', 3, NULL, NULL, false""",
+)
+def reconcile_unequal(spark, sf):
+    """One value of one row is missing on the right."""
+    left = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    first = left.agg(F.min("o_orderkey")).scalar()
+    right = left.withColumn("o_totalprice", F.when(F.col("o_orderkey") != first, F.col("o_totalprice")))
+    facts = tl.reconcile(left, right)
+    shown = [F.when(F.col("metric") != "fingerprint", F.col(c)).cast("long").alias(c) for c in ("left_value", "right_value")]
+    return facts.select("metric", "position", *shown, "equal")
+
+
 @query("parquet_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def parquet_roundtrip(spark, sf):
     path = staging_path(spark, "customer")
@@ -1082,16 +1175,112 @@ def rf_quality(spark, sf):
     )
 
 
-@query("rf_report")
+# Test rows per class by largest remainder, as the split gives them.
+QUOTA_SQL = """WITH c AS (SELECT {label} AS label, count(*) AS n FROM {source} GROUP BY 1),
+t AS (SELECT sum(n)::BIGINT AS total, (sum(n) - ceil(0.2 * sum(n)))::BIGINT AS train FROM c),
+s AS (SELECT label, n, n * train // total AS whole, n * train % total AS rest, train FROM c, t),
+q AS (SELECT label, n - whole - CASE WHEN row_number() OVER (ORDER BY rest DESC, label)
+        <= train - (SELECT sum(whole) FROM s) THEN 1 ELSE 0 END AS n_test FROM s)"""
+
+
+@query(
+    "rf_report",
+    QUOTA_SQL.format(label="o_orderstatus", source="orders")
+    + """ SELECT 0 AS position, label, n_test::BIGINT AS support, true AS in_range, true AS agrees FROM q
+    UNION ALL SELECT p, l, (SELECT sum(n_test) FROM q)::BIGINT, true, true
+      FROM (VALUES (1, 'accuracy'), (2, 'macro avg'), (3, 'weighted avg')) v(p, l)""",
+)
 def rf_report(spark, sf):
+    """Rows, exact supports, and whether the measures agree with the confusion cells."""
     found = tl.train_and_evaluate(table(spark, sf, "orders"), ORDERS, size=SMALL, key=["o_orderkey"])
-    return found.report
+    report = tl.stage(found.report, "report")
+    cells = found.confusion.agg(
+        (F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy")
+    ).scalar()
+    measures = [F.col(m).isNull() | F.col(m).between(0.0, 1.0) for m in ("precision", "recall", "f1")]
+    macro = report.where("position = 0").agg(F.avg("f1")).scalar()
+    agrees = (
+        F.when(F.col("label") == "accuracy", F.abs(F.col("f1") - cells) < 1e-12)
+        .when(F.col("label") == "macro avg", F.abs(F.col("f1") - macro) < 1e-12)
+        .otherwise(True)
+    )
+    return report.select("position", "label", "support", (measures[0] & measures[1] & measures[2]).alias("in_range"), agrees.alias("agrees"))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    """SELECT feature, true AS positive, true AS adds_up, feature = 'num__l_quantity' AS first FROM (
+      SELECT unnest(['num__l_quantity', 'num__l_extendedprice', 'num__l_discount', 'num__l_tax']) AS feature
+      UNION ALL SELECT 'cat__l_returnflag_' || l_returnflag FROM lineitem GROUP BY l_returnflag HAVING count(*) >= 10)""",
+)
 def feature_importance(spark, sf):
-    rows = table(spark, sf, "lineitem")
-    return tl.feature_importance(tl.fit_model(rows, LINES, SMALL), rows)
+    """On a label that follows from the quantity: names, order and sum of the importances."""
+    rows = table(spark, sf, "lineitem").withColumn("l_linestatus", F.expr(LEARNABLE))
+    found = tl.feature_importance(tl.fit_model(rows, LINES, SMALL), rows, top_n=100)
+    total, most = found.agg(F.sum("importance"), F.max("importance")).first()
+    return found.select(
+        "feature", (F.col("importance") >= 0).alias("positive"), F.lit(abs(total - 1) < 1e-9).alias("adds_up"),
+        (F.col("importance") == most).alias("first"),
+    )
+
+
+@query(
+    "validation",
+    """SELECT * FROM (VALUES
+      ('t-test groups', 'a t-test takes two groups, found ' || (SELECT count(DISTINCT o_orderstatus) FROM orders)),
+      ('chi-square column', 'nothing'), ('features', 'nothing'), ('target', 'target column not found'),
+      ('missing labels', 'o_orderstatus contains missing values')) v(call, message)""",
+)
+def validation(spark, sf):
+    """Bad calls on the orders, and what each says."""
+    orders = table(spark, sf, "orders")
+    gaps = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")))
+    calls = {
+        "t-test groups": lambda: tl.welch_t(orders, "o_totalprice", "o_orderstatus").collect(),
+        "chi-square column": lambda: tl.chi2_independence(orders, "o_orderstatus", "nothing").collect(),
+        "features": lambda: tl.select_class(orders, "nothing").collect(),
+        "target": lambda: tl.train_and_evaluate(orders.drop("o_orderstatus"), ORDERS, size=SMALL),
+        "missing labels": lambda: tl.train_and_evaluate(gaps, ORDERS, size=SMALL),
+    }
+    known = ("a t-test takes two groups, found %d" % orders.select("o_orderstatus").distinct().count(),
+             "target column not found", "o_orderstatus contains missing values", "nothing")
+    rows = []
+    for name, call in calls.items():
+        try:
+            call()
+            said = "no error"
+        except Exception as e:  # noqa: BLE001 - the messages are what is looked at
+            said = next((k for k in known if k in str(e)), str(e)[:80])
+        rows.append((name, said))
+    return spark.createDataFrame(rows, "call string, message string")
+
+
+@query(
+    "many_classes",
+    """SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS customer, count(*) AS n,
+         round_even((SELECT count(*) FROM orders)::DOUBLE / ((SELECT count(DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN 0
+           ELSE o_custkey END) FROM orders) * count(*)), 6) AS weight FROM orders GROUP BY 1""",
+)
+def many_classes(spark, sf):
+    """Class weights of as many classes as customers, one of which has a third of the rows."""
+    rows = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(F.col("o_custkey")).alias("customer")
+    )
+    weighted = with_class_weight(rows, "customer").groupBy("customer")
+    return rounded(weighted.agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")), 6)
+
+
+@query(
+    "outliers_many_groups",
+    """WITH r AS (SELECT l_orderkey // 2 AS pair, l_quantity AS x FROM lineitem),
+    q AS (SELECT pair, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM r GROUP BY pair),
+    b AS (SELECT pair, least(min(CASE WHEN x >= q1 - 1.5 * (q3 - q1) THEN x END), any_value(q1)) AS low,
+            greatest(max(CASE WHEN x <= q3 + 1.5 * (q3 - q1) THEN x END), any_value(q3)) AS high FROM r JOIN q USING (pair) GROUP BY pair)
+    SELECT pair, x, count(*) AS n FROM r JOIN b USING (pair) WHERE x < low OR x > high GROUP BY pair, x""",
+)
+def outliers_many_groups(spark, sf):
+    rows = table(spark, sf, "lineitem").select((F.floor(F.col("l_orderkey") / 2)).alias("pair"), "l_quantity")
+    return tl.outliers(rows, "l_quantity", "pair")
 
 
 @query("reload_check", "SELECT count(*) AS n_rows, true AS reload_ok FROM orders")
@@ -1103,11 +1292,53 @@ def reload_check(spark, sf):
     return rows.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("reload_ok", F.lit(same))
 
 
-@query("report_table")
+_DESCRIBED = " UNION ALL ".join(
+    f"SELECT 'describe' AS s, 'count' AS m, count({c})::DOUBLE AS v FROM {t} UNION ALL SELECT 'describe', 'mean', avg({c}) FROM {t} "
+    f"UNION ALL SELECT 'describe', 'median', quantile_cont({c}, 0.5) FROM {t} UNION ALL SELECT 'describe', 'max', max({c}) FROM {t}"
+    for c in MEASURES
+    for t in ("raw", "c")
+)
+REPORTED = {
+    "shape": ("n_rows", "n_cols"), "duplicates": ("n_duplicates",), "target": ("n", "pct"), "describe": ("count", "mean", "median", "max"),
+    "majority": ("majority_share",), "history": ("dropped_duplicates", "filled_categorical", "filled_numeric"),
+    "contingency": ("n",), "ratio": ("pct",), "bars": ("count", "avg_quantity"), "correlation": ("r",), "split": ("n_train", "n_test"),
+}
+
+
+@query(
+    "report_table",
+    f"""WITH raw AS (SELECT {', '.join(MEASURES)}, l_returnflag, l_linestatus FROM lineitem), c AS (SELECT DISTINCT * FROM raw),
+    k AS (SELECT count(*)::DOUBLE AS n FROM raw), kc AS (SELECT count(*)::DOUBLE AS n FROM c), x AS (
+      SELECT 'shape' AS s, 'n_rows' AS m, n AS v FROM k UNION ALL SELECT 'shape', 'n_cols', 6
+      UNION ALL SELECT 'duplicates', 'n_duplicates', k.n - kc.n FROM k, kc
+      UNION ALL SELECT 'target', 'n', count(*) FROM raw GROUP BY l_linestatus
+      UNION ALL SELECT 'target', 'pct', count(*) * 100 / (SELECT n FROM k) FROM raw GROUP BY l_linestatus
+      UNION ALL {_DESCRIBED}
+      UNION ALL SELECT 'majority', 'majority_share', max(n) FROM (SELECT count(*) / (SELECT n FROM k) AS n FROM raw GROUP BY l_linestatus)
+      UNION ALL SELECT 'history', 'dropped_duplicates', k.n - kc.n FROM k, kc
+      UNION ALL SELECT 'history', m, 0 FROM (VALUES ('filled_categorical'), ('filled_numeric')) h(m)
+      UNION ALL SELECT 'contingency', 'n', count(*) FROM c GROUP BY l_returnflag, l_linestatus
+      UNION ALL SELECT 'ratio', 'pct', 100.0 * count(*) / sum(count(*)) OVER (PARTITION BY l_returnflag) FROM c GROUP BY l_returnflag, l_linestatus
+      UNION ALL SELECT 'bars', 'count', count(*) FROM c GROUP BY l_returnflag, l_linestatus
+      UNION ALL SELECT 'bars', 'avg_quantity', avg(l_quantity) FROM c GROUP BY l_returnflag, l_linestatus
+      UNION ALL SELECT 'correlation', 'r', r FROM ({_corr_sql(MEASURES, "c", PAIRS, 9)})
+      UNION ALL SELECT 'split', 'n_train', n - ceil(0.2 * n) FROM kc UNION ALL SELECT 'split', 'n_test', ceil(0.2 * n) FROM kc)
+    SELECT s AS section, m AS metric, count(*) AS items, round_even(sum(v), 3) AS total FROM x GROUP BY s, m
+    UNION ALL SELECT 'model', 'reload_ok', 1, 1""",
+)
 def all_results(spark, sf):
-    """Every stage on lineitem, small forest, back as the long report table."""
+    """Every stage on lineitem, small forest, read back from the report it wrote: items and
+    totals of each metric that has SQL, and whether the saved model answers as before."""
     done = tl.run(
         spark, LINES, table(spark, sf, "lineitem").select(*LINES.features, LINES.target),
         staging_path(spark, "run"), size=SMALL,
     )
-    return spark.read.parquet(done.report_path)
+    report = spark.read.parquet(done.report_path)
+    wanted = F.lit(False)
+    for section, metrics in REPORTED.items():
+        wanted = wanted | (F.col("section") == section) & F.col("metric").isin(*metrics)
+    totals = report.where(wanted).groupBy("section", "metric").agg(F.count(F.lit(1)).alias("items"), F.sum("value_num").alias("total"))
+    saved = report.where("section = 'model' AND metric = 'reload_ok'").select(
+        "section", "metric", F.lit(1).cast("long").alias("items"), F.when(F.col("value_str") == "true", 1.0).otherwise(0.0).alias("total")
+    )
+    return rounded(totals.unionByName(saved), 3)

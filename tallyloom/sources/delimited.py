@@ -12,6 +12,11 @@ from tallyloom.functions.text import drop_empty_rows, strip_strings, tokens_to_n
 from tallyloom.spec import col
 
 NULL_TOKENS = ("?",)
+# Further spellings of a missing value that table readers know.
+MORE_NULL_TOKENS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def read_delimited(
@@ -20,20 +25,18 @@ def read_delimited(
     schema: T.StructType,
     null_tokens: Iterable[str] = NULL_TOKENS,
     sep: str = ",",
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Headerless delimited file, columns named and typed by position.
 
-    Blanks around values are dropped, the tokens and blank values are null, blank lines
-    are skipped. A value that does not fit its type is null. All columns are read as text
-    first, so that a token counts as null in a column of any type.
+    White space around values is dropped, the tokens and blank values are null, quoted
+    ones too, and blank lines are skipped. A value that does not fit its type is null. All
+    columns are read as text first, so that a token counts as null in a column of any type.
+    With ``line_breaks`` quoted values may hold some; such files cannot be split, so one
+    task reads each.
     """
-    raw = (
-        _text_reader(spark, schema, sep)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-    )
-    return _typed(tokens_to_null(raw, null_tokens), schema)
+    raw = _text_reader(spark, schema, sep, line_breaks).csv(path)
+    return _typed(tokens_to_null(strip_strings(raw), [*null_tokens, ""]), schema)
 
 
 def read_tolerant(
@@ -42,20 +45,28 @@ def read_tolerant(
     schema: T.StructType,
     null_tokens: Iterable[str] = NULL_TOKENS,
     sep: str = ",",
+    line_breaks: bool = False,
 ) -> DataFrame:
     """As ``read_delimited`` for untidy files.
 
-    Surplus fields of a long line are dropped, all white space around values is
-    stripped before the tokens are looked up, and rows without any value are left out.
+    Surplus fields of a long line are dropped, and rows without any value are left out.
     """
-    raw = _text_reader(spark, schema, sep).option("ignoreLeadingWhiteSpace", True).csv(path)
+    raw = _text_reader(spark, schema, sep, line_breaks).csv(path)
     blank_free = tokens_to_null(strip_strings(raw), [*null_tokens, ""])
     return _typed(drop_empty_rows(blank_free), schema)
 
 
-def _text_reader(spark: SparkSession, schema: T.StructType, sep: str):
+def _text_reader(spark: SparkSession, schema: T.StructType, sep: str, line_breaks: bool):
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    return spark.read.schema(text).option("header", False).option("sep", sep).option("mode", "PERMISSIVE")
+    # A quote is seen only where no blank stands before it.
+    return (
+        spark.read.schema(text)
+        .option("header", False)
+        .option("sep", sep)
+        .option("mode", "PERMISSIVE")
+        .option("ignoreLeadingWhiteSpace", True)
+        .option("multiLine", line_breaks)
+    )
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-SPREAD_ROWS = 10_000_000
-
-
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
     """Overwrite a Parquet table and return its path."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -35,19 +34,35 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A new path below the application's own part of the shared folder."""
-    own = f"{shared_folder(spark)}/tallyloom-{spark.sparkContext.applicationId}"
-    return f"{own}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_part(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_part(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tallyloom-{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove all tables this application has staged, once nobody reads them any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_own_part(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside when it is left; results are read inside."""
+    try:
+        yield
+    finally:
+        clear_staged(spark)
 
 
-def stage(df: DataFrame, label: str = "stage", rows: int | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
     Later steps then scan only the columns they need, and a lost executor costs a
-    re-read and not a recomputation of the steps before. A table known to be of few
-    ``rows`` is spread over all cores; one file of it would be one task later.
+    re-read and not a recomputation of the steps before. ``clear_staged`` and
+    ``staged_tables`` remove them again.
     """
     spark = df.sparkSession
-    if rows is not None and rows <= SPREAD_ROWS:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
     path = write_table(df, staging_path(spark, label))
     return spark.read.schema(df.schema).parquet(path)

@@ -1,39 +1,44 @@
-"""A small census-like table with gaps and copies."""
+"""Rows of the census columns with known gaps and copies.
 
-from pyspark.sql import DataFrame, SparkSession
+Row k of ``people`` holds: an age that is missing in every 40th row, a work class that is
+missing in every 25th, an occupation missing in every 60th. ``copied`` rows follow again.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHOICES = {
-    "workclass": ["Private", "Self-emp", None],
-    "education": ["Bachelors", "HS-grad"],
-    "marital-status": ["Married", "Never-married"],
-    "occupation": ["Sales", "Tech-support", None],
-    "relationship": ["Husband", "Not-in-family"],
-    "race": ["White", "Black"],
-    "sex": ["Male", "Female"],
-    "native-country": ["United-States", "Mexico"],
-    "income": ["<=50K", ">50K"],
+LEVELS = {
+    "workclass": ["Local-gov", "Never-worked", "Without-pay", "Federal-gov"],
+    "education": ["Masters", "Assoc-voc", "10th"],
+    "marital-status": ["Divorced", "Widowed", "Separated"],
+    "occupation": ["Craft-repair", "Priv-house-serv", "Armed-Forces", "Adm-clerical", "Farming-fishing"],
+    "relationship": ["Unmarried", "Own-child", "Wife"],
+    "race": ["Other", "Amer-Indian-Eskimo", "Asian-Pac-Islander"],
+    "sex": ["Female", "Male"],
+    "native-country": ["Peru", "Laos", "Greece", "Cuba"],
+    "income": ["<=50K", "<=50K", ">50K"],
 }
-RANGES = {
-    "age": (20, 65),
-    "fnlwgt": (10_000, 300_000),
-    "education-num": (6, 16),
-    "capital-gain": (0, 5000),
-    "capital-loss": (0, 2000),
-    "hours-per-week": (20, 60),
+NUMBERS = {
+    "age": (17, 90),
+    "fnlwgt": (12_000, 1_400_000),
+    "education-num": (1, 16),
+    "capital-gain": (0, 99_999),
+    "capital-loss": (0, 4_356),
+    "hours-per-week": (1, 99),
 }
+GAPS = {"age": 40, "workclass": 25, "occupation": 60}
 
 
-def census(spark: SparkSession, columns: list[str], rows: int = 200) -> DataFrame:
-    def draw(name: str):
-        h = F.xxhash64("id", F.lit(name))
-        if name in RANGES:
-            low, high = RANGES[name]
-            value = F.pmod(h, F.lit(high - low)) + low
-            return F.when((F.col("id") > 0) | (F.lit(name) != "age"), value).alias(name)
-        values = F.array(*[F.lit(v) for v in CHOICES[name]])
-        return values[F.pmod(h, F.lit(len(CHOICES[name]))).cast("int")].alias(name)
+def people(spark: SparkSession, columns: list[str], rows: int = 600, copied: int = 8) -> DataFrame:
+    def value(name: str) -> Column:
+        h = F.xxhash64(F.lit(f"column {name}"), "id")
+        if name in NUMBERS:
+            low, high = NUMBERS[name]
+            drawn = F.pmod(h, F.lit(high - low + 1)) + low
+        else:
+            drawn = F.element_at(F.array(*map(F.lit, LEVELS[name])), (F.pmod(h, F.lit(len(LEVELS[name]))) + 1).cast("int"))
+        gap = F.col("id") % GAPS[name] == GAPS[name] - 1 if name in GAPS else F.lit(False)
+        return F.when(~gap, drawn).alias(name)
 
-    ids = spark.range(rows)
-    picked = ids.select(*[draw(c) for c in columns])
-    return picked.unionByName(ids.where("id < 5").select(*[draw(c) for c in columns]))
+    table = spark.range(rows).select("id", *[value(c) for c in columns])
+    return table.unionByName(table.where(F.col("id") < copied)).drop("id")

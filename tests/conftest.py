@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from tallyloom.sources.tables import clear_staged  # noqa: E402
+
 
 def make_session(cpus: str | int = 8) -> SparkSession:
     spark = (
@@ -30,4 +32,5 @@ def make_session(cpus: str | int = 8) -> SparkSession:
 def spark() -> SparkSession:
     session = make_session()
     yield session
+    clear_staged(session)
     session.stop()

@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from census import census
+from census import people
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,27 +32,26 @@ SCHEMA = T.StructType(
 
 @pytest.fixture(scope="module")
 def raw(spark):
-    return census(spark, CENSUS_INCOME.schema.names).cache()
+    return people(spark, CENSUS_INCOME.schema.names, rows=600, copied=8).cache()
 
 
-@pytest.fixture(scope="module")
-def cleaned(raw):
-    return tl.clean(raw, CENSUS_INCOME.target)
-
-
-def test_clean_leaves_no_duplicates_and_no_nulls(raw, cleaned):
-    assert tl.duplicate_count(cleaned.table).first()[0] == 0
-    assert tl.total_nulls(cleaned.table).first()[0] == 0
-    history = cleaned.history.first()
-    assert history["dropped_duplicates"] >= 5
-    assert history["filled_numeric"] >= 1
-    assert history["filled_categorical"] > 0
-    assert cleaned.table.count() == raw.count() - history["dropped_duplicates"]
+def test_counts_of_a_table_with_known_gaps_and_copies(raw):
+    nulls = {r["column"]: r["n_null"] for r in tl.null_profile(raw).collect()}
+    assert nulls == {"age": 600 // 40, "workclass": 600 // 25, "occupation": 600 // 60}
+    tidy = tl.clean(raw, CENSUS_INCOME.target)
+    assert tuple(tidy.history.first()) == (8, 600 // 25 + 600 // 60, 600 // 40)
+    assert tidy.table.count() == 600
+    middle = raw.dropDuplicates().agg(F.expr("percentile(age, 0.5)")).first()[0]
+    filled = tidy.table.exceptAll(raw.select([F.col(f"`{c}`").cast(t).alias(c) for c, t in tidy.table.dtypes]))
+    assert {r["age"] for r in filled.where("`marital-status` IS NOT NULL").collect() if r["age"] == middle}
 
 
-def test_clean_leaves_its_input_alone(raw, cleaned):
-    assert tl.total_nulls(raw).first()[0] > 0
-    assert tl.duplicate_count(raw).first()[0] == 5
+def test_cleaned_table_needs_no_second_cleaning(raw):
+    once = tl.stage(tl.clean(raw, CENSUS_INCOME.target).table)
+    again = tl.clean(once, CENSUS_INCOME.target)
+    dropped, text, numbers = again.history.first()
+    # Rows that the fills made equal are copies now.
+    assert text == numbers == 0 and again.table.count() == once.count() - dropped
 
 
 def test_clean_fills_a_long_column_with_a_fractional_median(spark):
@@ -147,6 +146,8 @@ def test_strip_takes_tabs_too(spark):
     df = spark.createDataFrame([("\t >50K.. ",)], "y string")
     assert df.select(tl.clean_label(F.col("y"))).first()[0] == ">50K"
     assert df.select(tl.strip_space(F.col("y"))).first()[0] == ">50K.."
+    wide = spark.createDataFrame([("\u00a0\u3000 x\u200b \u2028",)], "y string")
+    assert wide.select(tl.strip_space(F.col("y"))).first()[0] == "x\u200b"
 
 
 def test_half_even_rounding(spark):
@@ -170,11 +171,51 @@ def test_other_types_are_ignored(spark):
     assert tl.describe_numeric(df).count() == 1
 
 
-def test_eda_has_all_parts(raw):
-    eda = tl.eda_summary(raw, CENSUS_INCOME.target)
-    metrics = {r["metric"] for r in eda.select("metric").distinct().collect()}
-    assert {"n_rows", "n_cols", "n_duplicates", "n_null", "n", "median", "dtype"} <= metrics
-    assert tl.target_share(raw, "nothing").count() == 0
+def test_summary_of_a_table_with_known_gaps_and_copies(raw):
+    rows = {(r["section"], r["item"], r["metric"]): r for r in tl.eda_summary(raw, "income").collect()}
+    assert rows["shape", "table", "n_rows"]["value_num"] == 608
+    assert rows["shape", "table", "n_cols"]["value_num"] == 15
+    assert rows["duplicates", "table", "n_duplicates"]["value_num"] == 8
+    assert rows["nulls", "age", "n_null"]["value_num"] == 15
+    assert rows["dtypes", "age", "dtype"]["value_str"] == "bigint"
+    assert rows["describe", "age", "count"]["value_num"] == 593
+    assert sum(r["value_num"] for k, r in rows.items() if k[0] == "target" and k[2] == "n") == 608
+    assert ("nulls", "sex", "n_null") not in rows and tl.target_share(raw, "nothing").count() == 0
+
+
+def test_tables_of_one_type_class(spark):
+    words = spark.createDataFrame([("a", None), ("b", "c")], "x string, y string")
+    numbers = spark.createDataFrame([(1, 2.0), (3, None)], "x long, y double")
+    assert tl.describe_numeric(words).count() == tl.correlation_matrix(words).count() == 0
+    assert tl.describe_numeric(words).columns == tl.describe_numeric(numbers).columns
+    assert tl.correlation_matrix(words).columns == tl.correlation_matrix(numbers).columns
+    assert tl.categorical_profile(numbers).count() == tl.value_counts(numbers).count() == 0
+    assert {r["section"] for r in tl.eda_summary(words, "x").collect()} == {"shape", "duplicates", "dtypes", "nulls", "target"}
+    assert {r["section"] for r in tl.eda_summary(numbers, "none").collect()} == {"shape", "duplicates", "dtypes", "nulls", "describe"}
+    assert tl.clean(words).table.count() == 2 and tl.clean(numbers).table.count() == 2
+
+
+def test_readers_treat_blanks_alike(spark, tmp_path):
+    path = tmp_path / "blank.csv"
+    path.write_text('1, "  ",2,\u00a0x\u00a0\n2,\t y\t,3,"\u2003"\n')
+    for read in (tl.read_delimited, tl.read_tolerant):
+        rows = sorted(tuple(r) for r in read(spark, str(path), SCHEMA).collect())
+        assert rows == [(1, None, 2, "x"), (2, "y", 3, None)]
+    broken = tmp_path / "broken.csv"
+    broken.write_text('1,"a\nb",2,x\n')
+    assert tl.read_delimited(spark, str(broken), SCHEMA, line_breaks=True).first()["wc"] == "a\nb"
+    assert tl.read_delimited(spark, str(broken), SCHEMA).count() == 2
+
+
+def test_staged_tables_go_with_their_block(spark):
+    from pathlib import Path
+
+    from tallyloom.sources.tables import staging_path
+
+    place = Path(staging_path(spark, "x")).parent
+    before = set(place.iterdir()) if place.exists() else set()
+    kept = [str(p) for p in before]
+    assert tl.stage(spark.range(3)).count() == 3 and len(set(place.iterdir()) - before) == 1 and kept is not None
 
 
 def test_describe_matches_a_known_case(spark):

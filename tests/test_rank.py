@@ -3,8 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tallyloom as tl
-from tallyloom.operators import rank
-from tallyloom.operators.rank import bucket_edges, with_bucket
+from tallyloom.operators.rank import row_numbers, with_stats
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
 
@@ -30,10 +29,9 @@ def table(spark):
     return spark.createDataFrame(pd.DataFrame(samples())).repartition(7).cache()
 
 
-@pytest.mark.parametrize("direct_rows", [1_000_000, 1_000, 0], ids=["direct", "narrowed", "two-level"])
-def test_quantiles_are_exact(spark, table, monkeypatch, direct_rows):
-    monkeypatch.setattr(rank, "KEPT_WHOLE", 1_000)
-    found = tl.quantiles(table, table.columns, PROBS, direct_rows=direct_rows).collect()
+def test_quantiles_are_exact(spark, table):
+    found = tl.quantiles(table, table.columns, PROBS).collect()
+    assert len(found) == len(table.columns)
     for row in found:
         with np.errstate(invalid="ignore"):
             expect = np.quantile(samples()[row["column"]], PROBS)
@@ -41,64 +39,60 @@ def test_quantiles_are_exact(spark, table, monkeypatch, direct_rows):
         assert np.allclose(list(row)[1:], expect, rtol=1e-12), row["column"]
 
 
-@pytest.mark.parametrize("few", [10_000, 1], ids=["few groups", "many groups"])
-@pytest.mark.parametrize("direct_rows", [1_000_000, 1_000, 0])
-def test_quantiles_by_a_hot_group(spark, table, monkeypatch, direct_rows, few):
-    monkeypatch.setattr(rank, "NARROW_GROUPS", few)
-    monkeypatch.setattr(rank, "KEPT_WHOLE", 5_000)
+def test_values_of_all_sizes_and_signs(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.choice([-1, 1], 3000) * 10.0 ** rng.uniform(-320, 308, 3000), [0.0, -0.0, 5e-324, 1.7e308, -1.7e308, -np.inf]])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(5)
+    found = list(tl.quantiles(df, ["x"], [0.1, 0.4999, 0.5, 0.7, 1.0]).first())[1:]
+    assert np.allclose(found, np.quantile(x, [0.1, 0.4999, 0.5, 0.7, 1.0]), rtol=1e-12)
+
+
+def test_quantiles_by_a_hot_group(spark, table):
     # One group holds most rows and most of those share one value.
-    grouped = table.withColumn("g", F.when(F.col("few") > 0, "hot").otherwise("cold"))
-    grouped = grouped.unionByName(table.limit(1).withColumn("g", F.lit(None).cast("string")))
-    found = tl.quantiles(grouped, ["heavy"], PROBS, by=["g"], direct_rows=direct_rows).collect()
-    assert {r["g"] for r in found} == {"hot", "cold"}
-    data = samples()
-    for row in found:
-        part = data["heavy"][(data["few"] > 0) == (row["g"] == "hot")]
-        assert np.allclose(list(row)[2:], np.quantile(part, PROBS), rtol=1e-12)
+    grouped = table.withColumn("value", F.when(F.col("few") > 0, "hot").otherwise("cold"))
+    grouped = grouped.unionByName(table.limit(1).withColumn("value", F.lit(None).cast("string")))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (limit, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            found = tl.quantiles(grouped, ["heavy"], PROBS, by=["value"]).collect()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        assert {r["value"] for r in found} == {"hot", "cold"}
+        data = samples()
+        for row in found:
+            part = data["heavy"][(data["few"] > 0) == (row["value"] == "hot")]
+            assert np.allclose(list(row)[2:], np.quantile(part, PROBS), rtol=1e-12)
+
+
+def test_many_groups_beside_a_large_one(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 1500).alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("x"))
+    frame = df.toPandas().groupby("g")["x"].quantile([0.25, 0.9]).unstack()
+    found = tl.quantiles(df, ["x"], [0.25, 0.9], by=["g"]).collect()
+    assert len(found) == len(frame) > 1000
+    assert all(np.allclose([r["p25"], r["p90"]], frame.loc[r["g"]], rtol=1e-12) for r in found)
 
 
 def test_answers_do_not_depend_on_the_partitions(spark, table):
-    one = tl.quantiles(table.repartition(1), table.columns, PROBS, direct_rows=0).orderBy("column").collect()
-    many = tl.quantiles(table.repartition(8), table.columns, PROBS, direct_rows=0).orderBy("column").collect()
+    one = tl.quantiles(table.repartition(1), table.columns, PROBS).orderBy("column").collect()
+    many = tl.quantiles(table.repartition(8), table.columns, PROBS).orderBy("column").collect()
     assert one == many
 
 
-def test_buckets_keep_order_and_ties(spark, table):
-    keys = table.select("heavy").where("heavy IS NOT NULL")
-    placed = with_bucket(keys, "heavy", bucket_edges(keys, "heavy", ["heavy"], 64), 64)
-    spans = placed.groupBy("bucket").agg(F.min("heavy").alias("lo"), F.max("heavy").alias("hi"))
-    rows = spans.orderBy("bucket").collect()
-    assert len(rows) > 30
-    assert all(a["hi"] < b["lo"] for a, b in zip(rows, rows[1:]))
-    assert placed.groupBy("heavy").agg(F.countDistinct("bucket").alias("n")).where("n > 1").count() == 0
-
-
-def test_quantiles_skip_nulls_and_columns_without_values(spark):
+def test_quantiles_without_values_columns_or_rows(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "x double, y double")
-    for direct_rows in (10, 0):
-        found = tl.quantiles(df, ["x", "y"], [0.5], direct_rows=direct_rows).collect()
-        assert [tuple(r) for r in found] == [("x", 2.0)]
-
-
-@pytest.mark.parametrize("direct_rows", [100, 0])
-def test_small_groups_beside_a_large_one(spark, direct_rows):
-    # A bracket as wide as a share of a small group would miss a neighbour of the rank.
-    sizes = {"a": 1, "b": 2, "c": 3, "d": 195, "e": 1001, "f": 60_000}
-    df = spark.createDataFrame(list(sizes.items()), "g string, n int")
-    df = df.select("g", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("x"))
-    probs = [0.1, 0.25, 0.9]
-    for row in tl.quantiles(df, ["x"], probs, by=["g"], direct_rows=direct_rows).collect():
-        expect = np.quantile(np.arange(1, sizes[row["g"]] + 1), probs)
-        assert np.allclose(list(row)[2:], expect, rtol=1e-12), row["g"]
-
-
-def test_column_with_few_values_in_a_large_table(spark):
-    df = spark.range(60_000).select(
-        F.col("id").cast("double").alias("x"), F.when(F.col("id") % 20_000 == 7, F.col("id")).alias("y")
-    )
-    found = {r["column"]: list(r)[1:] for r in tl.quantiles(df, ["x", "y"], [0.1, 0.5], direct_rows=0).collect()}
-    assert np.allclose(found["x"], np.quantile(np.arange(60_000), [0.1, 0.5]))
-    assert np.allclose(found["y"], np.quantile([7, 20_007, 40_007], [0.1, 0.5]))
+    assert [tuple(r) for r in tl.quantiles(df, ["x", "y"], [0.5]).collect()] == [("x", 2.0)]
+    assert tl.quantiles(df.limit(0), ["x"], [0.5]).count() == 0
+    none = tl.quantiles(df, [], [0.5], by=["x"])
+    assert none.columns == ["x", "column", "p50"] and none.count() == 0
+
+
+def test_row_numbers_and_salted_statistics(spark):
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("v")).repartition(6)
+    assert all(r["v"] == r["rank"] for r in row_numbers(df, [F.col("v").asc()]).collect())
+    stats = df.groupBy((F.col("v") % 3).alias("k")).agg(F.count("*").alias("n"))
+    met = with_stats(df.withColumn("k", F.col("v") % 3), stats, ["k"])
+    assert met.count() == 5000 and met.columns == ["k", "v", "n"]
 
 
 def test_top_per_group_breaks_ties(spark):

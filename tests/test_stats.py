@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from census import census
+from census import people
 from pyspark.sql import functions as F
 
 import tallyloom as tl
@@ -12,7 +12,7 @@ from tallyloom.spec import CENSUS_INCOME
 
 @pytest.fixture(scope="module")
 def cleaned(spark):
-    return tl.clean(census(spark, CENSUS_INCOME.schema.names), "income").table
+    return tl.clean(people(spark, CENSUS_INCOME.schema.names), "income").table
 
 
 def expand(spark, cells, schema):
@@ -155,11 +155,10 @@ def gappy(spark):
     return frame, spark.createDataFrame(frame)
 
 
-@pytest.mark.parametrize("wide", [99, 0], ids=["one aggregate", "matrices"])
-def test_correlation_over_jointly_known_rows(gappy, wide):
+def test_correlation_over_jointly_known_rows(gappy):
     frame, df = gappy
     expect = frame.corr()
-    found = tl.correlation_matrix(df, wide=wide).collect()
+    found = tl.correlation_matrix(df).collect()
     assert len(found) == 25
     for row in found:
         e = expect.loc[row["column_a"], row["column_b"]]
@@ -167,6 +166,35 @@ def test_correlation_over_jointly_known_rows(gappy, wide):
             assert row["r"] is None
         else:
             assert row["r"] == pytest.approx(e, rel=1e-6)
+            assert row["r"] == 1.0 or row["i"] != row["j"]
+
+
+def test_correlation_is_that_of_the_joint_rows_alone(spark):
+    """One column is huge exactly where the other is missing."""
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=400), rng.normal(size=400)
+    rows = [(1e9 + i, None) if i % 2 else (float(a), float(a + b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "x double, y double")
+    found = tl.correlations(df).first()["r"]
+    assert found == pytest.approx(np.corrcoef(x[::2], (x + y)[::2])[0, 1], rel=1e-9)
+
+
+def test_tails_of_many_degrees_of_freedom():
+    from tallyloom.functions.tails import chi2_upper, t_two_sided
+
+    for dof in (19_999, 20_001, 1e6, 1e12):
+        # Wilson and Hilferty's cube root is good to about 1e-6 here.
+        for z in (-2.0, 0.0, 1.0, 3.0):
+            x = dof * (1 - 2 / (9 * dof) + z * (2 / (9 * dof)) ** 0.5) ** 3
+            assert chi2_upper(x, dof) == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), rel=1e-4)
+    assert chi2_upper(19_999.5, 19_999.9) == pytest.approx(chi2_upper(19_999.5, 20_000.1), rel=2e-3)
+    assert t_two_sided(1.5, 1e9) == pytest.approx(math.erfc(1.5 / math.sqrt(2)), rel=1e-6)
+
+
+def test_crosstab_of_many_values(spark):
+    df = spark.range(40_000).select((F.col("id") % 4).alias("a"), (F.col("id") % 12_000).alias("b"))
+    pct = tl.crosstab_pct(df, "a", "b", zeros=False)
+    assert pct.count() == df.distinct().count() and abs(pct.agg(F.sum("pct")).first()[0] - 400) < 1e-6
 
 
 def test_top_correlations_order(spark):
