@@ -38,6 +38,29 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(table(spark, sf, "documents"))
 
 
+ORACLE["op1_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, array_to_string(w[i : i + 49], ' ') AS window_text, i
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)
+), f AS (
+  SELECT window_text, min(doc_id) AS first_id FROM s GROUP BY window_text HAVING min(doc_id) < max(doc_id)
+), r AS (
+  SELECT DISTINCT doc_id, i FROM s JOIN f USING (window_text) WHERE doc_id > first_id
+), p AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+), m AS (
+  SELECT p.doc_id, p.i, p.word, max(CASE WHEN r.i IS NULL THEN 0 ELSE 1 END)
+    OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.i = r.i
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(sum(gone), 0)::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '')) AS kept_sha256
+FROM d LEFT JOIN m ON d.doc_id = m.doc_id GROUP BY d.doc_id, len(d.w)
+"""
+
+
 @query
 def op2_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     return lm_scores(table(spark, sf, "documents"))

@@ -98,44 +98,55 @@ def seen(text: str, lexicon: Lexicon) -> Seen:
     return Seen(len(words), len(found), float(weight), units, upper / max(1, len(text)), marks)
 
 
+def per_hundred(n: float, words: int) -> float:
+    """Rate in a text; short texts count as of fifty words. Any long text meets a unit by
+    chance now and then, so rates and not numbers tell toxic texts apart."""
+    return 100.0 * n / max(50, words)
+
+
 def features(s: Seen, size: int) -> np.ndarray:
     """One number per unit, then those of the whole text."""
     x = np.zeros(size + EXTRA, np.float32)
     for u, n in s.units.items():
-        x[u] = np.log1p(n)
-    rate = s.hits / max(1, s.words)
+        x[u] = np.log1p(per_hundred(n, s.words))
+    rate, weight = per_hundred(s.hits, s.words), per_hundred(s.weight, s.words)
     x[size:] = (
-        np.log1p(s.hits), s.hits >= 1, s.hits >= 2, s.hits >= 3, np.log1p(s.weight),
-        min(1.0, 20 * rate), min(5.0, np.log1p(100 * rate)), np.log1p(s.words) / 5, np.log1p(len(s.units)),
+        np.log1p(rate), min(rate, 3.0), rate >= 0.7, rate >= 1.1, rate >= 1.5, s.hits >= 1, s.hits >= 2,
+        s.hits >= 3, np.log1p(weight), min(weight, 15.0), np.log1p(s.words) / 5,
     )
     return x
 
 
-EXTRA = 9
+EXTRA = 11
 
 
 def votes(s: Seen, size: int) -> np.ndarray:
     """1 where a voter speaks up: lexicons by their units, then patterns."""
     v = np.zeros(GROUPS + len(PATTERNS), np.int8)
-    for u in s.units:
-        v[u % GROUPS] = 1
-    v[GROUPS:] = [bool(p(s)) for p in PATTERNS]
+    least = max(1.0, s.words / 800)
+    met = Counter()
+    for u, n in s.units.items():
+        met[u % GROUPS] += n
+    for g, n in met.items():
+        v[g] = n >= least
+    rate, weight = per_hundred(s.hits, s.words), per_hundred(s.weight, s.words)
+    v[GROUPS:] = [bool(p(s, rate, weight)) for p in PATTERNS]
     return v
 
 
 PATTERNS = (
-    lambda s: s.hits >= 2,
-    lambda s: s.hits >= 3,
-    lambda s: s.hits >= 6,
-    lambda s: s.hits >= 2 and s.hits >= 0.005 * s.words,
-    lambda s: s.hits >= 0.02 * max(50, s.words),
-    lambda s: s.weight >= 6,
-    lambda s: s.weight >= 12,
-    lambda s: len(s.units) >= 4,
-    lambda s: s.units and max(s.units.values()) >= 3,
-    lambda s: s.hits >= 1 and s.shouted > 0.4,
-    lambda s: s.hits >= 1 and s.marks >= 3,
-    lambda s: s.hits == 0,
+    lambda s, rate, weight: rate >= 0.5,
+    lambda s, rate, weight: rate >= 1.0 and s.hits >= 2,
+    lambda s, rate, weight: rate >= 1.5 and s.hits >= 2,
+    lambda s, rate, weight: rate >= 2.5,
+    lambda s, rate, weight: s.hits >= 3 and rate >= 0.8,
+    lambda s, rate, weight: s.hits >= 6 and rate >= 0.8,
+    lambda s, rate, weight: weight >= 4,
+    lambda s, rate, weight: weight >= 8,
+    lambda s, rate, weight: len(s.units) >= 4 and rate >= 0.8,
+    lambda s, rate, weight: s.hits >= 1 and s.shouted > 0.4,
+    lambda s, rate, weight: s.hits >= 1 and s.marks >= 3,
+    lambda s, rate, weight: s.hits == 0,
 )
 
 
@@ -224,7 +235,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", (F.col("toxic") > 0.5).cast("int").alias("toxic"))
     # At most ``rows`` rows of two numbers: bounded, so they are broadcast.
     found = docs.select(id_of().alias("doc_id"), text_of().alias("text")).join(F.broadcast(drawn), "doc_id")
-    return found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).select("text", "toxic")
+    # Of rows that share an id the smallest text is taken, so the bound holds.
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def lexicon_of(sample: DataFrame, units: int) -> dict[int, float]:

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from oracle_check import connect, differences
 from pyspark.sql import types as T
 
 from tallyloom.llm.catalog import QUERIES
@@ -58,6 +59,11 @@ def test_whole_table_against_brute_force(spark):
     assert ours(QUERIES["op1_substring_dedup"](spark, sf)) == brute(rows, 50)
 
 
+def test_query_against_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    assert differences(spark, connect(sf), sf, "op1_substring_dedup") == []
+
+
 def test_empty_table_and_columns_of_the_input(spark):
     empty = spark.createDataFrame([], DOCS)
     assert substring_dedup(empty).count() == 0
