@@ -197,22 +197,22 @@ class Classifier(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.base, -30, 30)))
 
 
-def logistic(x: np.ndarray, q: np.ndarray, weight: np.ndarray, ridge: float, rounds: int = 400) -> tuple[np.ndarray, float]:
+def logistic(x: np.ndarray, q: np.ndarray, ridge: float, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Weights and base of a logistic regression on soft labels, by accelerated
     gradient steps."""
-    mean, spread = x.mean(0), x.std(0) + 0.05
+    mean, spread = x.mean(0), x.std(0) + x.dtype.type(0.05)
     z = (x - mean) / spread
-    n = weight.sum()
-    p = float((q * weight).sum() / n)
+    n = len(q)
+    p = float(q.mean())
     w, base = np.zeros(z.shape[1]), float(np.log(p / (1 - p)))
-    step = 1 / (0.25 * np.linalg.norm(z * np.sqrt(weight / n)[:, None], 2) ** 2 + ridge + 0.25)
+    step = 1 / (0.25 * float(np.linalg.eigvalsh((z.T @ z).astype(float) / n)[-1]) + ridge + 0.25)
     old_w, old_base = w, base
     for k in range(rounds):
         push = k / (k + 3)
         at, at_base = w + push * (w - old_w), base + push * (base - old_base)
-        miss = (1 / (1 + np.exp(-np.clip(z @ at + at_base, -30, 30))) - q) * weight / n
+        miss = (1 / (1 + np.exp(-np.clip(z @ at.astype(z.dtype) + at_base, -30, 30))) - q) / n
         old_w, old_base = w, base
-        w, base = at - step * (miss @ z + ridge * at), at_base - step * miss.sum()
+        w, base = at - step * (miss.astype(z.dtype) @ z + ridge * at), at_base - step * miss.sum()
     w = w / spread
     return w, base - float(mean @ w)
 
@@ -305,14 +305,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, units
     if not size or not len(y):
         share = (y.sum() + 0.5) / (len(y) + 10)
         return Classifier({}, np.zeros(EXTRA), float(np.log(share / (1 - share))))
-    v = np.frombuffer(b"".join(rows.column("votes").to_pylist()), np.int8).reshape(len(y), -1).astype(float)
-    x = np.frombuffer(b"".join(rows.column("features").to_pylist()), np.float32).reshape(len(y), -1)
+    v, x = numbers_of(rows.column("votes"), np.int8, len(y)).astype(float), numbers_of(rows.column("features"), np.float32, len(y))
     v = np.column_stack([v, y])  # the given label is a voter, too
     _, q = LabelModel.fit(v, np.where(y == 1, 0.95, 0.05))
-    w, base = logistic(x.astype(float), q, np.ones(len(q)), ridge=2e-3)
+    w, base = logistic(x, q, ridge=2e-3)
     return Classifier(lexicon, w, base)
 
 
+def numbers_of(column: pa.ChunkedArray, kind: type, rows: int) -> np.ndarray:
+    """Rows of numbers from binary values of equal size, without copies of each."""
+    whole = column.combine_chunks()
+    whole = whole if isinstance(whole, pa.Array) else pa.concat_arrays(whole.chunks)
+    first, last = (int(np.frombuffer(whole.buffers()[1], np.int32)[whole.offset + i]) for i in (0, rows))
+    return np.frombuffer(whole.buffers()[2], np.uint8)[first:last].view(kind).reshape(rows, -1)
+
+
 def score_column(model: Classifier, text: str = "text") -> Column:
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

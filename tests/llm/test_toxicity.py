@@ -91,7 +91,7 @@ def test_logistic_regression():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(4000, 3))
     q = 1 / (1 + np.exp(-(x @ np.array([2.0, -1.0, 0.0]) + 0.5)))
-    w, base = logistic(x, q, np.ones(4000), 1e-6, 2000)
+    w, base = logistic(x, q, 1e-6, 2000)
     assert np.allclose(w, [2, -1, 0], atol=0.05) and abs(base - 0.5) < 0.05
 
 
