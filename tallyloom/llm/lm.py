@@ -123,34 +123,37 @@ class Contexts:
         ]
 
 
-def softmax(logits: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithm of that of the outcome that came."""
-    logits -= logits.max(axis=1, keepdims=True)
-    chosen = logits[np.arange(len(hit)), hit]
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=1, keepdims=True)
-    logits /= total
-    return logits, chosen - np.log(total[:, 0])
-
-
-def summed(weights: np.ndarray, rows: list[np.ndarray], at: slice, start: np.ndarray) -> np.ndarray:
-    out = weights[rows[0][at]]
-    for r in rows[1:]:
-        out += weights[r[at]]
-    out += start
-    return out
-
-
 class Weights:
-    """Rows of weights and the steps that train them."""
+    """Rows of weights and the steps that train them.
+
+    Rows are gathered into arrays that are kept: new ones of this size would be mapped by
+    the system every time, which takes far longer than filling them.
+    """
 
     def __init__(self, classes: np.ndarray | None = None, slots: np.ndarray | None = None) -> None:
         self.classes = np.zeros((CLASS_ROWS, CLASSES), np.float32) if classes is None else classes.copy()
         self.slots = np.zeros((SLOT_ROWS, SLOTS), np.float32) if slots is None else slots.copy()
+        self.tables = (self.classes, self.slots)
+        self.kept = [[np.empty((STEP_TOKENS, t.shape[1]), np.float32) for _ in range(4)] for t in self.tables]
 
     def prepare(self) -> None:
-        self.squares = [np.full_like(self.classes, 1.0), np.full_like(self.slots, 1.0)]
-        self.moved = [np.zeros(len(self.classes), np.float32), np.zeros(len(self.slots), np.float32)]
+        self.squares = [np.full_like(t, 1.0) for t in self.tables]
+        self.moved = [np.zeros(len(t), np.float32) for t in self.tables]
+
+    def _shares(self, which: int, rows: list[np.ndarray], hit: np.ndarray, start: np.ndarray, own: np.ndarray | None):
+        """Probabilities of all outcomes (an array that is kept) and the logarithm of that
+        of the outcome that came."""
+        n = len(hit)
+        out, more = (x[:n] for x in self.kept[which][:2])
+        np.take(self.tables[which], rows[0], axis=0, out=out, mode="clip")
+        for r in rows[1:]:
+            out += np.take(self.tables[which], r, axis=0, out=more, mode="clip")
+        out += start if own is None else np.take(start, own, axis=0, out=more, mode="clip")
+        out -= out.max(axis=1, keepdims=True)
+        chosen = out[np.arange(n), hit]
+        np.exp(out, out=out)
+        total = out.sum(axis=1, keepdims=True)
+        return out, total, chosen - np.log(total[:, 0])
 
     def logs(self, c: Contexts, outcomes: np.ndarray, priors: Priors) -> np.ndarray:
         """Natural logarithm of P(class) P(slot) of each token."""
@@ -158,43 +161,43 @@ class Weights:
         for b in range(0, len(outcomes), STEP_TOKENS):
             at = slice(b, b + STEP_TOKENS)
             own, slot = outcomes[at] // SLOTS, outcomes[at] % SLOTS
-            logits = summed(self.classes, c.classes, at, priors.classes)
-            logits -= logits.max(axis=1, keepdims=True)
-            chosen = logits[np.arange(len(own)), own]
-            out[at] = chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
-            logits = summed(self.slots, c.slots, at, priors.slots[own])
-            logits -= logits.max(axis=1, keepdims=True)
-            chosen = logits[np.arange(len(own)), slot]
-            out[at] += np.where(own > 0, chosen - np.log(np.exp(logits, out=logits).sum(axis=1)), 0.0)
+            out[at] = self._shares(0, [r[at] for r in c.classes], own, priors.classes, None)[2]
+            inner = self._shares(1, [r[at] for r in c.slots], slot, priors.slots, own)[2]
+            out[at] += np.where(own > 0, inner, 0.0)
         return out
 
     def train(self, c: Contexts, outcomes: np.ndarray, priors: Priors) -> None:
         for b in range(0, len(outcomes), STEP_TOKENS):
             at = slice(b, b + STEP_TOKENS)
             own, slot = outcomes[at] // SLOTS, outcomes[at] % SLOTS
-            miss, _ = softmax(summed(self.classes, c.classes, at, priors.classes), own)
-            miss[np.arange(len(own)), own] -= 1
-            for rows in c.classes:
-                self._step(0, self.classes, rows[at], miss)
-            inner = np.flatnonzero(own > 0)
-            if len(inner):
-                start = priors.slots[own[inner]]
-                rows = [r[at][inner] for r in c.slots]
-                miss, _ = softmax(summed(self.slots, rows, slice(None), start), slot[inner])
-                miss[np.arange(len(inner)), slot[inner]] -= 1
+            for which, rows, hit in ((0, c.classes, own), (1, c.slots, slot)):
+                rows = [r[at] for r in rows]
+                miss, total, _ = self._shares(which, rows, hit, (priors.classes, priors.slots)[which], own if which else None)
+                miss /= total
+                miss[np.arange(len(hit)), hit] -= 1
+                if which:
+                    miss[own == 0] = 0  # the end has one slot
                 for r in rows:
-                    self._step(1, self.slots, r, miss)
+                    self._step(which, r, miss)
 
-    def _step(self, which: int, weights: np.ndarray, rows: np.ndarray, miss: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
+    def _step(self, which: int, rows: np.ndarray, miss: np.ndarray) -> None:
+        _, more, sums, old = self.kept[which]
+        order = np.argsort(rows.astype(np.int16), kind="stable")
         ordered = rows[order]
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        gradient = np.add.reduceat(miss[order], first, axis=0)
         own = ordered[first]
-        squares = self.squares[which]
-        total = squares[own] + gradient * gradient
-        squares[own] = total
-        weights[own] -= RATE * gradient / np.sqrt(total)
+        k = len(own)
+        np.take(miss, order, axis=0, out=more[: len(rows)], mode="clip")
+        gradient = np.add.reduceat(more[: len(rows)], first, axis=0, out=sums[:k])
+        total = np.take(self.squares[which], own, axis=0, out=old[:k], mode="clip")
+        total += np.multiply(gradient, gradient, out=more[:k])
+        self.squares[which][own] = total
+        np.sqrt(total, out=total)
+        gradient /= total
+        gradient *= RATE
+        now = np.take(self.tables[which], own, axis=0, out=more[:k], mode="clip")
+        now -= gradient
+        self.tables[which][own] = now
         self.moved[which][own] += np.diff(np.append(first, len(rows)))
 
 
