@@ -37,6 +37,7 @@ GROUPS = 24
 SEEN = 20.0  # smallest likelihood ratio statistic of a lexicon unit
 LIFT = 3.0
 LETTERS = re.compile(r"[^\W\d_]+")
+LABEL_ERROR = 0.1
 REPEATED = 1 << 19  # marks units that occur twice or more
 
 
@@ -165,20 +166,29 @@ class LabelModel(NamedTuple):
         return np.log(self.prior / (1 - self.prior)) + v @ up + (1 - v) @ down
 
     @staticmethod
-    def fit(v: np.ndarray, start: np.ndarray, rounds: int = 25) -> tuple[LabelModel, np.ndarray]:
-        """Expectation maximisation from the posteriors given."""
+    def fit(v: np.ndarray, start: np.ndarray, rounds: int = 25, given: bool = False) -> tuple[LabelModel, np.ndarray]:
+        """Expectation maximisation from the posteriors given. If the last voter is a
+        ``given`` label, at most ``LABEL_ERROR`` of the labels of a class are taken to be
+        wrong, and it counts whole."""
         q = start
         for _ in range(rounds):
             prior = float(np.clip(q.mean(), 0.001, 0.999))
             toxic = np.clip((q @ v + 0.5) / (q.sum() + 1), 0.001, 0.999)
             clean = np.clip(((1 - q) @ v + 0.5) / ((1 - q).sum() + 1), 0.001, 0.999)
+            if given:
+                toxic[-1], clean[-1] = max(toxic[-1], 1 - LABEL_ERROR), min(clean[-1], LABEL_ERROR / 10)
             rest = v - np.outer(q, toxic) - np.outer(1 - q, clean)
             covariance = rest.T @ rest / len(v)
             spread = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
-            correlation = np.abs(covariance / np.outer(spread, spread))
+            # Voters that speak up together count for less; the posteriors themselves make
+            # strong voters look opposed to each other, which is left out.
+            correlation = np.maximum(covariance / np.outer(spread, spread), 0)
             np.fill_diagonal(correlation, 0)
             correlation[correlation < 0.1] = 0
-            model = LabelModel(prior, toxic, clean, 1 / (1 + correlation.sum(1)))
+            share = 1 / (1 + correlation.sum(1))
+            if given:
+                share[-1] = 1.0
+            model = LabelModel(prior, toxic, clean, share)
             new = 1 / (1 + np.exp(-np.clip(model.logits(v), -30, 30)))
             if np.abs(new - q).max() < 1e-4:
                 return model, new
@@ -307,7 +317,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, units
         return Classifier({}, np.zeros(EXTRA), float(np.log(share / (1 - share))))
     v, x = numbers_of(rows.column("votes"), np.int8, len(y)).astype(float), numbers_of(rows.column("features"), np.float32, len(y))
     v = np.column_stack([v, y])  # the given label is a voter, too
-    _, q = LabelModel.fit(v, np.where(y == 1, 0.95, 0.05))
+    _, q = LabelModel.fit(v, np.where(y == 1, 0.95, 0.05), given=True)
     w, base = logistic(x, q, ridge=2e-3)
     return Classifier(lexicon, w, base)
 
