@@ -29,9 +29,9 @@ LIST_ROWS = 4000
 MOST_LISTS = 4096
 SUBSPACES = 8
 CODES = 256
-# A vector behind a border lies on no special direction, so this share of the largest
-# possible distance covers nearly all; 1 would cover all of them.
-REACH = 0.6
+# Share of the largest distance of linked vectors within which a list's border is probed;
+# 1 finds every link from both of its ends, less would lose some.
+REACH = 1.0
 BLOCK = 4096
 QUERIES = 256
 
@@ -90,7 +90,7 @@ class Quantiser(NamedTuple):
             np.maximum((self.centres**2).sum(1)[own][:, None] + (self.centres**2).sum(1) - 2 * self.centres[own] @ self.centres.T, 0)
         )
         border = (d - d[np.arange(len(x)), own][:, None]) / np.maximum(2 * between, 1e-12)
-        near = border <= reach * far
+        near = border <= reach * far + 1e-6
         near[np.arange(len(x)), own] = True
         rows, lists = np.nonzero(near)
         return own, rows, lists

@@ -64,6 +64,19 @@ def test_recall_of_the_reach(spark):
     assert want > 1000 and 0.95 * want <= got <= want
 
 
+def test_links_along_a_line_are_found_from_both_ends(spark):
+    """Production reach on vectors that differ straight across the list borders."""
+    rng = np.random.default_rng(2)
+    turn = np.sort(rng.uniform(0, np.pi, 1200))
+    plane = np.linalg.qr(rng.normal(size=(16, 2)))[0]
+    x = (np.stack([np.cos(turn), np.sin(turn)], 1) @ plane.T).astype(np.float32)
+    rows = [(i, [float(e) for e in v], 0, "n") for i, v in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in vector_links(spark.createDataFrame(rows, SCHEMA), list_rows=60).collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert [got[i] for i in range(len(x))] == want.tolist()
+
+
 def test_table_distances_are_those_of_the_codes():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 24))
