@@ -7,11 +7,16 @@ hashed weight rows, one row for each feature of the context: the word before, th
 words before, the classes of these, and the words two and three back (skips); for slots
 the word before together with the class, and whether the word before was of this class
 and which slot it had. Without weights they give the corpus shares of classes and slots.
-P(word | slot) comes from the counts of all words of the training texts, so the size of
-the model does not depend on the vocabulary.
+P(word | slot) comes from the counts of all words of the training texts.
 
-Texts are encoded once, in blocks with a dictionary each. Counts of words are joined to
-the dictionaries of the blocks. Weights are trained in rounds over parts of the training
+That is where the words before were not met. Where they were, counts of all word pairs
+and triples of the training texts are mixed in, with a weight that grows with the count
+of the words before (a Dirichlet prior around the order below). No pair or triple is left
+out, so what is gathered grows with the corpus. Counts are kept in shards by hash: every
+block sends its distinct words, pairs and triples with their counts to the shards, which
+add them up and send the sums back.
+
+Texts are encoded once, in blocks with a dictionary each. Weights are trained in rounds over parts of the training
 documents: every task takes gradient steps over its blocks from the same weights, and
 its change is averaged with those of the others, row by row, by the number of tokens
 that moved it.
@@ -43,6 +48,10 @@ STEP_TOKENS = 8192
 SEGMENTS = 16
 END_WORD = b" "  # no word has a blank
 
+# Counts of words after so many words, and the strength of the prior around the order below.
+PRIOR = {1: 64.0, 2: 16.0}
+SHARD_TOKENS = 1 << 19
+
 CLASS_FEATURES = 5
 CLASS_ROWS = CLASS_FEATURES * ROWS
 SLOT_ROWS = 2 * ROWS + SLOTS + 1
@@ -240,6 +249,7 @@ def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BLOCK_SCHEMA = pa.schema(
     [("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("held", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int32())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("outcomes", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))]
 )
+SCORED = ["ids", "sizes", "held", "tokens", "outcomes", "hashes"]
 BLOCK_DDL = "block long, ids array<long>, sizes array<int>, held array<boolean>, tokens array<int>, words array<string>, counts array<long>, outcomes array<int>, hashes array<long>"
 
 
@@ -264,6 +274,85 @@ def stretches(sizes: np.ndarray, least: int = 1 << 17) -> Iterator[tuple[int, in
         first = last
 
 
+def gram_keys(hashes: np.ndarray, begins: np.ndarray, order: int) -> np.ndarray:
+    """Keys of the tokens with the ``order`` words before each."""
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    keys = np.full(len(hashes), order, np.uint64)
+    for k in range(order + 1):
+        h = np.zeros(len(hashes), np.uint64)
+        at = np.flatnonzero(begins >= k)
+        h[at] = hashes[at - k]
+        keys = mixed(keys * odd + h)
+    return keys
+
+
+def grams(hashes: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Order, distinct keys and places of the tokens among these: words, pairs, triples."""
+    for order in range(len(PRIOR) + 1):
+        yield order, *np.unique(gram_keys(hashes, begins, order), return_inverse=True)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, as their high bytes are mostly equal."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(x: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def gram_counts(blocks: DataFrame, tokens: int) -> DataFrame:
+    """block, shard, kind (the order), n: the corpus counts of the distinct keys of each
+    block, cut by shard, in the order of the keys."""
+    shards = max(1, tokens // SHARD_TOKENS)
+    schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, sizes, held, numbers, hashes in rows_of(batches):
+            training = ~np.repeat(held, sizes)
+            for kind, distinct, at in grams(hashes.view(np.uint64)[numbers], places(sizes)):
+                n = np.bincount(at[training], minlength=len(distinct)).astype(np.int64)
+                shard = ((distinct >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                own, first = np.unique(shard, return_index=True)
+                cuts = list(zip(first, np.append(first[1:], len(shard))))
+                yield batch(
+                    schema, shard=own.astype(np.int32), block=[block] * len(own), kind=[kind] * len(own),
+                    keys=[packed(np.diff(distinct[a:b], prepend=np.uint64(0))) for a, b in cuts], n=[packed(n[a:b]) for a, b in cuts],
+                )
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("keys").to_pylist()]
+        n = np.concatenate([unpacked(x, np.int64) for x in table.column("n").to_pylist()])
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, weights=n, minlength=len(distinct)).astype(np.int64)[at]
+        cut = np.cumsum([len(k) for k in keys])[:-1]
+        return pa.table(
+            {c: table.column(c) for c in ("block", "shard", "kind")} | {"n": pa.array([packed(x) for x in np.split(total, cut)], pa.binary())}
+        )
+
+    return (
+        blocks.select("block", "sizes", "held", "tokens", "hashes")
+        .mapInArrow(ask, "shard int, block long, kind int, keys binary, n binary")
+        .groupBy("shard")
+        .applyInArrow(answer, "block long, shard int, kind int, n binary")
+    )
+
+
+def with_grams(logs: np.ndarray, met: dict[int, np.ndarray], begins: np.ndarray, documents: int) -> np.ndarray:
+    """Logarithms of the probabilities of tokens, given those of the lowest order, and how
+    often training has each token alone, with the word before and with the two before.
+
+    The words before a token were followed by some token as often as training has them;
+    the begin of a text, as often as there are texts.
+    """
+    p = np.exp(logs)
+    for order, strength in PRIOR.items():
+        before = np.concatenate([[0], met[order - 1][:-1]])
+        before[begins == 0] = documents
+        p = (met[order] + strength * p) / (before + strength)
+    return np.log(p)
+
+
 def trained(blocks: DataFrame, priors: Priors, tokens: int, rounds: int, worker_tokens: int) -> Weights:
     """Weights after gradient steps of all tasks, averaged after each round."""
     spark = blocks.sparkSession
@@ -335,53 +424,54 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS, worker_tokens: int = WORKER
     bounded_batches(spark)
     out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
     blocks = stage(docs.select(id_of().alias("doc_id"), out.alias("held"), text_of().alias("text")).mapInArrow(encode, BLOCK_DDL), "blocks")
-    words = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts", "outcomes"))).select(
-        "block", F.col("pos").alias("place"), F.col("col.words").alias("word"), F.col("col.counts").alias("n"), F.col("col.outcomes").alias("outcome")
-    )
-    counts = stage(
-        words.filter("n > 0").groupBy("word").agg(F.sum("n").alias("count"), F.any_value("outcome").alias("outcome")), "counts"
+    words = blocks.select(F.explode(F.arrays_zip("words", "counts", "outcomes")).alias("col")).select(
+        F.col("col.words").alias("word"), F.col("col.counts").alias("n"), F.col("col.outcomes").alias("outcome")
     )
+    counts = words.filter("n > 0").groupBy("word").agg(F.sum("n").alias("count"), F.any_value("outcome").alias("outcome"))
     totals = counts.groupBy("outcome").agg(F.sum("count").alias("count"), F.count("*").alias("types")).orderBy("outcome").toArrow()
     got = [totals.column(c).to_numpy() for c in ("outcome", "count", "types")]
     n, v = int(got[1].sum()), int(got[2].sum())
     priors = Priors.of(*got)
     weights = trained(blocks, priors, n, rounds, worker_tokens)
-    known = (
-        words.select("block", "place", "word")
-        .join(counts.select("word", "count"), "word", "left")
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("place", F.coalesce("count", F.lit(0)).alias("count")))).getField("count").alias("known"))
-    )
+    documents = int(got[1][got[0] == 0].sum())
     shared = spark.sparkContext.broadcast((weights.classes, weights.slots, tuple(priors)))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     )
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(block: pa.Table, answers: pa.Table) -> pa.Table:
         classes, slots, own_priors = shared.value
         own_priors = Priors(*own_priors)
         model = Weights(classes, slots)
-        for ids, sizes, held, numbers, outcomes, hashes, count in rows_of(batches):
+        sums: dict[int, list] = {}
+        for kind, _, found in sorted(zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "n")))):
+            sums.setdefault(kind, []).append(unpacked(found, np.int64))
+        out = []
+        for ids, sizes, held, numbers, outcomes, hashes in rows_of(block.select(SCORED).to_batches()):
             hashes = hashes.view(np.uint64)
-            base = np.log10((count + 0.5) / (n + 0.5 * (v + 1)))
-            inside = np.where(outcomes > 0, np.log((count + 0.5) / own_priors.mass[outcomes]), 0.0)
+            met = {kind: np.concatenate(sums[kind])[at] for kind, _, at in grams(hashes[numbers], places(sizes))}
             for a, b in stretches(sizes):
                 begin = int(sizes[:a].sum())
                 part = sizes[a:b].astype(np.int64)
-                flat = numbers[begin : begin + int(part.sum())]
-                outs = outcomes[flat]
+                here = slice(begin, begin + int(part.sum()))
+                flat, own = numbers[here], {kind: x[here] for kind, x in met.items()}
+                outs, count = outcomes[flat], own[0]
                 first = np.cumsum(part) - part
-                logs = model.logs(Contexts(hashes[flat], outs, places(part)), outs, own_priors) + inside[flat]
-                yield batch(
+                base = np.log10((count + 0.5) / (n + 0.5 * (v + 1)))
+                inside = np.where(outs > 0, np.log((count + 0.5) / own_priors.mass[outs]), 0.0)
+                logs = model.logs(Contexts(hashes[flat], outs, places(part)), outs, own_priors) + inside
+                logs = with_grams(logs, own, places(part), documents)
+                out.append(batch(
                     schema, doc_id=ids[a:b], held_out=held[a:b], n_tokens=part,
-                    n_known=np.add.reduceat((count[flat] > 0).astype(np.int64), first), train_tokens=np.full(len(part), n, np.int64),
-                    base_score=np.add.reduceat(base[flat], first), score=np.add.reduceat(logs, first) / np.log(10),
-                )
+                    n_known=np.add.reduceat((count > 0).astype(np.int64), first), train_tokens=np.full(len(part), n, np.int64),
+                    base_score=np.add.reduceat(base, first), score=np.add.reduceat(logs, first) / np.log(10),
+                ))
+        return pa.Table.from_batches(out, schema)
 
     return (
-        blocks.select("block", "ids", "sizes", "held", "tokens", "outcomes", "hashes")
-        .join(stage(known, "known"), "block")
-        .select("ids", "sizes", "held", "tokens", "outcomes", "hashes", "known")
-        .mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        blocks.select("block", *SCORED)
+        .groupBy("block")
+        .cogroup(gram_counts(blocks, n).groupBy("block"))
+        .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
         .withColumn("doc_id", id_back("doc_id"))
     )

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tallyloom.llm.catalog import QUERIES
+from tallyloom.llm import lm
 from tallyloom.llm.lm import CLASS_ROWS, CLASSES, SLOT_ROWS, SLOTS, Contexts, Priors, Weights, lm_scores, outcome_of
 
 DOCS = "doc_id long, text string, score string"
@@ -104,3 +105,53 @@ def test_training_lowers_the_loss():
     after.train(c, outcomes[flat], priors)
     assert after.classes.shape == (CLASS_ROWS, CLASSES) and after.slots.shape == (SLOT_ROWS, SLOTS)
     assert after.logs(c, outcomes[flat], priors).mean() > before.logs(c, outcomes[flat], priors).mean() + 0.5
+
+
+@pytest.mark.parametrize("shard_tokens", [1 << 19, 50])
+def test_context_tells_words_of_a_slot_apart(spark, monkeypatch, shard_tokens):
+    """Two words of one class and slot, equally frequent, each after a word of its own."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", shard_tokens)
+    of = outcome_of(b"w0ing")
+    x, y = [w for w in (f"w{i}ing" for i in range(9999)) if outcome_of(w.encode()) == of][:2]
+    own = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5 != 1][:400]
+    held = [i for i in range(600, 700) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows = [(i, f"qq {y} zz" if k % 2 else f"pp {x} zz") for k, i in enumerate(own)]
+    rows += [(held[0], f"pp {x} zz"), (held[1], f"pp {y} zz")]
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], DOCS).repartition(3)
+    got = {r.doc_id: r.score for r in lm_scores(df).collect()}
+    assert got[held[0]] > got[held[1]] + 0.5
+
+
+def test_counts_of_grams_are_those_of_the_whole_corpus(spark, monkeypatch):
+    """Scores from brute-force counts of pairs and triples around the same lowest order."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("a b c d e f g".split()) for _ in range(rng.randint(0, 30)))) for i in range(150)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], DOCS).repartition(3)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 100)
+    got = {r.doc_id: r.score for r in lm_scores(df, rounds=0).collect()}
+    seen, count = Counter(), Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            w = [None, None, *tokens(t)[:-1], "END"]
+            count.update(w[2:])
+            for k in range(2, len(w)):
+                seen.update([(1, w[k - 1]), (1, w[k - 1], w[k]), (2, w[k - 1], w[k - 2]), (2, w[k - 1], w[k - 2], w[k])])
+    slot, types = Counter(), Counter()
+    of = lambda w: 0 if w == "END" else outcome_of(w.encode())
+    for w, c in count.items():
+        slot[of(w)] += c
+        types[of(w)] += 1
+    keys = sorted(slot)
+    priors = Priors.of(np.array(keys), np.array([float(slot[k]) for k in keys]), np.array([types[k] for k in keys]))
+    for i, t in rows:
+        w = [None, None, *tokens(t)[:-1], "END"]
+        want = 0.0
+        for k in range(2, len(w)):
+            o = of(w[k])
+            p = math.exp(priors.classes[o // SLOTS])
+            if o:
+                p *= math.exp(priors.slots[o // SLOTS, o % SLOTS]) * (count[w[k]] + 0.5) / priors.mass[o]
+            p = (seen[1, w[k - 1], w[k]] + 64 * p) / (seen[1, w[k - 1]] + 64)
+            p = (seen[2, w[k - 1], w[k - 2], w[k]] + 16 * p) / (seen[2, w[k - 1], w[k - 2]] + 16)
+            want += math.log10(p)
+        assert got[i] == pytest.approx(want, abs=1e-3)
