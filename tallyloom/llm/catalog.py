@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyloom.llm.bytebpe import decode_documents, encode_documents, ids_text
+from tallyloom.llm.infill import fill_in_middle, restored
 from tallyloom.llm.lm import lm_scores
 from tallyloom.llm.merkle import document_fingerprints
 from tallyloom.llm.mixing import label_quality, mix
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.simhash import simhash_groups
+from tallyloom.llm.spelling import spelling_variants, word_counts
 from tallyloom.llm.substring import substring_dedup
 from tallyloom.llm.tokens import read_tokens, write_tokens
 from tallyloom.llm.toxicity import toxicity
@@ -178,3 +182,59 @@ def op9_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_tokens(write_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, sf, "documents"), spoil=31))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    decoded = decode_documents(encode_documents(table(spark, sf, "documents"), ranks), ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(ids_text().cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf, "documents"))
+    text = restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h FROM documents
+), l AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+         [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS h FROM d
+), c AS (
+  SELECT *, len(u)::BIGINT AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+         greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100
+           THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l
+), p AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1:n], ''), '') AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
