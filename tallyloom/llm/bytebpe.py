@@ -10,8 +10,8 @@ The pieces are those of this pattern, matched from left to right:
 
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 
-Each is a slice of the text's bytes; pairs are merged by rank inside it, and the ids of
-pieces are remembered. The byte at which each token ends is kept beside its id, so that a
+Each is a slice of the text's bytes; pairs are merged by rank inside it, new pieces of one
+length abreast, and the ids of pieces are remembered. The byte at which each token ends is kept beside its id, so that a
 part of a text can be decoded without the rest.
 """
 
@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,9 @@ BLOCK = 256
 CHARS_AT_ONCE = 1 << 21
 PIECES_AT_ONCE = 1 << 18
 PIECES_HELD = 1 << 18
-LONG_PIECE = 64  # bytes; longer pieces are not remembered
-HEAP_FROM = 200  # bytes; longer pieces are merged by heap, so that none is quadratic
+# Bytes; longer pieces are merged by heap, so that none is quadratic, and not remembered.
+LONG_PIECE = 64
+CELLS = 1 << 19  # bytes of pieces that are merged at once
 NEVER = 1 << 40
 
 
@@ -193,43 +196,104 @@ class Ranks:
             names[rank] = token
         return names
 
+    @cached_property
+    def single(self) -> np.ndarray:
+        """The id of each byte."""
+        return np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of ids that are a token together, sorted, and its id."""
+        ranks, found = self.ranks, {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = rank
+        keys = np.array(sorted(found), np.int64)
+        return np.append(keys, np.int64(2**63 - 1)), np.array([*map(found.get, keys.tolist()), NEVER])
+
+    @cached_property
+    def byte_pairs(self) -> np.ndarray:
+        """The id that two bytes have together, by both of them."""
+        both = self.single[:, None] << 32 | self.single[None, :]
+        return self._together(both.ravel()).reshape(256, 256)
+
+    def _together(self, pairs: np.ndarray) -> np.ndarray:
+        keys, ids = self.pairs
+        at = np.searchsorted(keys, pairs)
+        return np.where(keys[at] == pairs, ids[at], NEVER)
+
+    def learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of new pieces as 32-bit numbers; those that are not long are remembered."""
+        found, by_length = {}, defaultdict(list)
+        for p in pieces:
+            whole = self.ranks.get(p)
+            if whole is not None:
+                found[p] = whole.to_bytes(4, "little")
+            elif len(p) > LONG_PIECE:
+                found[p] = np.array(self.merge_by_heap(p), "<u4").tobytes()
+            else:
+                by_length[len(p)].append(p)
+        for length, some in by_length.items():
+            for i in range(0, len(some), max(1, CELLS // length)):
+                part = some[i : i + max(1, CELLS // length)]
+                found.update(zip(part, self.merge_abreast(part)))
+        return found
+
     def of(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece as 32-bit numbers."""
-        new = set(pieces).difference(self.held)
-        if len(self.held) + len(new) > PIECES_HELD:
-            self.held.clear()
+        held = self.held
+        new = {p for p in pieces if p not in held}
+        if len(held) + len(new) > PIECES_HELD:
+            held.clear()
             new = set(pieces)
-        found = {p: np.array(self.merge(p), "<u4").tobytes() for p in new}
-        self.held.update((p, ids) for p, ids in found.items() if len(p) <= LONG_PIECE)
-        if all(len(p) <= LONG_PIECE for p in new):
-            return list(map(self.held.__getitem__, pieces))
-        return [found[p] if len(p) > LONG_PIECE else self.held[p] for p in pieces]
-
-    def merge(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        return self._merge_short(piece) if len(piece) < HEAP_FROM else self._merge_long(piece)
-
-    def _merge_short(self, piece: bytes) -> list[int]:
-        """Merge the adjacent pair of lowest rank, the left one of equals, until none has any."""
-        rank = self.ranks.get
-        at = list(range(len(piece) + 1))
-        pairs = [rank(piece[i : i + 2], NEVER) for i in range(len(piece) - 1)]
-        while pairs:
-            low = min(pairs)
-            if low == NEVER:
-                break
-            i = pairs.index(low)
-            del at[i + 1], pairs[i]
-            if i < len(pairs):
-                pairs[i] = rank(piece[at[i] : at[i + 2]], NEVER)
-            if i:
-                pairs[i - 1] = rank(piece[at[i - 1] : at[i + 1]], NEVER)
-        return [self.ranks[piece[a:b]] for a, b in zip(at, at[1:])]
-
-    def _merge_long(self, piece: bytes) -> list[int]:
-        """The same with a heap of pairs and links between neighbours."""
+        found = self.learn(new)
+        long = {p: found[p] for p in found if len(p) > LONG_PIECE}
+        held.update(found)
+        ids = list(map(held.__getitem__, pieces))
+        for p in long:
+            del held[p]
+        return ids
+
+    def merge_abreast(self, pieces: list[bytes]) -> list[bytes]:
+        """Merge pieces of one length: in each the adjacent pair of lowest rank, the left one
+        of equals, until none has any. All that go on have equally many tokens."""
+        letters = np.frombuffer(b"".join(pieces), np.uint8).reshape(len(pieces), -1)
+        out: list[bytes] = [b""] * len(pieces)
+        rows = np.arange(len(pieces))
+        ids, ranks = self.single[letters], self.byte_pairs[letters[:, :-1], letters[:, 1:]]
+        while len(rows):
+            n = ids.shape[1]
+            at = ranks.argmin(axis=1) if n > 1 else np.zeros(len(rows), np.int64)
+            low = ranks[np.arange(len(rows)), at] if n > 1 else np.full(len(rows), NEVER)
+            done = low == NEVER
+            if done.any():
+                data = ids[done].astype("<u4").tobytes()
+                for k, row in enumerate(rows[done].tolist()):
+                    out[row] = data[4 * n * k : 4 * n * (k + 1)]
+                go = ~done
+                rows, ids, ranks, at, low = rows[go], ids[go], ranks[go], at[go], low[go]
+                if not len(rows):
+                    break
+            each = np.arange(len(rows))
+            # The token behind the merged one goes, and with it the pair it began.
+            keep = np.arange(n - 1) + (np.arange(n - 1) > at[:, None])
+            ids = np.take_along_axis(ids, keep, axis=1)
+            ids[each, at] = low
+            if n == 2:
+                ranks = np.zeros((len(rows), 0), np.int64)
+                continue
+            keep = np.arange(n - 2) + (np.arange(n - 2) >= at[:, None])
+            ranks = np.take_along_axis(ranks, keep, axis=1)
+            for a in (at - 1, at):
+                inside = (a >= 0) & (a < n - 2)
+                r, c = each[inside], a[inside]
+                ranks[r, c] = self._together(ids[r, c] << 32 | ids[r, c + 1])
+        return out
+
+    def merge_by_heap(self, piece: bytes) -> list[int]:
+        """The same for one long piece, with a heap of pairs and links between neighbours."""
         rank, n = self.ranks.get, len(piece)
         after, before = list(range(1, n + 2)), list(range(-1, n))
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
@@ -281,16 +345,21 @@ class Encoder:
         width = np.ones(len(points), np.int64)
         for limit in (0x80, 0x800, 0x10000):
             width += points >= limit
-        place = (np.cumsum(width) - width)[begin].tolist()
-        ends = np.searchsorted(begin, breaks).tolist()
-        place.append(len(data))
-        a = 0
-        for (k, _), b in zip(parts, ends):
-            for i in range(a, b, PIECES_AT_ONCE):
-                j = min(b, i + PIECES_AT_ONCE)
-                pieces = [data[x:y] for x, y in zip(place[i:j], place[i + 1 : j + 1])]
-                yield k, np.frombuffer(b"".join(self.ranks.of(pieces)), "<u4")
-            a = b + 1
+        place = (np.cumsum(width) - width)[begin]
+        text = np.searchsorted(breaks, begin)
+        real = ~np.isin(begin, breaks)
+        ends = np.append(place[1:], len(data))[real].tolist()
+        place, text = place[real].tolist(), text[real]
+        for i in range(0, len(place), PIECES_AT_ONCE):
+            found = self.ranks.of([data[x:y] for x, y in zip(place[i : i + PIECES_AT_ONCE], ends[i : i + PIECES_AT_ONCE])])
+            ids = np.frombuffer(b"".join(found), "<u4")
+            upto = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
+            which = text[i : i + PIECES_AT_ONCE]
+            last = np.flatnonzero(np.append(np.diff(which) != 0, True))
+            a = 0
+            for k, b in zip(which[last].tolist(), upto[last].tolist()):
+                yield parts[k][0], ids[a:b]
+                a = b
 
 
 def encode_documents(docs: DataFrame, ranks: str) -> DataFrame:

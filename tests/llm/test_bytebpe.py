@@ -63,11 +63,13 @@ def test_every_code_point(library, encoder):
     assert ids_of(encoder, texts[::3]) == [library.encode_ordinary(t) for t in texts[::3]]
 
 
-def test_heap_and_list_merge_alike(encoder):
+def test_all_ways_to_merge_agree(encoder, library):
     rng = random.Random(5)
-    for _ in range(300):
-        piece = bytes(rng.choice(b"etaoin hs\xc3\xa9") for _ in range(rng.randint(2, 120)))
-        assert encoder.ranks._merge_long(piece) == encoder.ranks._merge_short(piece)
+    pieces = ["".join(rng.choice("etaoin hsé") for _ in range(24)).encode()[: 2 + k % 23] for k in range(2000)]
+    for length in {len(p) for p in pieces}:
+        some = [p for p in pieces if len(p) == length]
+        abreast = [np.frombuffer(x, "<u4").tolist() for x in encoder.ranks.merge_abreast(some)]
+        assert abreast == [encoder.ranks.merge_by_heap(p) for p in some]
 
 
 def test_scan_is_the_automaton_step_by_step():
