@@ -2,80 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tails import chi2_tail, p_text, t_tail, verdict
+from tallyloom.operators.comoments import pair_correlations
 from tallyloom.operators.rank import drop_null_keys, empty_table, with_stats
 from tallyloom.operators.reshape import crosstab_long
-from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, numeric_columns, require_columns
 
 ALPHA = 0.05
-# A pair whose spread is less than this share of its squares around the column's mean has
-# lost digits in the matrix pass and is computed again around its own mean.
-LOST = 1e-4
-PAIRS_AT_ONCE = 25
-
-
-def _pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per pair ``i <= j``: count, both sums, both squares and the product, shifted.
-
-    Each task sums matrices over its rows; there are no more tasks than cores, so no more
-    matrices are shuffled.
-    """
-    wide = df.select(*[as_double(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    means = wide.agg(*[F.avg(f"c{i}") for i in range(len(columns))]).first()
-    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
-    i, j = np.triu_indices(len(columns))
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k = len(shift)
-        n, s, sq, xy = (np.zeros((k, k)) for _ in range(4))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float, na_value=np.nan)
-            known = ~np.isnan(x)
-            x = np.where(known, x - shift, 0.0)
-            known = known.astype(float)
-            n += known.T @ known
-            s += x.T @ known
-            sq += (x * x).T @ known
-            xy += x.T @ x
-        yield pd.DataFrame(
-            {"i": i, "j": j, "n": n[i, j], "sx": s[i, j], "sy": s[j, i],
-             "sxx": sq[i, j], "syy": sq[j, i], "sxy": xy[i, j]}
-        )
-
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    return (
-        wide.coalesce(df.sparkSession.sparkContext.defaultParallelism)
-        .mapInPandas(sums, schema)
-        .groupBy("i", "j")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    )
-
-
-def _pairs_again(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """``(i, j, again)``: r of the given pairs, each around the mean of its own rows."""
-    parts = []
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        aggs, cells = [], []
-        for i, j in pairs[at : at + PAIRS_AT_ONCE]:
-            a, b = as_double(df, columns[i]), as_double(df, columns[j])
-            both = a.isNotNull() & b.isNotNull()
-            x, y = F.when(both, a), F.when(both, b)
-            spread = F.stddev_samp(x) * F.stddev_samp(y)
-            aggs.append(F.try_divide(F.covar_samp(x, y), spread).alias(f"r{i}_{j}"))
-            cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{i}_{j}").alias("again")))
-        parts.append(df.agg(*aggs).select(F.inline(F.array(*cells))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
 
 
 def _upper(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
@@ -84,31 +22,17 @@ def _upper(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     require_columns(df, columns)
     if not columns:
         return empty_table(df, "i int, j int, column_a string, column_b string, r double")
-    sums = stage(_pair_sums(df, columns), "pair_sums")
-    n = F.col("n")
-
-    def spread(squares: str, total: str) -> Column:
-        return F.col(squares) - F.try_divide(F.col(total) * F.col(total), n)
-
-    a, b = spread("sxx", "sx"), spread("syy", "sy")
-    lost = (n > 1) & ((a <= F.col("sxx") * LOST) | (b <= F.col("syy") * LOST)) & (F.col("sxx") > 0) & (F.col("syy") > 0)
-    product = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    r = F.try_divide(product, F.sqrt(a) * F.sqrt(b))
     names = F.array(*[F.lit(c) for c in columns])
-    # As many rows as pairs of columns.
-    pairs = sorted((p["i"], p["j"]) for p in sums.where(lost).select("i", "j").collect())
-    if pairs:
-        sums = sums.join(F.broadcast(_pairs_again(df, columns, pairs)), ["i", "j"], "left")
-        r = F.when(lost, F.col("again")).otherwise(r)
-    one = F.when(r.isNotNull(), 1.0)
-    return sums.select(
-        "i", "j", names[F.col("i")].alias("column_a"), names[F.col("j")].alias("column_b"),
-        F.when(n > 1, F.when(F.col("i") == F.col("j"), one).otherwise(r)).alias("r"),
+    return pair_correlations(df, [as_double(df, c) for c in columns]).select(
+        "i", "j", names[F.col("i")].alias("column_a"), names[F.col("j")].alias("column_b"), "r"
     )
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson's r over jointly known rows, one row per pair ``i < j``; null if undefined."""
+    """Pearson's r over jointly known rows, one row per pair ``i < j``.
+
+    Null if undefined: fewer than two such rows, a column constant in them, infinities.
+    """
     return _upper(df, columns).where(F.col("i") < F.col("j"))
 
 
