@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.learning import metrics
-from tallyloom.learning.features import feature_names, feature_stages, with_class_weight
+from tallyloom.learning.features import feature_stages, feature_table, with_class_weight
 from tallyloom.learning.split import stratified_split
 from tallyloom.sources.tables import stage
 from tallyloom.spec import TableSpec, col, feature_view
@@ -67,10 +67,13 @@ def build_model(spec: TableSpec, size: ForestSize = ForestSize(), min_frequency:
 def fit_model(df: DataFrame, spec: TableSpec, size: ForestSize = ForestSize()) -> PipelineModel:
     """Fit with balanced class weights; the fitted model predicts unlabelled rows too."""
     weighted = with_class_weight(feature_view(df, spec), spec.target)
-    fitted = build_model(spec, size).fit(weighted)
-    labels = fitted.stages[0].labels
-    named = IndexToString(inputCol="prediction", outputCol="predicted", labels=labels)
-    return PipelineModel([*fitted.stages[1:], named])
+    *stages, forest = build_model(spec, size).getStages()
+    fitted = Pipeline(stages=stages).fit(weighted)
+    # The forest reads its rows several times; encoded once, they are three columns.
+    rows = stage(fitted.transform(weighted).select("features", "label_index", "weight"), "features")
+    index, *features = fitted.stages
+    named = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)
+    return PipelineModel([*features, forest.fit(rows), named])
 
 
 def class_labels(model: PipelineModel) -> list[str]:
@@ -85,13 +88,18 @@ def predict(model: PipelineModel, df: DataFrame, positive: str) -> DataFrame:
 
 
 def feature_importance(model: PipelineModel, df: DataFrame, top_n: int = 10) -> DataFrame:
-    """Most important features by name: ``(feature, importance)``."""
-    names = feature_names(model.transform(df.limit(0)))
-    forest = next(s for s in model.stages if hasattr(s, "featureImportances"))
-    values = forest.featureImportances.toArray()
-    rows = [(i, n, float(v)) for i, (n, v) in enumerate(zip(names, values))]
-    table = df.sparkSession.createDataFrame(rows, "position int, feature string, importance double")
-    return table.orderBy(F.col("importance").desc(), "position").limit(top_n)
+    """Most important features by name: ``(feature, importance)``, ties in their order."""
+    names = feature_table(model.transform(df.limit(0)))
+    found = next(s for s in model.stages if hasattr(s, "featureImportances")).featureImportances
+    # As many rows as the trees use features.
+    rows = [(int(i), float(found[int(i)])) for i in found.toArray().nonzero()[0]]
+    table = df.sparkSession.createDataFrame(rows, "position long, importance double")
+    return (
+        names.join(table, "position", "left")
+        .select("position", "feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
+        .orderBy(F.col("importance").desc(), "position")
+        .limit(top_n)
+    )
 
 
 def train_and_evaluate(

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +16,11 @@ from pyspark.sql import types as T
 import tallyloom as tl
 from tallyloom.learning.features import (
     CategoryLevels,
+    FeatureVector,
     NumericPrep,
-    feature_names,
     feature_stages,
+    feature_table,
+    vector_places,
     with_class_weight,
 )
 from tallyloom.sources.tables import staging_path
@@ -986,15 +987,43 @@ def onehot_counts(spark, sf):
     rows = parts(spark, sf)
     stages = feature_stages(["size", "price"], ["kind", "brand"])
     encoded = Pipeline(stages=stages).fit(rows.where("train")).transform(rows)
-    names = F.array(*[F.lit(n) for n in feature_names(encoded)])
-    cells = encoded.select(F.posexplode(vector_to_array("features")).alias("at", "value"))
-    return (
-        cells.where("value <> 0")
-        .select(names[F.col("at")].alias("feature"))
-        .where(F.col("feature").startswith("cat__"))
-        .groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("n"))
+    counts = encoded.select(F.explode(vector_places(F.col("features"))).alias("position")).groupBy("position").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(feature_table(encoded), "position").where(F.col("feature").startswith("cat__")).select("feature", "n")
+
+
+MANY_LEVELS = {
+    "line": "concat(l_orderkey, '-', l_linenumber % 3)",
+    "order": "cast(l_orderkey AS string)",
+    "price": "cast(cast(round(l_extendedprice * 100) AS bigint) AS string)",
+    "part": "concat(l_partkey, '/', l_suppkey % 5)",
+}
+
+
+@query(
+    "onehot_many_levels",
+    f"""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey % 5 <> 0 AS train, {", ".join(f"{e} AS v{i}" for i, e in enumerate(MANY_LEVELS.values()))} FROM lineitem),
+    v AS ({" UNION ALL ".join(f"SELECT l_orderkey, l_linenumber, train, {i} AS c, v{i} AS v FROM r" for i in range(len(MANY_LEVELS)))}),
+    l AS (SELECT c, v, count(*) AS n FROM v WHERE train GROUP BY c, v),
+    f AS (SELECT c, v, row_number() OVER (PARTITION BY c ORDER BY v) - 1 AS slot FROM l WHERE n >= 2),
+    k AS (SELECT c, count(*) FILTER (WHERE n >= 2) AS f, max(CASE WHEN n < 2 THEN 1 ELSE 0 END) AS rare FROM l GROUP BY c),
+    o AS (SELECT c, f, sum(f + rare) OVER (ORDER BY c) - (f + rare) AS low FROM k)
+    SELECT v.l_orderkey, CAST(count(l.v) AS BIGINT) AS n_places,
+      CAST(coalesce(sum(CASE WHEN l.v IS NOT NULL THEN o.low + coalesce(f.slot, o.f) END), 0) AS BIGINT) AS places
+    FROM v JOIN o ON o.c = v.c LEFT JOIN l ON l.c = v.c AND l.v = v.v LEFT JOIN f ON f.c = v.c AND f.v = v.v
+    GROUP BY v.l_orderkey""",
+)
+def onehot_many_levels(spark, sf):
+    """Four columns of more levels than lines, all but the most frequent 1,000 met in one shuffle."""
+    rows = table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey % 5 <> 0 AS train", *[f"{e} AS {n}" for n, e in MANY_LEVELS.items()]
     )
+    slots = [f"slot__{c}" for c in MANY_LEVELS]
+    levels = CategoryLevels(inputCols=list(MANY_LEVELS), outputCols=slots, minFrequency=2, headLevels=1000)
+    encoded = Pipeline(stages=[levels, FeatureVector(slots=slots, outputCol="features")]).fit(rows.where("train")).transform(rows)
+    places = vector_places(F.col("features"))
+    total = F.aggregate("places", F.lit(0).cast("long"), lambda a, x: a + x)
+    each = encoded.select("l_orderkey", places.alias("places")).select("l_orderkey", F.size("places").alias("n"), total.alias("places"))
+    return each.groupBy("l_orderkey").agg(F.sum("n").alias("n_places"), F.sum("places").alias("places"))
 
 
 @query(
