@@ -12,10 +12,10 @@ each), their numbers of token ids (4 each), their token ids (4 each).
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,8 @@ LEVEL = 3
 
 # Letters, then ASCII marks that the tokenizer always cuts off them; an apostrophe may
 # begin an ending, so such words are left whole.
-LETTERS_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([^A-Za-z0-9'\x80-\xff]*)\Z")
+LETTERS = bytes(c for c in range(256) if c >= 0x80 or bytes([c]).isalpha())
+MARKS = bytes(c for c in range(0x80) if not bytes([c]).isalnum() and c != ord("'"))
 WORDS_HELD = 1 << 18
 WORD_END = "</w>"  # fixed value: marks the last token of a word in the vocabulary
 
@@ -67,7 +68,7 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.ends = {i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(WORD_END)}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
         """Make sure that all these words are known."""
@@ -77,25 +78,27 @@ class WordIds(dict):
             new = list(words)
         if len(self.parts) + len(new) > 2 * WORDS_HELD:
             self.parts.clear()
-        plans: list[tuple[bytes, str, str]] = []
-        letters: set[str] = set()
+        split: list[bytes] = []
+        names: list[bytes] = []
         for word in new:
-            m = LETTERS_AND_MARKS.match(word)
-            part = m[1].lower().decode() if m else ""
-            # Lower case may bring marks along that are no letters and join those after them.
-            if part and part.lower().isalpha():
-                plans.append((word, part, m[2].decode()))
-                if part not in self.parts:
-                    letters.add(part)
+            part = word.rstrip(MARKS)
+            name = part.lower()
+            # Lower case and composition may bring marks along that are no letters and join
+            # those after them.
+            if part and not part.translate(None, LETTERS) and (part.isascii() or normalize("NFC", name.decode().lower()).isalpha()):
+                split.append(word)
+                names.append(name)
             else:
-                self[word] = self._part(word.decode())
-        self._encode(list(letters))
-        for word, part, marks in plans:
-            self[word] = self.parts[part] + self._part(marks)
-
-    def _encode(self, letters: list[str]) -> None:
+                self[word] = self._part(word)
+        self._encode([n for n in set(names) if n not in self.parts])
+        parts = self.parts
+        for word, name in zip(split, names):
+            ids = parts[name]
+            self[word] = ids + self._part(word[len(name) :]) if len(word) > len(name) else ids
+
+    def _encode(self, letters: list[bytes]) -> None:
         texts = [letters[i : i + 256] for i in range(0, len(letters), 256)]
-        found = self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([b" ".join(t).decode() for t in texts], add_special_tokens=False)
         for names, encoded in zip(texts, found):
             ids = encoded.ids
             cuts = [i + 1 for i, x in enumerate(ids) if x in self.ends]
@@ -103,13 +106,16 @@ class WordIds(dict):
                 for name in names:
                     self._part(name)
                 continue
-            for name, a, b in zip(names, [0, *cuts], cuts):
-                self.parts[name] = struct.pack(f"<{b - a}I", *ids[a:b])
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            a = 0
+            for name, b in zip(names, cuts):
+                self.parts[name] = packed[4 * a : 4 * b]
+                a = b
 
-    def _part(self, part: str) -> bytes:
+    def _part(self, part: bytes) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            ids = self.tokenizer.encode(part, add_special_tokens=False).ids if part else []
+            ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids if part else []
             self.parts[part] = found = struct.pack(f"<{len(ids)}I", *ids)
         return found
 

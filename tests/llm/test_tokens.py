@@ -44,6 +44,14 @@ def test_words_one_by_one_give_the_ids_of_the_text():
         assert list(struct.unpack(f"<{len(got) // 4}I", got)) == want, repr(text)
 
 
+def test_letters_that_composition_takes_apart_keep_their_marks():
+    tokenizer, ids = Tokenizer.from_file(PATH), WordIds(PATH)
+    points = [*range(0x958, 0x960), 0x9DC, 0x9DD, 0x9DF, 0xA33, 0xF43, *range(0xFB1D, 0xFB4F), 0x1D15E, 0x212B]
+    for text in (a + chr(p) + b + mark for p in points for a in ("", "x", "É") for b in ("", "y") for mark in ("!", "?!", ")", "")):
+        (got,) = ids.of([text.encode()])
+        assert list(struct.unpack(f"<{len(got) // 4}I", got)) == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 @pytest.mark.parametrize("part_rows", [7, 1000])
 def test_order_ties_and_single_documents(spark, part_rows):
     rng = random.Random(part_rows)
