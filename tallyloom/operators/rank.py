@@ -1,9 +1,14 @@
 """Exact ranks and prefix sums without a single-task sort, and top-k.
 
-Quantiles are found by radix selection: values are counted by their order-preserving
-leading digits, first sign and power of two, then 4096 steps of the interval that holds a
-wanted rank, until an interval is one value. Only counts are shuffled, map-side combined,
-whatever the number of rows, groups or equal values.
+Quantiles take two passes. The first merges a quantile summary per group, whose rank error is
+bounded, and reads from it a bracket around each wanted rank. The second counts what lies
+below and on the brackets' ends, and gathers the few values between them: strictly between
+two ends there is only the summary's share of the rows, however many are equal.
+
+Groups so large that this share is too much for one row, or whose bracket the counts show to
+be wrong, go on by radix selection: values are counted by their order-preserving leading
+digits, first sign and power of two, then 4096 steps of the interval that holds a wanted
+rank, until an interval is one value.
 """
 
 from __future__ import annotations
@@ -17,6 +22,11 @@ from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, q
 
 STEPS = 4096
+# The summary's rank error is a share of 1 / ACCURACY of the rows; brackets allow three times it.
+ACCURACY = 10_000
+MARGIN = 3.0 / ACCURACY
+SMALL = 4_096  # groups of so few rows need no bracket
+GATHERED = 50_000  # values between the ends of a bracket that one row may hold
 # Rows meet statistics of their group in this many parts of the group, so that a group
 # with a large share of the rows is more than one task where Spark joins by shuffle.
 SALTS = 16
@@ -128,35 +138,101 @@ def _select(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> Dat
     return out
 
 
+def _bracketed(long: DataFrame, keys: Sequence[str], probs: Sequence[float], small: int, gathered: int) -> tuple[DataFrame, DataFrame]:
+    """The values next to each wanted rank, ``(*keys, total, low_i, high_i)``, of the groups
+    where a bracket finds them, and the keys of the others."""
+    key_cols, x = [col(k) for k in keys], F.col("value")
+    around = [min(1.0, max(0.0, p + side)) for p in probs for side in (-MARGIN, MARGIN)]
+    sketch = stage(
+        long.groupBy(*key_cols).agg(
+            F.count(F.lit(1)).alias("total"), F.min(x).alias("_min"), F.max(x).alias("_max"),
+            F.percentile_approx(x, around or [0.5], ACCURACY).alias("_at"),
+        ),
+        "quantile_summary",
+    )
+    few, total = F.col("total") <= small, F.col("total")
+    ends = []
+    for i, p in enumerate(probs):
+        low = F.when(few | F.lit(p <= MARGIN), F.col("_min")).otherwise(F.col("_at")[2 * i])
+        high = F.when(few | F.lit(p >= 1 - MARGIN), F.col("_max")).otherwise(F.col("_at")[2 * i + 1])
+        ends += [low.alias(f"_lo{i}"), high.alias(f"_hi{i}")]
+    # Twice the margin, and the summary's own error at both ends.
+    narrow = few | (total * F.lit(2 * MARGIN + 2.0 / ACCURACY) <= gathered)
+    brackets = sketch.where(narrow).select(*key_cols, "total", few.alias("_few"), *ends)
+    aggs, inner_all = [], F.when(F.col("_few") & (x > F.col("_lo0")) & (x < F.col("_hi0")), x)
+    for i in range(len(probs)):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        aggs += [
+            F.first(lo).alias(f"_lo{i}"), F.first(hi).alias(f"_hi{i}"),
+            F.count_if(x < lo).alias(f"_below{i}"), F.count_if(x == lo).alias(f"_same{i}"),
+            F.count_if((x == hi) & (hi != lo)).alias(f"_top{i}"),
+            F.collect_list(F.when(~F.col("_few") & (x > lo) & (x < hi), x)).alias(f"_inner{i}"),
+        ]
+    met = with_stats(long, brackets, keys).groupBy(*key_cols).agg(
+        F.first("total").alias("total"), F.first("_few").alias("_few"), F.collect_list(inner_all).alias("_all"), *aggs
+    )
+    everything = met.withColumn("_all", F.sort_array("_all")).withColumns(
+        {f"_inner{i}": F.when(F.col("_few"), F.col("_all")).otherwise(F.sort_array(f"_inner{i}")) for i in range(len(probs))}
+    )
+
+    def at(i: int, rank: Column) -> Column:
+        inner, begin = F.col(f"_inner{i}"), F.col(f"_below{i}") + F.col(f"_same{i}")
+        end = begin + F.size(inner)
+        return (
+            F.when(rank < F.col(f"_below{i}"), None)
+            .when(rank < begin, F.col(f"_lo{i}"))
+            .when(rank < end, F.get(inner, (rank - begin).cast("int")))
+            .when(rank < end + F.col(f"_top{i}"), F.col(f"_hi{i}"))
+        )
+
+    values = []
+    for i, p in enumerate(probs):
+        low = F.floor((total - 1) * F.lit(float(p)))
+        values += [at(i, low).alias(f"_low{i}"), at(i, F.least(low + 1, total - 1)).alias(f"_high{i}")]
+    found = stage(everything.select(*key_cols, "total", *values), "quantile_values")
+    sure = F.lit(True)
+    for i in range(len(probs)):
+        sure = sure & F.col(f"_low{i}").isNotNull() & F.col(f"_high{i}").isNotNull()
+    found = found.where(sure)
+    return found, sketch.select(*key_cols).join(found.select(*key_cols), list(keys), "left_anti")
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
+    small: int = SMALL,
+    gathered: int = GATHERED,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: one row per ``(*by, column)``.
 
-    Rows with a null in ``by`` are left out, nulls and NaN are skipped.
+    Rows with a null in ``by`` are left out, nulls and NaN are skipped. ``small`` and
+    ``gathered`` bound what a row of the second pass holds; the results do not depend on them.
     """
     names = list(names or [f"p{round(p * 100, 6):g}" for p in probs])
-    if not columns:
+    if not columns or not probs:
         return empty_table(df, "`column` string, " + ", ".join(f"{q(n)} double" for n in names), by)
     groups = [f"_g{i}" for i in range(len(by))]
     keys = [*groups, "column"]
     known = drop_null_keys(df, by).select(
         *[col(b).alias(g) for b, g in zip(by, groups)], *[as_double(df, c).alias(c) for c in columns]
     )
-    near = _select(melt_numeric(known, columns, groups), keys, probs)
-    sides = [
-        F.max(F.when((F.col("i") == i) & (F.col("high") == high), F.col("value"))).alias(f"_{side}{i}")
-        for i in range(len(probs))
-        for side, high in (("low", False), ("high", True))
-    ]
-    found = near.groupBy(*[col(k) for k in keys]).agg(F.max("total").alias("_total"), *sides)
+    long = melt_numeric(known, columns, groups)
+    found, rest = _bracketed(long, keys, probs, small, gathered)
+    if not rest.isEmpty():
+        sides = [
+            F.max(F.when((F.col("i") == i) & (F.col("high") == high), F.col("value"))).alias(f"_{side}{i}")
+            for i in range(len(probs))
+            for side, high in (("low", False), ("high", True))
+        ]
+        near = _select(with_stats(long, rest, keys), keys, probs)
+        more = near.groupBy(*[col(k) for k in keys]).agg(F.max("total").alias("total"), *sides)
+        found = found.unionByName(more)
 
     def interpolate(i: int, p: float) -> Column:
-        at = (F.col("_total") - 1) * F.lit(float(p))
+        at = (F.col("total") - 1) * F.lit(float(p))
         share = at - F.floor(at)
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
         return F.when((share == 0) | (low == high), low).otherwise(low + (high - low) * share)

@@ -99,3 +99,22 @@ def test_top_per_group_breaks_ties(spark):
     df = spark.createDataFrame([("g", "b", 2), ("g", "a", 2), ("g", "c", 1)], "g string, k string, n long")
     out = tl.top_per_group(df, ["g"], "n", ["k"], 2).orderBy("rank").collect()
     assert [r["k"] for r in out] == ["a", "b"]
+
+
+@pytest.mark.parametrize("small, gathered", [(4_096, 50_000), (100, 50_000), (1, 30), (1, 0)])
+def test_what_a_row_may_hold_changes_no_quantile(spark, table, small, gathered):
+    # Brackets for all groups, for the small ones only, and radix selection for the rest.
+    expect = tl.quantiles(table, table.columns, PROBS).orderBy("column").collect()
+    found = tl.quantiles(table, table.columns, PROBS, small=small, gathered=gathered)
+    assert found.orderBy("column").collect() == expect
+    by = tl.quantiles(table, ["heavy"], [0.5], by=["few"], small=small, gathered=gathered).collect()
+    data = samples()
+    assert {r["few"]: r["p50"] for r in by} == {k: np.median(data["heavy"][data["few"] == k]) for k in range(4)}
+
+
+def test_group_columns_named_like_the_inner_ones(spark):
+    df = spark.range(60).select(*[(F.col("id") % 3).alias(n) for n in ("column", "value", "total", "_salt", "_g0", "_few", "_lo0")], F.col("id").cast("double").alias("x"))
+    names = [c for c in df.columns if c not in ("x", "column")]
+    found = tl.quantiles(df, ["x"], [0.5], by=names)
+    assert found.columns == [*names, "column", "p50"]
+    assert {(r["value"], r["p50"]) for r in found.collect()} == {(0, 28.5), (1, 29.5), (2, 30.5)}
