@@ -1,11 +1,11 @@
 """Exact ranks and prefix sums without a single-task sort, and top-k.
 
 Quantiles take two passes. The first merges a quantile summary per group, whose rank error is
-bounded, and reads from it a bracket around each wanted rank. The second counts what lies
-below and on the brackets' ends, and gathers the few values between them: strictly between
-two ends there is only the summary's share of the rows, however many are equal.
+bounded, and reads from it a bracket around each wanted rank. The second counts the distinct
+values inside the brackets, and what lies between brackets as one: inside there are, but for
+equal values, only the summary's share of the rows.
 
-Groups so large that this share is too much for one row, or whose bracket the counts show to
+Groups so large that this share is too much for one task, or whose bracket the counts show to
 be wrong, go on by radix selection: values are counted by their order-preserving leading
 digits, first sign and power of two, then 4096 steps of the interval that holds a wanted
 rank, until an interval is one value.
@@ -14,6 +14,7 @@ rank, until an interval is one value.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ STEPS = 4096
 ACCURACY = 10_000
 MARGIN = 3.0 / ACCURACY
 SMALL = 4_096  # groups of so few rows need no bracket
-GATHERED = 50_000  # values between the ends of a bracket that one row may hold
+GATHERED = 1_000_000  # distinct values inside a bracket that one task may put in order
 # Rows meet statistics of their group in this many parts of the group, so that a group
 # with a large share of the rows is more than one task where Spark joins by shuffle.
 SALTS = 16
@@ -158,38 +159,26 @@ def _bracketed(long: DataFrame, keys: Sequence[str], probs: Sequence[float], sma
         ends += [low.alias(f"_lo{i}"), high.alias(f"_hi{i}")]
     # Twice the margin, and the summary's own error at both ends.
     narrow = few | (total * F.lit(2 * MARGIN + 2.0 / ACCURACY) <= gathered)
-    brackets = sketch.where(narrow).select(*key_cols, "total", few.alias("_few"), *ends)
-    aggs, inner_all = [], F.when(F.col("_few") & (x > F.col("_lo0")) & (x < F.col("_hi0")), x)
-    for i in range(len(probs)):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        aggs += [
-            F.first(lo).alias(f"_lo{i}"), F.first(hi).alias(f"_hi{i}"),
-            F.count_if(x < lo).alias(f"_below{i}"), F.count_if(x == lo).alias(f"_same{i}"),
-            F.count_if((x == hi) & (hi != lo)).alias(f"_top{i}"),
-            F.collect_list(F.when(~F.col("_few") & (x > lo) & (x < hi), x)).alias(f"_inner{i}"),
-        ]
-    met = with_stats(long, brackets, keys).groupBy(*key_cols).agg(
-        F.first("total").alias("total"), F.first("_few").alias("_few"), F.collect_list(inner_all).alias("_all"), *aggs
-    )
-    everything = met.withColumn("_all", F.sort_array("_all")).withColumns(
-        {f"_inner{i}": F.when(F.col("_few"), F.col("_all")).otherwise(F.sort_array(f"_inner{i}")) for i in range(len(probs))}
+    brackets = sketch.where(narrow).select(*key_cols, "total", *ends)
+    los, his = ([F.col(f"_{end}{i}") for i in range(len(probs))] for end in ("lo", "hi"))
+    inside = reduce(lambda a, b: a | b, [(x >= lo) & (x <= hi) for lo, hi in zip(los, his)])
+    passed = reduce(lambda a, b: a + b, [(x > hi).cast("int") for hi in his])
+    # Values outside the brackets are counted together by the brackets they lie beyond; within
+    # one of these counts they come before all values inside.
+    counts = (
+        with_stats(long, brackets, keys)
+        .groupBy(*key_cols, "total", passed.alias("_passed"), F.when(inside, x).alias("_x"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-
-    def at(i: int, rank: Column) -> Column:
-        inner, begin = F.col(f"_inner{i}"), F.col(f"_below{i}") + F.col(f"_same{i}")
-        end = begin + F.size(inner)
-        return (
-            F.when(rank < F.col(f"_below{i}"), None)
-            .when(rank < begin, F.col(f"_lo{i}"))
-            .when(rank < end, F.get(inner, (rank - begin).cast("int")))
-            .when(rank < end + F.col(f"_top{i}"), F.col(f"_hi{i}"))
-        )
-
+    order = Window.partitionBy(*[q(k) for k in keys]).orderBy("_passed", F.col("_x").asc_nulls_first())
+    placed = counts.withColumn("_end", F.sum("_n").over(order))
     values = []
     for i, p in enumerate(probs):
         low = F.floor((total - 1) * F.lit(float(p)))
-        values += [at(i, low).alias(f"_low{i}"), at(i, F.least(low + 1, total - 1)).alias(f"_high{i}")]
-    found = stage(everything.select(*key_cols, "total", *values), "quantile_values")
+        for side, rank in (("low", low), ("high", F.least(low + 1, total - 1))):
+            here = (F.col("_end") > rank) & (F.col("_end") - F.col("_n") <= rank)
+            values.append(F.max(F.when(here, F.col("_x"))).alias(f"_{side}{i}"))
+    found = stage(placed.groupBy(*key_cols, "total").agg(*values), "quantile_values")
     sure = F.lit(True)
     for i in range(len(probs)):
         sure = sure & F.col(f"_low{i}").isNotNull() & F.col(f"_high{i}").isNotNull()
@@ -209,7 +198,7 @@ def quantiles(
     """Exact, linearly interpolated quantiles: one row per ``(*by, column)``.
 
     Rows with a null in ``by`` are left out, nulls and NaN are skipped. ``small`` and
-    ``gathered`` bound what a row of the second pass holds; the results do not depend on them.
+    ``gathered`` bound what a task of the second pass sorts; the results do not depend on them.
     """
     names = list(names or [f"p{round(p * 100, 6):g}" for p in probs])
     if not columns or not probs:
