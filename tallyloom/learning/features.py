@@ -356,5 +356,8 @@ def class_weights(classes: DataFrame) -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
     weights = class_weights(class_table(df, label)).toDF("_label", "_weight")
-    met = with_stats(df.withColumn("_label", col(label).cast("string")), weights, ["_label"])
-    return met.select(*[col(c) for c in df.columns if c != output], F.col("_weight").alias(output))
+    # Under names of their own, so that no column of the table meets one of the weights.
+    inner = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    rows = df.select(*[col(c).alias(n) for c, n in inner.items()], col(label).cast("string").alias("_label"))
+    met = with_stats(rows, weights, ["_label"])
+    return met.select(*[F.col(n).alias(c) for c, n in inner.items() if c != output], F.col("_weight").alias(output))

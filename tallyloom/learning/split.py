@@ -60,23 +60,27 @@ def stratified_split(
     they have to part, and the table is written to the shared folder. Either way the split
     does not depend on how the table is partitioned. The cut is found by counting hash
     prefixes, so rows are not sorted; ``order`` replaces the hash with a long column of the
-    caller.
+    caller. A column ``is_test`` of the table is replaced.
     """
     require_columns(df, [label, *(key or [])])
     quotas = stage(class_quotas(class_table(df, label), test_size), "quotas")
+    # Under names of their own, so that no column of the table meets one of the split.
+    inner = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    given = [order.alias("_order")] if order is not None else []
+    rows = df.select(*[col(c).alias(n) for c, n in inner.items()], *given)
     if key is None:
-        numbered = stage(numbered_copies(df), "numbered")
-        identity = [col(c) for c in numbered.columns]
+        numbered = stage(numbered_copies(rows), "numbered")
+        identity = [F.col(c) for c in numbered.columns if c != "_order"]
     else:
-        numbered, identity = df, [col(c) for c in key]
-    first = order if order is not None else F.xxhash64(F.lit(seed), *identity)
+        numbered, identity = rows, [F.col(inner[c]) for c in key]
+    first = F.col("_order") if order is not None else F.xxhash64(F.lit(seed), *identity)
     hashed = numbered.withColumns(
-        {"_label": col(label).cast("string"), "_h1": first, "_h2": F.xxhash64(F.lit(seed + 1), *identity)}
+        {"_label": F.col(inner[label]).cast("string"), "_h1": first, "_h2": F.xxhash64(F.lit(seed + 1), *identity)}
     )
     cuts = _cuts(hashed.select("_label", "_h1", "_h2"), quotas)
     below = (F.col("_h1") < F.col("_c1")) | ((F.col("_h1") == F.col("_c1")) & (F.col("_h2") <= F.col("_c2")))
     marked = with_stats(hashed, cuts, ["_label"]).withColumn("is_test", F.coalesce(below, F.lit(False)))
-    return marked.select(*[col(c) for c in df.columns], "is_test")
+    return marked.select(*[F.col(n).alias(c) for c, n in inner.items() if c != "is_test"], "is_test")
 
 
 def _prefix(hash_: str, bits: int) -> Column:

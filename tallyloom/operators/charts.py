@@ -1,4 +1,7 @@
-"""The data behind the charts: histograms, density curves, box plots."""
+"""The data behind the charts: histograms, density curves, box plots.
+
+A result column that has the group column's name gets an underscore before it.
+"""
 
 from __future__ import annotations
 
@@ -16,18 +19,25 @@ from tallyloom.spec import as_double, col, require_columns
 HELD_GROUPS = 1_000
 
 
+def _by_group(df: DataFrame, value: str, group: str) -> DataFrame:
+    """``(_g, x)``: the group and the value as a double, under names of their own."""
+    require_columns(df, [value, group])
+    return drop_null_keys(df, [group]).select(col(group).alias("_g"), as_double(df, value).alias("x"))
+
+
+def _named(out: DataFrame, group: str) -> DataFrame:
+    """The group under its name again; a result of the same name gets an underscore before it."""
+    others = [F.col(c).alias(f"_{c}" if c == group else c) for c in out.columns if c != "_g"]
+    return out.select(F.col("_g").alias(group), *others)
+
+
 def histogram(df: DataFrame, value: str, group: str, bins: int = 30) -> DataFrame:
     """Counts in equal-width bins over the range of all rows, per group.
 
     ``(group, bin, bin_start, bin_end, n)``, empty bins included; the last bin holds its
     right edge. The range is read first, two numbers.
     """
-    require_columns(df, [value, group])
-    known = (
-        drop_null_keys(df, [group])
-        .select(col(group), as_double(df, value).alias("x"))
-        .where(F.col("x").isNotNull())
-    )
+    known = _by_group(df, value, group).where("x IS NOT NULL")
     low, high = known.agg(F.min("x"), F.max("x")).first()
     if low is None:
         low, high = 0.0, 1.0
@@ -46,25 +56,26 @@ def histogram(df: DataFrame, value: str, group: str, bins: int = 30) -> DataFram
         .when((x >= edge(guess + 1)) & (guess < bins - 1), guess + 1)
         .otherwise(guess)
     )
-    counts = known.groupBy(col(group), bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = known.groupBy("_g", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     # Every group gets a zero row per bin, added up with its counts in one aggregate. The
     # filter keeps the count in both uses of this table, so that one shuffle serves both.
     counts = counts.where("n > 0")
     zeros = (
-        counts.select(col(group))
+        counts.select("_g")
         .distinct()
-        .select(col(group), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        .select("_g", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
         .withColumn("n", F.lit(0).cast("long"))
     )
-    return (
+    binned = (
         counts.unionByName(zeros)
-        .groupBy(col(group), "bin")
+        .groupBy("_g", "bin")
         .agg(F.sum("n").alias("n"))
         .select(
-            col(group), "bin", edge(F.col("bin")).alias("bin_start"),
+            "_g", "bin", edge(F.col("bin")).alias("bin_start"),
             edge(F.col("bin") + 1).alias("bin_end"), "n",
         )
     )
+    return _named(binned, group)
 
 
 def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> DataFrame:
@@ -74,8 +85,7 @@ def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> D
     kernels of its own values at the grid points; only these sums are shuffled. A group
     without spread has no curve.
     """
-    require_columns(df, [value, group])
-    known = drop_null_keys(df, [group]).select(col(group).alias("_group"), as_double(df, value).alias("_x"))
+    known = _by_group(df, value, group).toDF("_group", "_x")
     stats = (
         known.groupBy("_group")
         .agg(
@@ -116,12 +126,13 @@ def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> D
 
     kind = known.schema["_group"].dataType.simpleString()
     placed = with_stats(known.where("_x IS NOT NULL"), stats.drop("spread", "high"), ["_group"])
-    return (
+    curves = (
         placed.mapInPandas(sums, f"_group {kind}, point int, x double, density double")
         .groupBy("_group", "point")
         .agg(F.max("x").alias("x"), F.sum("density").alias("density"))
-        .select(F.col("_group").alias(group), "point", "x", "density")
+        .select(F.col("_group").alias("_g"), "point", "x", "density")
     )
+    return _named(curves, group)
 
 
 def box_plot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataFrame:
@@ -129,16 +140,18 @@ def box_plot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
 
     Whiskers end at the furthest values within ``reach`` times the quartile distance.
     """
-    require_columns(df, [value, group])
-    known = drop_null_keys(df, [group]).select(col(group), as_double(df, value).alias("x"))
+    return _named(_boxes(_by_group(df, value, group), reach), group)
+
+
+def _boxes(known: DataFrame, reach: float) -> DataFrame:
     quartiles = quantiles(
-        known, ["x"], [0.25, 0.5, 0.75], by=[group], names=["q1", "median", "q3"]
+        known, ["x"], [0.25, 0.5, 0.75], by=["_g"], names=["q1", "median", "q3"]
     ).drop("column")
-    placed = with_stats(known.where("x IS NOT NULL"), quartiles, [group]).withColumn("n", F.lit(1).cast("long"))
+    placed = with_stats(known.where("x IS NOT NULL"), quartiles, ["_g"]).withColumn("n", F.lit(1).cast("long"))
     low = F.col("q1") - (F.col("q3") - F.col("q1")) * reach
     high = F.col("q3") + (F.col("q3") - F.col("q1")) * reach
     x = F.col("x")
-    inner = placed.groupBy(col(group), "q1", "median", "q3").agg(
+    inner = placed.groupBy("_g", "q1", "median", "q3").agg(
         F.sum("n").alias("n"),
         F.min(F.when(x >= low, x)).alias("inner_low"),
         F.max(F.when(x <= high, x)).alias("inner_high"),
@@ -147,7 +160,7 @@ def box_plot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
     )
     # With interpolated quartiles the furthest inner value can fall inside the box.
     return inner.select(
-        col(group),
+        "_g",
         "n",
         F.least("inner_low", "q1").alias("whisker_low"),
         "q1",
@@ -161,8 +174,8 @@ def box_plot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
 
 def outliers(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataFrame:
     """The distinct values beyond the whiskers with their counts: ``(group, x, n)``."""
-    box = box_plot(df, value, group, reach).select(col(group), "whisker_low", "whisker_high")
+    rows = _by_group(df, value, group)
+    box = _boxes(rows, reach).select("_g", "whisker_low", "whisker_high")
     beyond = (F.col("x") < F.col("whisker_low")) | (F.col("x") > F.col("whisker_high"))
-    rows = drop_null_keys(df, [group]).select(col(group), as_double(df, value).alias("x"))
-    far = with_stats(rows, box, [group]).where(beyond)
-    return far.groupBy(col(group), "x").agg(F.count(F.lit(1)).alias("n"))
+    far = with_stats(rows, box, ["_g"]).where(beyond)
+    return _named(far.groupBy("_g", "x").agg(F.count(F.lit(1)).alias("n")), group)

@@ -105,7 +105,7 @@ def total_nulls(df: DataFrame) -> DataFrame:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each group of identical rows."""
-    groups = df.groupBy(*[present(df, c).alias(c) for c in df.columns]).agg(
+    groups = df.groupBy(*[present(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)]).agg(
         F.count(F.lit(1)).alias("_n")
     )
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"))
