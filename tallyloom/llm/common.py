@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -172,5 +173,25 @@ def _hang(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter("a > b").distinct()
 
 
+def columns_kept(function):
+    """For a function of documents that returns their columns: those that begin with two
+    underscores, as its own do, go by other names inside and come back as they were."""
+
+    @wraps(function)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        hidden = [c for c in docs.columns if c.startswith("__")]
+        if not hidden:
+            return function(docs, *args, **options)
+        free = "user"
+        while any(c.startswith(free) for c in docs.columns):
+            free += "_"
+        inner = {c: f"{free}{i}" for i, c in enumerate(hidden)}
+        given = docs.select(*[F.col(f"`{c}`").alias(inner.get(c, c)) for c in docs.columns])
+        out = function(given, *args, **options)
+        return out.select(*[F.col(f"`{inner.get(c, c)}`").alias(c) for c in docs.columns])
+
+    return run
+
+
 def batches_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (r for r in rows if r.num_rows)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tallyloom.llm.common import id_back, id_of, text_of, word_count
+from tallyloom.llm.common import columns_kept, id_back, id_of, text_of, word_count
 from tallyloom.sources.tables import stage
 
 WEIGHTS = (3, 1, 2)
@@ -153,6 +153,7 @@ def label_quality(labels: DataFrame) -> DataFrame:
     )
 
 
+@columns_kept
 def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **how) -> DataFrame:
     """The documents as often as the mix takes them, all columns as they are.
 

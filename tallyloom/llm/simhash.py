@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import batch, byte_list, components, id_back, signed, texts
+from tallyloom.llm.common import batch, byte_list, columns_kept, components, id_back, signed, texts
 from tallyloom.sources.tables import stage
 
 SHINGLE = 3
@@ -245,6 +245,7 @@ def simhash_groups(docs: DataFrame, differ: int = DIFFER) -> DataFrame:
     )
 
 
+@columns_kept
 def one_of_each(docs: DataFrame, differ: int = DIFFER) -> DataFrame:
     """The documents without near copies: of each group the row with the smallest id
     stays, of rows that share this id one. All columns are returned as they are."""

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import batch, byte_list, id_back, mixed, signed, texts
+from tallyloom.llm.common import batch, byte_list, columns_kept, id_back, mixed, signed, texts
 from tallyloom.sources.tables import stage
 
 LENGTH = 50
@@ -270,6 +270,7 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     )
 
 
+@columns_kept
 def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """The documents, repeated passages cut out of their texts.
 
