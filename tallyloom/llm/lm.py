@@ -1,25 +1,28 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-A word belongs to a class by its ending and, inside the class, to a slot by its hash;
-the end of a text is a class of its own. The model is P(class | context) times
-P(slot | class, context) times P(word | slot). The first two are softmaxes over sums of
-hashed weight rows, one row for each feature of the context: the word before, the two
-words before, the classes of these, and the words two and three back (skips); for slots
-the word before together with the class, and whether the word before was of this class
-and which slot it had. Without weights they give the corpus shares of classes and slots.
-P(word | slot) comes from the counts of all words of the training texts.
-
-That is where the words before were not met. Where they were, counts of all word pairs
-and triples of the training texts are mixed in, with a weight that grows with the count
-of the words before (a Dirichlet prior around the order below). No pair or triple is left
-out, so what is gathered grows with the corpus. Counts are kept in shards by hash: every
-block sends its distinct words, pairs and triples with their counts to the shards, which
-add them up and send the sums back.
-
-Texts are encoded once, in blocks with a dictionary each. Weights are trained in rounds over parts of the training
-documents: every task takes gradient steps over its blocks from the same weights, and
-its change is averaged with those of the others, row by row, by the number of tokens
-that moved it.
+A word belongs to a class by its ending, inside the class to a slot by its hash, and
+inside the slot to a leaf by more digits of its hash; the end of a text is a class of its
+own. The model is the product of P(class | context), P(slot | class, context) and P(digit
+| class, slot, digits before, context) for each digit, and P(word | leaf). All but the
+last are softmaxes over sums of hashed weight rows, one row for each feature of the
+context. For classes: the word before, the two words before, the classes of these, and the
+words two and three back (skips); for slots the word before together with the class, the
+classes before, and whether the word before was of this class and which slot it had; for
+digits the word before together with class, slot and digits before. Without weights they
+give the corpus shares. P(word | leaf) comes from the counts of all words of the training
+texts, so that without weights a word has its corpus share.
+
+What is learnt grows with the corpus: the counts with the distinct words, the number of
+digits with their logarithm, the rows of weights with the cube root of the training
+tokens. So does the stretch of text that a task trains on, so that the weights the tasks
+send are a constant share of the corpus.
+
+Texts are encoded once, in blocks with a dictionary each. Weights are trained in rounds
+over parts of the training documents: every task takes gradient steps over its blocks from
+the same weights, and its change is averaged with those of the others, row by row, by the
+number of tokens that moved it. Counts of words are kept in shards by hash: every block
+sends its distinct words with their counts to the shards, which add them up and send the
+sums back.
 """
 
 from __future__ import annotations
@@ -37,9 +40,11 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import batch, byte_list, id_back, id_of, mixed, text_of, bounded_batches
 from tallyloom.sources.tables import stage
 
-CLASSES = 32  # the first one is the end of the text
-SLOTS = 64
-ROWS = 2048  # rows of weights of each hashed feature
+CLASSES = 16  # the first one is the end of the text
+SLOTS = 16
+DIGIT = 16  # leaves of a slot are numbered by digits of this base
+ROWS = 2048  # rows of weights of each hashed feature in a small corpus
+DIGIT_ROWS = 4  # times as many for a digit
 BLOCK_TOKENS = 1 << 20
 WORKER_TOKENS = 4 << 20
 ROUNDS = 2
@@ -48,8 +53,6 @@ STEP_TOKENS = 8192
 SEGMENTS = 16
 END_WORD = b" "  # no word has a blank
 
-# Counts of words after so many words, and the strength of the prior around the order below.
-PRIOR = {1: 64.0, 2: 16.0}
 SHARD_TOKENS = 1 << 19
 
 CLASS_FEATURES = 5
@@ -74,30 +77,67 @@ def outcome_of(word: bytes) -> int:
     return own * SLOTS + xxhash.xxh32_intdigest(word, 1) % SLOTS
 
 
+def growth(tokens: int) -> float:
+    """How much larger weights and the stretches of a task are than in a small corpus."""
+    return float(np.cbrt(1 + tokens / WORKER_TOKENS))
+
+
+def depth_of(words: int) -> int:
+    """Digits below a slot: leaves grow with the square root of the distinct words."""
+    return max(2, int(np.log(max(words, 1)) / np.log(DIGIT) / 2) + 1)
+
+
+def prefix_of(hashes: np.ndarray, digits: int) -> np.ndarray:
+    """The first digits of the hashes as a number."""
+    return (hashes >> np.uint64(64 - 4 * digits)).astype(np.int64) if digits else np.zeros(len(hashes), np.int64)
+
+
 class Priors(NamedTuple):
-    """Logarithms of the corpus shares, and what the words of a slot share."""
+    """Logarithms of the corpus shares, and what the words of a slot and of a leaf share."""
 
     classes: np.ndarray
     slots: np.ndarray  # (class, slot)
     mass: np.ndarray  # counts of the words of an outcome, smoothed
+    digits: tuple = ()  # for each digit (outcome and digits before, digit)
+    leaves: np.ndarray | None = None  # counts of the words of a leaf, smoothed
 
     @staticmethod
-    def of(outcome: np.ndarray, count: np.ndarray, types: np.ndarray) -> Priors:
+    def of(outcome: np.ndarray, count: np.ndarray, types: np.ndarray, leaf: np.ndarray | None = None, depth: int = 0) -> Priors:
+        """From counts and distinct words of outcomes, or of their leaves."""
         mass = np.full(CLASSES * SLOTS, 0.5)
-        mass[outcome] += count + 0.5 * types
+        np.add.at(mass, outcome, count + 0.5 * types)
         mass[0] = max(0.5, mass[0] - 1.0)  # the end has neither smoothing nor unknowns
         grid = mass.reshape(CLASSES, SLOTS)
         total = grid.sum(1)
         total[0] = mass[0]
+        digits, leaves = [], None
+        if leaf is not None:
+            leaves = np.zeros(CLASSES * SLOTS * DIGIT**depth)
+            leaves[outcome * DIGIT**depth + leaf] = count + 0.5 * types
+            for k in range(depth):
+                held = leaves.reshape(CLASSES * SLOTS * DIGIT**k, DIGIT, -1).sum(2)
+                share = held / np.maximum(held.sum(1), 1e-30)[:, None]
+                digits.append(np.log(np.maximum(share, 1e-30)).astype(np.float32))
+            leaves = leaves.astype(np.float32)
         return Priors(
-            np.log(total / total.sum()).astype(np.float32), np.log(grid / grid.sum(1)[:, None]).astype(np.float32), mass
+            np.log(total / total.sum()).astype(np.float32), np.log(grid / grid.sum(1)[:, None]).astype(np.float32), mass,
+            tuple(digits), leaves,
         )
 
+    def of_words(self, hashes: np.ndarray, outcomes: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Logarithm of P(word | leaf) of words met in training, with that of being one of
+        those; of the unknown word of their outcome for the others; 0 for the end."""
+        depth = len(self.digits)
+        leaf = self.leaves[outcomes * DIGIT**depth + prefix_of(hashes, depth)]
+        unknown = 0.5 / self.mass[outcomes]
+        met = np.log(count + 0.5) - np.log(np.maximum(leaf, 0.5)) + np.log1p(-np.minimum(unknown, 0.999))
+        return np.where(outcomes > 0, np.where(count > 0, met, np.log(unknown)), 0.0)
+
 
 class Contexts:
     """Rows of weights of each feature of the tokens of a stretch of documents."""
 
-    def __init__(self, hashes: np.ndarray, outcomes: np.ndarray, begins: np.ndarray) -> None:
+    def __init__(self, hashes: np.ndarray, outcomes: np.ndarray, begins: np.ndarray, rows: int = ROWS, depth: int = 0) -> None:
         """``begins``: place of each token in its document."""
         n = len(hashes)
         back = []
@@ -116,20 +156,25 @@ class Contexts:
             classes.append(c)
         own = outcomes // SLOTS
         odd = np.uint64(0x9E3779B97F4A7C15)
-        row = lambda x: (mixed(x) >> np.uint64(40)).astype(np.int64) % ROWS
+        row = lambda x: (mixed(x) >> np.uint64(40)).astype(np.int64) % rows
         self.classes = [
             row(back[0]),
-            ROWS + row(back[0] * odd + back[1]),
-            2 * ROWS + row(classes[0] * np.uint64(CLASSES + 1) + classes[1]),
-            3 * ROWS + row(back[1] + np.uint64(2)),
-            4 * ROWS + row(back[2] + np.uint64(3)),
+            rows + row(back[0] * odd + back[1]),
+            2 * rows + row(classes[0] * np.uint64(CLASSES + 1) + classes[1]),
+            3 * rows + row(back[1] + np.uint64(2)),
+            4 * rows + row(back[2] + np.uint64(3)),
         ]
         same = classes[0].astype(np.int64) == own + 1
         self.slots = [
             row(back[0] * odd + own.astype(np.uint64)),
-            ROWS + row(classes[0] * np.uint64(1 << 20) + classes[1] * np.uint64(1 << 10) + own.astype(np.uint64)),
-            2 * ROWS + np.where(same, slots, SLOTS),
+            rows + row(classes[0] * np.uint64(1 << 20) + classes[1] * np.uint64(1 << 10) + own.astype(np.uint64)),
+            2 * rows + np.where(same, slots, SLOTS),
         ]
+        self.digits = []  # of each digit: row, outcome with the digits before, the digit
+        for k in range(depth):
+            before = outcomes * DIGIT**k + prefix_of(hashes, k)
+            at = mixed(back[0] * odd + before.astype(np.uint64) + np.uint64(k)) >> np.uint64(32)
+            self.digits.append(((at % np.uint64(DIGIT_ROWS * rows)).astype(np.int64), before, prefix_of(hashes, k + 1) % DIGIT))
 
 
 class Weights:
@@ -139,11 +184,14 @@ class Weights:
     the system every time, which takes far longer than filling them.
     """
 
-    def __init__(self, classes: np.ndarray | None = None, slots: np.ndarray | None = None) -> None:
-        self.classes = np.zeros((CLASS_ROWS, CLASSES), np.float32) if classes is None else classes.copy()
-        self.slots = np.zeros((SLOT_ROWS, SLOTS), np.float32) if slots is None else slots.copy()
-        self.tables = (self.classes, self.slots)
-        self.kept = [[np.empty((STEP_TOKENS, t.shape[1]), np.float32) for _ in range(4)] for t in self.tables]
+    def __init__(self, rows: int = ROWS, depth: int = 0, tables: list[np.ndarray] | None = None) -> None:
+        if tables is None:
+            shapes = [(CLASS_FEATURES * rows, CLASSES), (2 * rows + SLOTS + 1, SLOTS), *[(DIGIT_ROWS * rows, DIGIT)] * depth]
+            tables = [np.zeros(shape, np.float32) for shape in shapes]
+        self.tables = [t.copy() for t in tables]
+        self.classes, self.slots = self.tables[:2]
+        widths = {t.shape[1]: [np.empty((STEP_TOKENS, t.shape[1]), np.float32) for _ in range(4)] for t in self.tables}
+        self.kept = [widths[t.shape[1]] for t in self.tables]
 
     def prepare(self) -> None:
         self.squares = [np.full_like(t, 1.0) for t in self.tables]
@@ -175,23 +223,40 @@ class Weights:
             out[at] += np.where(own > 0, inner, 0.0)
         return out
 
+    def digit_logs(self, c: Contexts, known: np.ndarray, priors: Priors) -> np.ndarray:
+        """Natural logarithm of P(digits | class, slot) of the known words, else 0."""
+        out = np.zeros(len(known))
+        at = np.flatnonzero(known)
+        for b in range(0, len(at), STEP_TOKENS):
+            part = at[b : b + STEP_TOKENS]
+            for k, start in enumerate(priors.digits):
+                rows, before, hit = (x[part] for x in c.digits[k])
+                out[part] += self._shares(2 + k, [rows], hit, start, before)[2]
+        return out
+
     def train(self, c: Contexts, outcomes: np.ndarray, priors: Priors) -> None:
         for b in range(0, len(outcomes), STEP_TOKENS):
             at = slice(b, b + STEP_TOKENS)
             own, slot = outcomes[at] // SLOTS, outcomes[at] % SLOTS
-            for which, rows, hit in ((0, c.classes, own), (1, c.slots, slot)):
-                rows = [r[at] for r in rows]
-                miss, total, _ = self._shares(which, rows, hit, (priors.classes, priors.slots)[which], own if which else None)
-                miss /= total
-                miss[np.arange(len(hit)), hit] -= 1
-                if which:
-                    miss[own == 0] = 0  # the end has one slot
-                for r in rows:
-                    self._step(which, r, miss)
+            self._learn(0, [r[at] for r in c.classes], own, priors.classes, None)
+            words = np.flatnonzero(own > 0)  # the end has one slot
+            self._learn(1, [r[at][words] for r in c.slots], slot[words], priors.slots, own[words])
+            for k, start in enumerate(priors.digits):
+                rows, before, hit = (x[at][words] for x in c.digits[k])
+                self._learn(2 + k, [rows], hit, start, before)
+
+    def _learn(self, which: int, rows: list[np.ndarray], hit: np.ndarray, start: np.ndarray, own: np.ndarray | None) -> None:
+        if len(hit):
+            miss, total, _ = self._shares(which, rows, hit, start, own)
+            miss /= total
+            miss[np.arange(len(hit)), hit] -= 1
+            for r in rows:
+                self._step(which, r, miss)
 
     def _step(self, which: int, rows: np.ndarray, miss: np.ndarray) -> None:
         _, more, sums, old = self.kept[which]
-        order = np.argsort(rows.astype(np.int16), kind="stable")
+        low = rows.min()  # 16 bits sort faster
+        order = np.argsort((rows - low).astype(np.uint16 if rows.max() - low < 1 << 16 else np.int64), kind="stable")
         ordered = rows[order]
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         own = ordered[first]
@@ -224,7 +289,7 @@ def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = list(index)
         found = batch(
             BLOCK_SCHEMA, block=[(task << 32) + number], ids=[ids], sizes=[sizes], held=[held], tokens=[flat],
-            words=[[w.decode() for w in words]], counts=[np.bincount(flat[~out], minlength=len(words))],
+            counts=[np.bincount(flat[~out], minlength=len(words))],
             outcomes=[np.array([outcome_of(w) for w in words], np.int32)],
             hashes=[np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64)],
         )
@@ -247,10 +312,10 @@ def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 BLOCK_SCHEMA = pa.schema(
-    [("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("held", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int32())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("outcomes", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))]
+    [("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("held", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64())), ("outcomes", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))]
 )
 SCORED = ["ids", "sizes", "held", "tokens", "outcomes", "hashes"]
-BLOCK_DDL = "block long, ids array<long>, sizes array<int>, held array<boolean>, tokens array<int>, words array<string>, counts array<long>, outcomes array<int>, hashes array<long>"
+BLOCK_DDL = "block long, ids array<long>, sizes array<int>, held array<boolean>, tokens array<int>, counts array<long>, outcomes array<int>, hashes array<long>"
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -274,24 +339,6 @@ def stretches(sizes: np.ndarray, least: int = 1 << 17) -> Iterator[tuple[int, in
         first = last
 
 
-def gram_keys(hashes: np.ndarray, begins: np.ndarray, order: int) -> np.ndarray:
-    """Keys of the tokens with the ``order`` words before each."""
-    odd = np.uint64(0x9E3779B97F4A7C15)
-    keys = np.full(len(hashes), order, np.uint64)
-    for k in range(order + 1):
-        h = np.zeros(len(hashes), np.uint64)
-        at = np.flatnonzero(begins >= k)
-        h[at] = hashes[at - k]
-        keys = mixed(keys * odd + h)
-    return keys
-
-
-def grams(hashes: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Order, distinct keys and places of the tokens among these: words, pairs, triples."""
-    for order in range(len(PRIOR) + 1):
-        yield order, *np.unique(gram_keys(hashes, begins, order), return_inverse=True)
-
-
 def packed(x: np.ndarray) -> bytes:
     """64-bit numbers byte by byte, as their high bytes are mostly equal."""
     return x.view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -301,24 +348,24 @@ def unpacked(x: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
-def gram_counts(blocks: DataFrame, tokens: int) -> DataFrame:
-    """block, shard, kind (the order), n: the corpus counts of the distinct keys of each
-    block, cut by shard, in the order of the keys."""
+def word_counts(blocks: DataFrame, tokens: int) -> DataFrame:
+    """block, shard, n: the corpus counts of the words of each block, cut by shard, in the
+    order of their hashes."""
     shards = max(1, tokens // SHARD_TOKENS)
-    schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
+    schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, sizes, held, numbers, hashes in rows_of(batches):
-            training = ~np.repeat(held, sizes)
-            for kind, distinct, at in grams(hashes.view(np.uint64)[numbers], places(sizes)):
-                n = np.bincount(at[training], minlength=len(distinct)).astype(np.int64)
-                shard = ((distinct >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-                own, first = np.unique(shard, return_index=True)
-                cuts = list(zip(first, np.append(first[1:], len(shard))))
-                yield batch(
-                    schema, shard=own.astype(np.int32), block=[block] * len(own), kind=[kind] * len(own),
-                    keys=[packed(np.diff(distinct[a:b], prepend=np.uint64(0))) for a, b in cuts], n=[packed(n[a:b]) for a, b in cuts],
-                )
+        for block, counts, hashes in rows_of(batches):
+            hashes = hashes.view(np.uint64)
+            order = np.argsort(hashes)
+            words, n = hashes[order], counts[order]
+            shard = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+            own, first = np.unique(shard, return_index=True)
+            cuts = list(zip(first, np.append(first[1:], len(shard))))
+            yield batch(
+                schema, shard=own.astype(np.int32), block=[block] * len(own),
+                keys=[packed(np.diff(words[a:b], prepend=np.uint64(0))) for a, b in cuts], n=[packed(n[a:b]) for a, b in cuts],
+            )
 
     def answer(table: pa.Table) -> pa.Table:
         keys = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("keys").to_pylist()]
@@ -327,47 +374,33 @@ def gram_counts(blocks: DataFrame, tokens: int) -> DataFrame:
         total = np.bincount(at, weights=n, minlength=len(distinct)).astype(np.int64)[at]
         cut = np.cumsum([len(k) for k in keys])[:-1]
         return pa.table(
-            {c: table.column(c) for c in ("block", "shard", "kind")} | {"n": pa.array([packed(x) for x in np.split(total, cut)], pa.binary())}
+            {c: table.column(c) for c in ("block", "shard")} | {"n": pa.array([packed(x) for x in np.split(total, cut)], pa.binary())}
         )
 
     return (
-        blocks.select("block", "sizes", "held", "tokens", "hashes")
-        .mapInArrow(ask, "shard int, block long, kind int, keys binary, n binary")
+        blocks.select("block", "counts", "hashes")
+        .mapInArrow(ask, "shard int, block long, keys binary, n binary")
         .groupBy("shard")
-        .applyInArrow(answer, "block long, shard int, kind int, n binary")
+        .applyInArrow(answer, "block long, shard int, n binary")
     )
 
 
-def with_grams(logs: np.ndarray, met: dict[int, np.ndarray], begins: np.ndarray, documents: int) -> np.ndarray:
-    """Logarithms of the probabilities of tokens, given those of the lowest order, and how
-    often training has each token alone, with the word before and with the two before.
-
-    The words before a token were followed by some token as often as training has them;
-    the begin of a text, as often as there are texts.
-    """
-    p = np.exp(logs)
-    for order, strength in PRIOR.items():
-        before = np.concatenate([[0], met[order - 1][:-1]])
-        before[begins == 0] = documents
-        p = (met[order] + strength * p) / (before + strength)
-    return np.log(p)
-
-
 def trained(blocks: DataFrame, priors: Priors, tokens: int, rounds: int, worker_tokens: int) -> Weights:
     """Weights after gradient steps of all tasks, averaged after each round."""
     spark = blocks.sparkSession
-    weights = Weights()
-    workers = max(1, -(-tokens // worker_tokens))
+    size, depth = int(ROWS * growth(tokens)), len(priors.digits)
+    weights = Weights(size, depth)
+    workers = max(1, int(-(-tokens // (worker_tokens * growth(tokens)))))
     sqrt = max(1, int(np.sqrt(workers)))
     data = blocks.select("sizes", "held", "tokens", "outcomes", "hashes").coalesce(workers)
     schema = pa.schema([("segment", pa.int32()), ("salt", pa.int32()), ("moved", pa.binary()), ("change", pa.binary())])
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((weights.classes, weights.slots, tuple(priors)))
+        shared = spark.sparkContext.broadcast((weights.tables, tuple(priors)))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
-            classes, slots, own_priors = shared.value
+            tables, own_priors = shared.value
             own_priors = Priors(*own_priors)
-            own = Weights(classes, slots)
+            own = Weights(tables=tables)
             own.prepare()
             for sizes, held, numbers, outcomes, hashes in rows_of(batches):
                 hashes = hashes.view(np.uint64)
@@ -379,10 +412,10 @@ def trained(blocks: DataFrame, priors: Priors, tokens: int, rounds: int, worker_
                     flat = numbers[begin : begin + len(some)][some]
                     if len(flat):
                         outs = outcomes[flat]
-                        own.train(Contexts(hashes[flat], outs, places(sizes[a:b][take])), outs, own_priors)
+                        own.train(Contexts(hashes[flat], outs, places(sizes[a:b][take]), size, depth), outs, own_priors)
             salt = TaskContext.get().partitionId() % sqrt
             moved = np.concatenate(own.moved)
-            change = flat_weights(own) - flat_weights(Weights(classes, slots))
+            change = flat_weights(own.tables) - flat_weights(tables)
             for k, (m, d) in enumerate(zip(np.array_split(moved, SEGMENTS), np.array_split(change, SEGMENTS))):
                 yield batch(schema, segment=[k], salt=[salt], moved=[m.tobytes()], change=[(d * m[:, None]).tobytes()])
 
@@ -399,15 +432,15 @@ def trained(blocks: DataFrame, priors: Priors, tokens: int, rounds: int, worker_
         if rows:
             moved = np.concatenate([np.frombuffer(rows[k]["moved"], np.float32) for k in range(SEGMENTS)])
             change = np.concatenate([np.frombuffer(rows[k]["change"], np.float32) for k in range(SEGMENTS)]).reshape(len(moved), -1)
-            change = change / np.maximum(moved, 1)[:, None]
-            weights = Weights(weights.classes + change[:CLASS_ROWS, :CLASSES], weights.slots + change[CLASS_ROWS:, :SLOTS])
+            change = np.split(change / np.maximum(moved, 1)[:, None], np.cumsum([len(t) for t in weights.tables])[:-1])
+            weights = Weights(tables=[t + c[:, : t.shape[1]] for t, c in zip(weights.tables, change)])
     return weights
 
 
-def flat_weights(w: Weights) -> np.ndarray:
-    """Both tables below each other, of equal width."""
-    width = max(CLASSES, SLOTS)
-    return np.vstack([np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (w.classes, w.slots)])
+def flat_weights(tables: list[np.ndarray]) -> np.ndarray:
+    """The tables below each other, of equal width."""
+    width = max(t.shape[1] for t in tables)
+    return np.vstack([np.pad(t, ((0, 0), (0, width - t.shape[1]))) for t in tables])
 
 
 def lm_scores(docs: DataFrame, rounds: int = ROUNDS, worker_tokens: int = WORKER_TOKENS) -> DataFrame:
@@ -417,50 +450,56 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS, worker_tokens: int = WORKER
     doc_id, held_out, n_tokens (words and the end), n_known (of these, met in training),
     train_tokens, base_score (the log10 probability of single words, with 0.5 added to
     their counts) and score (that of the model). A word not met in training counts as
-    the unknown word of its class and slot. Null texts are empty, a null id is not held
+    the unknown word of its class and slot. Words go by a 64-bit hash. Texts are scored
+    whole, however long; repeated rows are scored, and learnt from, each. Null texts are empty, a null id is not held
     out. Without training texts the base is 0. An empty table gives no rows.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
     blocks = stage(docs.select(id_of().alias("doc_id"), out.alias("held"), text_of().alias("text")).mapInArrow(encode, BLOCK_DDL), "blocks")
-    words = blocks.select(F.explode(F.arrays_zip("words", "counts", "outcomes")).alias("col")).select(
-        F.col("col.words").alias("word"), F.col("col.counts").alias("n"), F.col("col.outcomes").alias("outcome")
+    words = blocks.select(F.explode(F.arrays_zip("hashes", "counts", "outcomes")).alias("col")).select("col.*")
+    counts = stage(
+        words.filter("counts > 0").groupBy("hashes").agg(F.sum("counts").alias("count"), F.any_value("outcomes").alias("outcome")), "words"
     )
-    counts = words.filter("n > 0").groupBy("word").agg(F.sum("n").alias("count"), F.any_value("outcome").alias("outcome"))
-    totals = counts.groupBy("outcome").agg(F.sum("count").alias("count"), F.count("*").alias("types")).orderBy("outcome").toArrow()
-    got = [totals.column(c).to_numpy() for c in ("outcome", "count", "types")]
-    n, v = int(got[1].sum()), int(got[2].sum())
-    priors = Priors.of(*got)
+    v = counts.count()
+    depth = depth_of(v)
+    # As many rows as leaves at most.
+    totals = counts.groupBy("outcome", F.shiftrightunsigned("hashes", 64 - 4 * depth).alias("leaf")).agg(
+        F.sum("count").alias("count"), F.count("*").alias("types")
+    ).orderBy("outcome", "leaf").toArrow()
+    got = [totals.column(c).to_numpy() for c in ("outcome", "count", "types", "leaf")]
+    n = int(got[1].sum())
+    priors = Priors.of(*got, depth)
     weights = trained(blocks, priors, n, rounds, worker_tokens)
-    documents = int(got[1][got[0] == 0].sum())
-    shared = spark.sparkContext.broadcast((weights.classes, weights.slots, tuple(priors)))
+    size = int(ROWS * growth(n))
+    shared = spark.sparkContext.broadcast((weights.tables, tuple(priors)))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     )
 
     def score(block: pa.Table, answers: pa.Table) -> pa.Table:
-        classes, slots, own_priors = shared.value
+        tables, own_priors = shared.value
         own_priors = Priors(*own_priors)
-        model = Weights(classes, slots)
-        sums: dict[int, list] = {}
-        for kind, _, found in sorted(zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "n")))):
-            sums.setdefault(kind, []).append(unpacked(found, np.int64))
+        model = Weights(tables=tables)
+        sums = sorted(zip(answers.column("shard").to_pylist(), answers.column("n").to_pylist()))
+        sums = np.concatenate([unpacked(x, np.int64) for _, x in sums])
         out = []
         for ids, sizes, held, numbers, outcomes, hashes in rows_of(block.select(SCORED).to_batches()):
             hashes = hashes.view(np.uint64)
-            met = {kind: np.concatenate(sums[kind])[at] for kind, _, at in grams(hashes[numbers], places(sizes))}
+            met = np.empty(len(hashes), np.int64)
+            met[np.argsort(hashes)] = sums
             for a, b in stretches(sizes):
                 begin = int(sizes[:a].sum())
                 part = sizes[a:b].astype(np.int64)
                 here = slice(begin, begin + int(part.sum()))
-                flat, own = numbers[here], {kind: x[here] for kind, x in met.items()}
-                outs, count = outcomes[flat], own[0]
+                flat = numbers[here]
+                outs, count = outcomes[flat], met[flat]
                 first = np.cumsum(part) - part
                 base = np.log10((count + 0.5) / (n + 0.5 * (v + 1)))
-                inside = np.where(outs > 0, np.log((count + 0.5) / own_priors.mass[outs]), 0.0)
-                logs = model.logs(Contexts(hashes[flat], outs, places(part)), outs, own_priors) + inside
-                logs = with_grams(logs, own, places(part), documents)
+                context = Contexts(hashes[flat], outs, places(part), size, depth)
+                logs = model.logs(context, outs, own_priors) + own_priors.of_words(hashes[flat], outs, count)
+                logs += model.digit_logs(context, (outs > 0) & (count > 0), own_priors)
                 out.append(batch(
                     schema, doc_id=ids[a:b], held_out=held[a:b], n_tokens=part,
                     n_known=np.add.reduceat((count > 0).astype(np.int64), first), train_tokens=np.full(len(part), n, np.int64),
@@ -471,7 +510,7 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS, worker_tokens: int = WORKER
     return (
         blocks.select("block", *SCORED)
         .groupBy("block")
-        .cogroup(gram_counts(blocks, n).groupBy("block"))
+        .cogroup(word_counts(blocks, n).groupBy("block"))
         .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
         .withColumn("doc_id", id_back("doc_id"))
     )

@@ -6,10 +6,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tallyloom.llm.catalog import QUERIES
 from tallyloom.llm import lm
-from tallyloom.llm.lm import CLASS_ROWS, CLASSES, SLOT_ROWS, SLOTS, Contexts, Priors, Weights, lm_scores, outcome_of
+from tallyloom.llm.common import mixed
+from tallyloom.llm.lm import CLASS_ROWS, CLASSES, DIGIT_ROWS, RATE, ROWS, SLOT_ROWS, SLOTS, Contexts, Priors, Weights, lm_scores, outcome_of
 
 DOCS = "doc_id long, text string, score string"
 
@@ -122,36 +124,100 @@ def test_context_tells_words_of_a_slot_apart(spark, monkeypatch, shard_tokens):
     assert got[held[0]] > got[held[1]] + 0.5
 
 
-def test_counts_of_grams_are_those_of_the_whole_corpus(spark, monkeypatch):
-    """Scores from brute-force counts of pairs and triples around the same lowest order."""
+def features(words, k, level, path):
+    """Keys of the weight rows of a token, by a scalar hash."""
+    def back(j):
+        return xxhash.xxh3_64_intdigest(words[k - j].encode()) if k >= j else 0
+
+    def kind(j):
+        return outcome_of(words[k - j].encode()) // SLOTS + 1 if k >= j else 0
+
+    def row(x, rows=ROWS, shift=40):
+        return (int(mixed(np.array([x % 2**64], np.uint64))[0]) >> shift) % rows
+
+    odd, own = 0x9E3779B97F4A7C15, path[0]
+    if level == 0:
+        keys = [back(1), back(1) * odd + back(2), kind(1) * (CLASSES + 1) + kind(2), back(2) + 2, back(3) + 3]
+        return [(level, f, row(x)) for f, x in enumerate(keys)]
+    if level == 1:
+        slot = outcome_of(words[k - 1].encode()) % SLOTS if k and kind(1) == own + 1 else None
+        return [(level, 0, row(back(1) * odd + own)), (level, 1, row(kind(1) * 2**20 + kind(2) * 2**10 + own)), (level, 2, slot)]
+    before = 0
+    for d in [own * SLOTS + path[1], *path[2:level]]:
+        before = before * 16 + d
+    return [(level, 0, row(back(1) * odd + before + level - 2, DIGIT_ROWS * ROWS, 32))]
+
+
+def path_of(word):
+    h = xxhash.xxh3_64_intdigest(word.encode())
+    return [*divmod(outcome_of(word.encode()), SLOTS), h >> 60, h >> 56 & 15]
+
+
+def test_trained_score_against_plain_loops(spark):
+    """Softmaxes, steps and scores word by word over dictionaries of weights."""
     rng = random.Random(4)
-    rows = [(i, " ".join(rng.choice("a b c d e f g".split()) for _ in range(rng.randint(0, 30)))) for i in range(150)]
-    df = spark.createDataFrame([(i, t, "s") for i, t in rows], DOCS).repartition(3)
-    monkeypatch.setattr(lm, "SHARD_TOKENS", 100)
-    got = {r.doc_id: r.score for r in lm_scores(df, rounds=0).collect()}
-    seen, count = Counter(), Counter()
-    for i, t in rows:
-        if zlib.crc32(str(i).encode()) % 5 != 1:
-            w = [None, None, *tokens(t)[:-1], "END"]
-            count.update(w[2:])
-            for k in range(2, len(w)):
-                seen.update([(1, w[k - 1]), (1, w[k - 1], w[k]), (2, w[k - 1], w[k - 2]), (2, w[k - 1], w[k - 2], w[k])])
-    slot, types = Counter(), Counter()
-    of = lambda w: 0 if w == "END" else outcome_of(w.encode())
-    for w, c in count.items():
-        slot[of(w)] += c
-        types[of(w)] += 1
-    keys = sorted(slot)
-    priors = Priors.of(np.array(keys), np.array([float(slot[k]) for k in keys]), np.array([types[k] for k in keys]))
-    for i, t in rows:
-        w = [None, None, *tokens(t)[:-1], "END"]
+    rows = [(i, " ".join(rng.choice("a b c d e f g big fig".split()) for _ in range(rng.randint(0, 12)))) for i in range(60)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], DOCS).coalesce(1)
+    got = {r.doc_id: r.score for r in lm_scores(df).collect()}
+    texts = [(zlib.crc32(str(i).encode()) % 5 == 1, [t or " " for t in tokens(x)]) for i, x in rows]
+    count = Counter(w for held, words in texts if not held for w in words)
+    share = Counter()
+    for w, n in count.items():
+        path = path_of(w)
+        for level in range(5):
+            share[tuple(path[:level])] += n + 0.5 * (w != " ")
+    for o in range(1, CLASSES * SLOTS):  # unknown words
+        share[()] += 0.5
+        share[(o // SLOTS,)] += 0.5
+    share[(0,)] = count[" "]
+    share[()] -= 0.5 * (SLOTS - 1)
+    mass = lambda o: share[o] + 0.5
+    inner = lambda c: sum(mass((c, d)) for d in range(SLOTS))
+    weights = {}
+
+    def shares(words, k, level, path):
+        rows_ = features(words, k, level, path)
+        if level == 0:
+            prior = [share[(c,)] if c == 0 else inner(c) for c in range(CLASSES)]
+        elif level == 1:
+            prior = [mass((path[0], d)) for d in range(SLOTS)]
+        else:
+            prior = [share[(*path[:level], d)] for d in range(16)]
+        total = [x * math.exp(sum(weights.get((r, d), 0.0) for r in rows_)) for d, x in enumerate(prior)]
+        return rows_, [x / sum(total) for x in total]
+
+    for turn in range(2):
+        step = []
+        for j, (held, words) in enumerate(texts):
+            if not held and (j + turn) % 2 == 0:
+                for k, w in enumerate(words):
+                    path = path_of(w)
+                    step += [(shares, words, k, level, path) for level in range(1 if w == " " else 4)]
+        for level in range(4):
+            slope = Counter()
+            for _, words, k, own, path in step:
+                if own == level:
+                    rows_, p = shares(words, k, level, path)
+                    for r in rows_:
+                        for d in range(16):
+                            slope[r, d] += p[d] - (d == path[level])
+            for key, g in slope.items():
+                weights[key] = weights.get(key, 0.0) - RATE * g / math.sqrt(1 + g * g)
+    for (i, _), (_, words) in zip(rows, texts):
         want = 0.0
-        for k in range(2, len(w)):
-            o = of(w[k])
-            p = math.exp(priors.classes[o // SLOTS])
-            if o:
-                p *= math.exp(priors.slots[o // SLOTS, o % SLOTS]) * (count[w[k]] + 0.5) / priors.mass[o]
-            p = (seen[1, w[k - 1], w[k]] + 64 * p) / (seen[1, w[k - 1]] + 64)
-            p = (seen[2, w[k - 1], w[k - 2], w[k]] + 16 * p) / (seen[2, w[k - 1], w[k - 2]] + 16)
-            want += math.log10(p)
-        assert got[i] == pytest.approx(want, abs=1e-3)
+        for k, w in enumerate(words):
+            path = path_of(w)
+            for level in range(1 if w == " " else 4):
+                if level < 2 or count[w]:
+                    want += math.log10(shares(words, k, level, path)[1][path[level]])
+            if w != " ":
+                unknown = 0.5 / mass(tuple(path[:2]))
+                want += math.log10((count[w] + 0.5) / share[tuple(path)] * (1 - unknown) if count[w] else unknown)
+        assert got[i] == pytest.approx(want, abs=0.02)
+
+
+def test_what_is_learnt_grows_with_the_corpus():
+    sizes = [lm.growth(n) for n in (0, 10**7, 10**9, 10**13)]
+    assert sizes[0] == 1 and sizes == sorted(sizes) and sizes[3] > 100
+    assert [lm.depth_of(v) for v in (0, 16**4, 16**6, 16**8)] == [2, 3, 4, 5]
+    assert Weights(4096, 3).tables[2].shape == (4 * 4096, 16)
