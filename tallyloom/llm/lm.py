@@ -156,7 +156,7 @@ class Contexts:
             classes.append(c)
         own = outcomes // SLOTS
         odd = np.uint64(0x9E3779B97F4A7C15)
-        row = lambda x: (mixed(x) >> np.uint64(40)).astype(np.int64) % rows
+        row = lambda x, among=rows: ((mixed(x) >> np.uint64(40)) * np.uint64(among) >> np.uint64(24)).view(np.int64)
         self.classes = [
             row(back[0]),
             rows + row(back[0] * odd + back[1]),
@@ -173,8 +173,8 @@ class Contexts:
         self.digits = []  # of each digit: row, outcome with the digits before, the digit
         for k in range(depth):
             before = outcomes * DIGIT**k + prefix_of(hashes, k)
-            at = mixed(back[0] * odd + before.astype(np.uint64) + np.uint64(k)) >> np.uint64(32)
-            self.digits.append(((at % np.uint64(DIGIT_ROWS * rows)).astype(np.int64), before, prefix_of(hashes, k + 1) % DIGIT))
+            at = row(back[0] * odd + before.astype(np.uint64) + np.uint64(k), DIGIT_ROWS * rows)
+            self.digits.append((at, before, prefix_of(hashes, k + 1) & (DIGIT - 1)))
 
 
 class Weights:
@@ -206,10 +206,11 @@ class Weights:
         for r in rows[1:]:
             out += np.take(self.tables[which], r, axis=0, out=more, mode="clip")
         out += start if own is None else np.take(start, own, axis=0, out=more, mode="clip")
-        out -= out.max(axis=1, keepdims=True)
+        # Rows are short: the largest of each is found faster across than along them.
+        out -= np.maximum.reduce(np.ascontiguousarray(out.T), axis=0)[:, None]
         chosen = out[np.arange(n), hit]
         np.exp(out, out=out)
-        total = out.sum(axis=1, keepdims=True)
+        total = np.einsum("ij->i", out)[:, None]
         return out, total, chosen - np.log(total[:, 0])
 
     def logs(self, c: Contexts, outcomes: np.ndarray, priors: Priors) -> np.ndarray:

@@ -132,8 +132,8 @@ def features(words, k, level, path):
     def kind(j):
         return outcome_of(words[k - j].encode()) // SLOTS + 1 if k >= j else 0
 
-    def row(x, rows=ROWS, shift=40):
-        return (int(mixed(np.array([x % 2**64], np.uint64))[0]) >> shift) % rows
+    def row(x, rows=ROWS):
+        return (int(mixed(np.array([x % 2**64], np.uint64))[0]) >> 40) * rows >> 24
 
     odd, own = 0x9E3779B97F4A7C15, path[0]
     if level == 0:
@@ -145,7 +145,7 @@ def features(words, k, level, path):
     before = 0
     for d in [own * SLOTS + path[1], *path[2:level]]:
         before = before * 16 + d
-    return [(level, 0, row(back(1) * odd + before + level - 2, DIGIT_ROWS * ROWS, 32))]
+    return [(level, 0, row(back(1) * odd + before + level - 2, DIGIT_ROWS * ROWS))]
 
 
 def path_of(word):
