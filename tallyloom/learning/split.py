@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.learning.features import class_table
+from tallyloom.operators.copies import split_repeated
 from tallyloom.operators.rank import row_numbers, with_stats
 from tallyloom.sources.tables import stage
 from tallyloom.spec import col, require_columns
@@ -37,7 +39,15 @@ def class_quotas(classes: DataFrame, test_size: float) -> DataFrame:
 
 def numbered_copies(df: DataFrame) -> DataFrame:
     """All rows with the number of each among its copies (``_copy``), whatever the order or
-    the partitions of the table. Copies are counted, and dealt out again in chunks."""
+    the partitions of the table. Rows that may have copies are counted, and dealt out again in
+    chunks; the others are not shuffled."""
+    once, repeated = split_repeated(df)
+    parts = [] if once is None else [once.withColumn("_copy", F.lit(0).cast("long"))]
+    parts += [] if repeated is None else [_numbered(repeated)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
     counted = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES_AT_ONCE))))
     dealt = chunks.repartition(F.xxhash64(*[col(c) for c in df.columns], F.col("_chunk")))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import clean_label
+from tallyloom.operators.copies import split_repeated
 from tallyloom.operators.profile import modes, null_cells
 from tallyloom.operators.rank import medians, top_rows
 from tallyloom.sources.tables import stage
@@ -31,8 +32,15 @@ class Cleaned:
 
 
 def dedupe(df: DataFrame) -> DataFrame:
-    """One row of each group of identical rows; missing equals missing."""
-    return nan_to_null(df).dropDuplicates()
+    """One row of each group of identical rows; missing equals missing.
+
+    Only rows that may have a copy are shuffled (``copies.split_repeated``).
+    """
+    once, repeated = split_repeated(nan_to_null(df))
+    if repeated is None:
+        return once
+    unique = repeated.dropDuplicates()
+    return unique if once is None else once.unionAll(unique)
 
 
 def fit_fills(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.copies import split_repeated
 from tallyloom.operators.rank import drop_null_keys, empty_table, quantiles, top_per_group
 from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, numeric_columns, present, require_columns, string_columns
@@ -104,10 +105,12 @@ def total_nulls(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each group of identical rows."""
-    groups = df.groupBy(*[present(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)]).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    """Rows beyond the first of each group of identical rows; only rows that may have a copy
+    are shuffled."""
+    repeated = split_repeated(df.select(*[present(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)]))[1]
+    if repeated is None:
+        return empty_table(df, "n bigint").agg(F.count("n").alias("n_duplicates"))
+    groups = repeated.groupBy(*repeated.columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
