@@ -67,6 +67,41 @@ def test_density_keeps_points_out_of_reach(spark):
     assert len(rows) == 200
 
 
+def exact_density(x, points=200):
+    grid, h = np.linspace(x.min(), x.max(), points), x.std(ddof=1) * len(x) ** -0.2
+    kernels = np.exp(-(((grid[:, None] - x) / h) ** 2) / 2)
+    return kernels.sum(1) / (len(x) * h * np.sqrt(2 * np.pi)), 1 / (h * np.sqrt(2 * np.pi))
+
+
+def test_density_is_within_its_bound(spark):
+    rng = np.random.default_rng(5)
+    tables = {
+        "heavy": rng.standard_t(1.5, 4000),
+        "clumps": np.r_[rng.normal(0, 1e-3, 500), rng.normal(1e6, 1.0, 500)],
+        "far": 1e9 + rng.gamma(2.0, 10.0, 2000),
+        "few": np.array([1.0, 2.0, 2.0]),
+        "two": np.array([-1e-200, 1e-200]),
+    }
+    df = spark.createDataFrame([(g, float(v)) for g, x in tables.items() for v in x], "g string, x double")
+    rows = tl.density_curve(df, "x", "g").orderBy("g", "point").collect()
+    for g, x in tables.items():
+        mine = np.array([r["density"] for r in rows if r["g"] == g])
+        if g == "two":  # its squares are below the range of doubles, so it has no spread
+            assert len(mine) == 0
+            continue
+        expect, height = exact_density(x)
+        # of the value 1e9 itself a double keeps seven digits behind the point
+        assert len(mine) == 200 and mine.min() >= 0
+        assert np.abs(mine - expect).max() <= height * (1e-7 if g == "far" else 1e-10), g
+
+
+def test_density_passes_over_groups_with_infinities(spark):
+    rows = [("a", 1.0), ("a", float("inf")), ("b", 1.0), ("b", 2.0), ("b", None), ("c", -float("inf")), ("c", float("inf")), (None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    assert {r["g"] for r in tl.density_curve(df, "x", "g").collect()} == {"b"}
+    assert tl.density_curve(df.limit(0), "x", "g").count() == 0
+
+
 def test_box_plot_and_outliers(df, frame):
     rows = {r["g"]: r for r in tl.box_plot(df, "x", "g").collect()}
     far = tl.outliers(df, "x", "g").collect()
