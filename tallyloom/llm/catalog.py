@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.bytebpe import decode_documents, encode_documents, ids_text
+from tallyloom.llm.common import NO_ID
 from tallyloom.llm.infill import fill_in_middle, restored
 from tallyloom.llm.lm import lm_scores
 from tallyloom.llm.merkle import document_fingerprints
@@ -146,7 +147,9 @@ FROM o
 
 @query
 def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return pack_documents(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    copies = simhash_groups(docs).groupBy("doc_id").agg(F.coalesce(F.min("component_id"), F.lit(NO_ID)).alias("cluster"))
+    return pack_documents(docs, clusters=copies)
 
 
 @query

@@ -60,19 +60,30 @@ def best_fit(sizes: list[int], sources: list[int], groups: list[int], capacity:
     return out
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def _with_clusters(sized: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The documents and what marks their copies: the cluster of a text, shared by all rows of
+    the text, or else the text. Ids and texts meet in small rows, without the texts."""
+    given = clusters.select(id_of().alias("doc_id"), F.xxhash64(F.lit("cluster"), "cluster").alias("copies"), F.col("cluster").isNull().alias("none"))
+    marked = sized.join(given.where("NOT none").drop("none"), "doc_id", "left")
+    return marked.withColumn("copies", F.coalesce("copies", "text_key"))
+
+
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_rows: int = SHARD_ROWS, clusters: DataFrame | None = None) -> DataFrame:
     """Pieces of all documents and the bins they go to.
 
     Returns doc_id, piece (from 0), first_word, n_words, bin (string), place (order in
     the bin), source. A text longer than ``capacity`` words is cut into full pieces and
     a rest; full pieces fill bins of their own. No bin holds more than ``capacity``
     words, two texts of equal content, or more than ``per_source`` pieces of a source
-    (null is a source of its own). Texts without words get one piece of no words and no
+    (null is a source of its own). ``clusters`` (doc_id, cluster), one row for each id, widens
+    equal content to groups of copies of any kind: no bin then holds two documents of a cluster
+    either; an id that is missing there, or whose cluster is null, goes by its text. Texts without words get one piece of no words and no
     bin. Equal rows go to different bins. An empty table gives no rows.
     """
     sized = docs.select(
         id_of().alias("doc_id"), F.col("source").cast("string").alias("source"), text_of().alias("text")
     ).select("doc_id", "source", F.xxhash64("text").alias("text_key"), word_count(F.col("text")).alias("size"))
+    sized = sized.withColumn("copies", F.col("text_key")) if clusters is None else _with_clusters(sized, clusters)
     last = F.greatest(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / capacity))
     pieces = stage(
         sized.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
@@ -93,8 +104,8 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int =
         size = shown.column("n_words").to_numpy()
         names = shown.column("source").to_pylist()
         number = {s: i for i, s in enumerate(dict.fromkeys(names))}
-        # Only contents that occur more than once in the shard can be in conflict.
-        _, group, times = np.unique(shown.column("text_key").to_numpy(), return_inverse=True, return_counts=True)
+        # Only copies that occur more than once in the shard can be in conflict.
+        _, group, times = np.unique(shown.column("copies").to_numpy(), return_inverse=True, return_counts=True)
         groups = np.where(times[group] > 1, (np.cumsum(times > 1) - 1)[group], -1)
         some = int((size > 0).sum())  # pieces without words come last
         bins = np.array(best_fit(size[:some].tolist(), [number[s] for s in names[:some]], groups[:some].tolist(), capacity, per_source), np.int64)
@@ -110,7 +121,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int =
 
     return (
         pieces.withColumn("shard", shard)
-        .select("shard", "doc_id", "text_key", "piece", "first_word", "n_words", "source")
+        .select("shard", "doc_id", "text_key", "copies", "piece", "first_word", "n_words", "source")
         .groupBy("shard")
         .applyInArrow(lambda t: pa.Table.from_batches(list(run(t.to_batches()))), "doc_id long, piece long, first_word long, n_words long, bin string, place int, source string")
         .withColumn("doc_id", id_back("doc_id"))

@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from tallyloom.llm.catalog import QUERIES
 from tallyloom.llm.packing import best_fit, pack_documents
 
@@ -75,3 +77,39 @@ def test_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     check(rows, QUERIES["op6_best_fit_packing"](spark, sf).collect(), 4096, 4)
+
+
+def apart(packed, cluster):
+    """No bin holds two documents of a cluster."""
+    held = defaultdict(set)
+    for p in packed:
+        if p.bin is not None:
+            held[p.bin, cluster[p.doc_id]].add(p.doc_id)
+    return all(len(ids) == 1 for ids in held.values())
+
+
+def test_documents_of_a_cluster_are_kept_apart(spark):
+    rng = random.Random(4)
+    # A third of all documents are near copies of one, others come in small groups or alone.
+    rows = [(i, f"w{i} " * rng.randint(1, 9), rng.choice(["a", "b", "c", None]), "x") for i in range(300)]
+    cluster = {i: 0 if i % 3 == 0 else rng.randint(1, 20) if i % 3 == 1 else None for i in range(300)}
+    rows += [(400 + i, "one text twice", "a", "x") for i in range(2)] + [(500, "", "a", "x"), (None, "a b", "a", "x")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"cluster": F.lit(1), "copies": F.lit(1), "none": F.lit(True)})
+    table = spark.createDataFrame([*cluster.items(), (None, 0), (500, 0)], "doc_id long, cluster long")
+    packed = pack_documents(df, 64, 50, 100, table).collect()
+    assert Counter(p.doc_id for p in packed) == Counter(r[0] for r in rows)
+    check(rows, packed, 64, 50)
+    alone = {r[0]: ("alone", r[1]) if cluster.get(r[0]) is None else cluster[r[0]] for r in rows} | {None: 0, 500: 0}
+    assert apart(packed, alone)
+    assert not apart(pack_documents(df, 64, 50, 100).collect(), alone)
+    again = pack_documents(df.repartition(5), 64, 50, 100, table.repartition(3)).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, packed), key=repr)
+    none = pack_documents(df, 64, 50, 100, table.limit(0)).collect()
+    assert sorted(map(tuple, none), key=repr) == sorted(map(tuple, pack_documents(df, 64, 50, 100).collect()), key=repr)
+
+
+def test_the_query_keeps_near_copies_apart(spark):
+    sf = "/root/testdata/sf0.001"
+    cluster = {r.doc_id: r.component_id for r in QUERIES["op9_simhash_groups"](spark, sf).collect()}
+    assert len(set(cluster.values())) < len(cluster)
+    assert apart(QUERIES["op6_best_fit_packing"](spark, sf).collect(), cluster)
