@@ -9,12 +9,18 @@ from tallyloom.operators.rank import in_ranges
 from tallyloom.spec import col, require_columns
 
 
-def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """``(actual, predicted, n)`` over all labels seen on either side, zeros included."""
+def confusion(df: DataFrame, actual: str, predicted: str, zeros: bool = True) -> DataFrame:
+    """``(actual, predicted, n)`` over all labels seen on either side, zeros included.
+
+    With ``zeros`` every pair of labels has a row. Leave them out where the labels are many:
+    the measures of a class are the same without them.
+    """
     require_columns(df, [actual, predicted])
     cells = df.groupBy(
         col(actual).cast("string").alias("actual"), col(predicted).cast("string").alias("predicted")
     ).agg(F.count(F.lit(1)).alias("n"))
+    if not zeros:
+        return cells
     # The filter keeps the count in both uses of this table, so that one shuffle serves both.
     cells = cells.where("n > 0")
     labels = (

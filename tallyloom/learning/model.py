@@ -125,7 +125,7 @@ def train_and_evaluate(
     scored = predict(model, test, spec.positive_label)
     kept = scored.select(col(spec.target).alias("actual"), "predicted", "score")
     predictions = stage(kept, "predictions")
-    cells = metrics.confusion(predictions, "actual", "predicted")
+    cells = metrics.confusion(predictions, "actual", "predicted", zeros=False)
     auc = metrics.roc_auc(predictions, "score", F.col("actual") == spec.positive_label)
     single = metrics.scores(cells, spec.positive_label).withColumn(
         "roc_auc", auc.select("roc_auc").scalar()
@@ -137,7 +137,7 @@ def train_and_evaluate(
         model=model,
         predictions=predictions,
         sizes=sizes,
-        confusion=cells,
+        confusion=metrics.confusion(predictions, "actual", "predicted"),
         report=metrics.classification_report(cells),
         scores=single,
         importance=feature_importance(model, train),
