@@ -350,14 +350,19 @@ def class_table(df: DataFrame, label: str) -> DataFrame:
 
 def class_weights(classes: DataFrame) -> DataFrame:
     """``(label, weight)`` with balanced weights: rows / (classes x rows of the class)."""
+    return classes.select("label", _balanced(classes).alias("weight"))
+
+
+def _balanced(classes: DataFrame) -> Column:
     total, number = classes.agg(F.sum("n"), F.count(F.lit(1))).first()
-    return classes.select("label", (F.lit(float(total or 0)) / (F.lit(number) * F.col("n"))).alias("weight"))
+    return F.lit(float(total or 0)) / (F.lit(number) * F.col("n"))
 
 
 def with_class_weight(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
-    weights = class_weights(class_table(df, label)).toDF("_label", "_weight")
+    classes = class_table(df, label)
+    weights = classes.select(F.col("label").alias("_label"), _balanced(classes).alias("_weight"), F.col("n").alias("_size"))
     # Under names of their own, so that no column of the table meets one of the weights.
     inner = {c: f"c{i}" for i, c in enumerate(df.columns)}
     rows = df.select(*[col(c).alias(n) for c, n in inner.items()], col(label).cast("string").alias("_label"))
-    met = with_stats(rows, weights, ["_label"])
+    met = with_stats(rows, weights, ["_label"], "_size")
     return met.select(*[F.col(n).alias(c) for c, n in inner.items() if c != output], F.col("_weight").alias(output))

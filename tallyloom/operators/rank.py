@@ -18,9 +18,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.sources.tables import stage
-from tallyloom.spec import as_double, col, q
+from tallyloom.spec import as_double, col, columns_of, q
 
 STEPS = 4096
 # The summary's rank error is a share of 1 / ACCURACY of the rows; brackets allow three times it.
@@ -28,8 +29,11 @@ ACCURACY = 10_000
 MARGIN = 3.0 / ACCURACY
 SMALL = 4_096  # groups of so few rows need no bracket
 GATHERED = 1_000_000  # distinct values inside a bracket that one task may put in order
-# Rows meet statistics of their group in this many parts of the group, so that a group
-# with a large share of the rows is more than one task where Spark joins by shuffle.
+# Statistics of so many groups, whose texts have so many bytes, are broadcast.
+FEW_GROUPS, FEW_BYTES = 10_000, 4 << 20
+# A group of more rows than this meets its statistics in so many parts where they are joined by
+# shuffle, so that it is more than one task.
+HOT_ROWS = 1_000_000
 SALTS = 16
 
 
@@ -47,13 +51,38 @@ def empty_table(df: DataFrame, schema: str, by: Sequence[str] = ()) -> DataFrame
     return df.select(*[col(b) for b in by]).limit(0).join(none) if by else none
 
 
-def with_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join rows to the statistics of their key, keys split by salt. Where Spark knows the
-    statistics to be small it broadcasts them and rows stay in place."""
-    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def with_stats(
+    rows: DataFrame,
+    stats: DataFrame,
+    keys: Sequence[str],
+    size: str | None = None,
+    few: int = FEW_GROUPS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join rows to the statistics of their key.
+
+    The statistics are counted first, so they should be cheap to read. Few are broadcast and
+    rows stay in place. Others are never broadcast, whatever Spark takes a compressed file of
+    them to be; both sides are shuffled then. ``size`` names the statistic that tells how many
+    rows a key has: only keys of more than ``hot_rows`` are split by salt.
+    """
+    hot = F.coalesce(F.col(size) > hot_rows, F.lit(False)) if size else F.lit(False)
+    texts = [F.coalesce(F.octet_length(col(c)), F.lit(0)) for c in columns_of(stats, T.StringType, T.BinaryType)]
+    width = reduce(lambda a, b: a + b, texts, F.lit(0).cast("long"))
+    number, length, n_hot = stats.agg(F.count(F.lit(1)), F.sum(width), F.count_if(hot)).first()
+    if number <= few and (length or 0) <= FEW_BYTES:
+        return rows.join(F.broadcast(stats), list(keys))
+    if not n_hot:
+        return rows.join(stats.hint("merge"), list(keys))
+    # Hot keys are fewer than one in hot_rows rows.
+    split = stats.where(hot).select(*[col(k) for k in keys], F.lit(True).alias("_hot")).distinct()
+    part = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(hot, SALTS - 1).otherwise(0))))
     return (
-        rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-        .join(salted, [*keys, "_salt"], how)
+        rows.join(F.broadcast(split), list(keys), "left")
+        .withColumn("_salt", part)
+        .drop("_hot")
+        .join(salted.hint("merge"), [*keys, "_salt"])
         .drop("_salt")
     )
 
@@ -124,8 +153,8 @@ def _select(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> Dat
         )
         if open_.isEmpty():
             break
-        spans = open_.select(*key_cols, "_from", "_to").distinct()
-        inside = with_stats(long, spans, keys).where((x >= F.col("_from")) & (x <= F.col("_to")))
+        spans = open_.select(*key_cols, F.col("total").alias("_size"), "_from", "_to").distinct()
+        inside = with_stats(long, spans, keys, "_size").where((x >= F.col("_from")) & (x <= F.col("_to")))
         share = (x - F.col("_from")) / (F.col("_to") - F.col("_from"))
         digit = F.least(F.floor(share * STEPS), F.lit(STEPS - 1).cast("long"))
         finer = counted(inside, ["_from", "_to"], digit).drop("_total")
@@ -141,7 +170,7 @@ def _select(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> Dat
 
 def _bracketed(long: DataFrame, keys: Sequence[str], probs: Sequence[float], small: int, gathered: int) -> tuple[DataFrame, DataFrame]:
     """The values next to each wanted rank, ``(*keys, total, low_i, high_i)``, of the groups
-    where a bracket finds them, and the keys of the others."""
+    where a bracket finds them, and ``(*keys, total)`` of the others."""
     key_cols, x = [col(k) for k in keys], F.col("value")
     around = [min(1.0, max(0.0, p + side)) for p in probs for side in (-MARGIN, MARGIN)]
     sketch = stage(
@@ -166,7 +195,7 @@ def _bracketed(long: DataFrame, keys: Sequence[str], probs: Sequence[float], sma
     # Values outside the brackets are counted together by the brackets they lie beyond; within
     # one of these counts they come before all values inside.
     counts = (
-        with_stats(long, brackets, keys)
+        with_stats(long, brackets, keys, "total")
         .groupBy(*key_cols, "total", passed.alias("_passed"), F.when(inside, x).alias("_x"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -182,8 +211,8 @@ def _bracketed(long: DataFrame, keys: Sequence[str], probs: Sequence[float], sma
     sure = F.lit(True)
     for i in range(len(probs)):
         sure = sure & F.col(f"_low{i}").isNotNull() & F.col(f"_high{i}").isNotNull()
-    found = found.where(sure)
-    return found, sketch.select(*key_cols).join(found.select(*key_cols), list(keys), "left_anti")
+    rest = found.where(~sure).select(*key_cols, "total").unionByName(sketch.where(~narrow).select(*key_cols, "total"))
+    return found.where(sure), rest
 
 
 def quantiles(
@@ -194,15 +223,17 @@ def quantiles(
     names: Sequence[str] | None = None,
     small: int = SMALL,
     gathered: int = GATHERED,
+    count: str | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: one row per ``(*by, column)``.
 
     Rows with a null in ``by`` are left out, nulls and NaN are skipped. ``small`` and
     ``gathered`` bound what a task of the second pass sorts; the results do not depend on them.
+    ``count`` names a further column for the number of values.
     """
     names = list(names or [f"p{round(p * 100, 6):g}" for p in probs])
     if not columns or not probs:
-        return empty_table(df, "`column` string, " + ", ".join(f"{q(n)} double" for n in names), by)
+        return empty_table(df, "`column` string, " + ", ".join([*[f"{q(n)} double" for n in names], *([f"{q(count)} long"] if count else [])]), by)
     groups = [f"_g{i}" for i in range(len(by))]
     keys = [*groups, "column"]
     known = drop_null_keys(df, by).select(
@@ -216,7 +247,7 @@ def quantiles(
             for i in range(len(probs))
             for side, high in (("low", False), ("high", True))
         ]
-        near = _select(with_stats(long, rest, keys), keys, probs)
+        near = _select(with_stats(long, rest, keys, "total").drop("total"), keys, probs)
         more = near.groupBy(*[col(k) for k in keys]).agg(F.max("total").alias("total"), *sides)
         found = found.unionByName(more)
 
@@ -227,7 +258,8 @@ def quantiles(
         return F.when((share == 0) | (low == high), low).otherwise(low + (high - low) * share)
 
     return found.select(
-        *[F.col(g).alias(b) for b, g in zip(by, groups)], "column", *[interpolate(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))]
+        *[F.col(g).alias(b) for b, g in zip(by, groups)], "column", *[interpolate(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))],
+        *([F.col("total").alias(count)] if count else []),
     )
 
 

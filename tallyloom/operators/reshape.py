@@ -36,12 +36,12 @@ def crosstab_pct(df: DataFrame, a: str, b: str, zeros: bool = True) -> DataFrame
     out where the values are many.
     """
     cells = stage(crosstab_long(df, a, b).toDF("_a", "_b", "_n"), "cells")
-    totals = cells.groupBy("_a").agg(F.sum("_n").alias("_total"))
+    totals = cells.groupBy("_a").agg(F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_cells"))
     if zeros:
         values = cells.agg(F.collect_set("_b")).scalar()
         none = totals.select("_a", F.explode(values).alias("_b"), F.lit(0).cast("long").alias("_n"))
         cells = cells.unionByName(none).groupBy("_a", "_b").agg(F.sum("_n").alias("_n"))
-    return with_stats(cells, totals, ["_a"]).select(
+    return with_stats(cells, totals, ["_a"], "_cells").select(
         F.col("_a").alias(a), F.col("_b").alias(b), (F.col("_n") * 100 / F.col("_total")).alias("pct")
     )
 

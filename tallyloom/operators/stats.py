@@ -11,6 +11,7 @@ from tallyloom.functions.tails import chi2_tail, p_text, t_tail, verdict
 from tallyloom.operators.comoments import pair_correlations
 from tallyloom.operators.rank import drop_null_keys, empty_table, with_stats
 from tallyloom.operators.reshape import crosstab_long
+from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, numeric_columns, require_columns
 
 ALPHA = 0.05
@@ -133,9 +134,9 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = ALPHA) -> Da
     visited: what the empty ones add follows from the margins, so a large sparse table
     needs no grid of all pairs of values.
     """
-    cells = crosstab_long(df, a, b).toDF("a", "b", "o")
-    rows = cells.groupBy("a").agg(F.sum("o").alias("row_n"))
-    cols = cells.groupBy("b").agg(F.sum("o").alias("col_n"))
+    cells = stage(crosstab_long(df, a, b).toDF("a", "b", "o"), "cells")
+    rows = cells.groupBy("a").agg(F.sum("o").alias("row_n"), F.count(F.lit(1)).alias("row_cells"))
+    cols = cells.groupBy("b").agg(F.sum("o").alias("col_n"), F.count(F.lit(1)).alias("col_cells"))
     row_side = rows.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("row_n").alias("n"),
@@ -150,7 +151,7 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = ALPHA) -> Da
     o = F.col("o").cast("double")
     e = F.col("row_n") / F.col("n") * F.col("col_n")
     summed = (
-        with_stats(with_stats(cells, rows, ["a"]), cols, ["b"])
+        with_stats(with_stats(cells, rows, ["a"], "row_cells"), cols, ["b"], "col_cells")
         .withColumn("n", side.getField("n"))
         .agg(
             F.count(F.lit(1)).alias("n_cells"),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import tallyloom as tl
 from tallyloom.operators.rank import row_numbers, with_stats
+from tallyloom.sources.tables import stage
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
 
@@ -118,3 +119,24 @@ def test_group_columns_named_like_the_inner_ones(spark):
     found = tl.quantiles(df, ["x"], [0.5], by=names)
     assert found.columns == [*names, "column", "p50"]
     assert {(r["value"], r["p50"]) for r in found.collect()} == {(0, 28.5), (1, 29.5), (2, 30.5)}
+
+
+def test_many_statistics_are_not_broadcast(spark):
+    # Of a small file, whose rows are many: Spark would take it for small and hold it in the driver.
+    rows = spark.range(60_000).select((F.col("id") % 20_000).alias("k"), F.col("id").alias("v"))
+    stats = stage(spark.range(20_000).select(F.col("id").alias("k"), F.when(F.col("id") == 7, 3).otherwise(1).alias("n")))
+    for few, hot_rows, plain in ((10_000, 3, True), (10_000, 2, False), (20_000, 2, True)):
+        met = with_stats(rows, stats, ["k"], "n", few, hot_rows)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        # All statistics, or but the key that is split.
+        assert ("BroadcastHashJoin" in plan) == (few == 20_000 or hot_rows == 2)
+        assert ("SortMergeJoin" in plan) == (few == 10_000)
+        assert ("explode" in plan) == (not plain)
+        assert met.columns == ["k", "v", "n"]
+        assert met.agg(F.count("*"), F.countDistinct("v"), F.sum("n")).first() == (60_000, 60_000, 60_006)
+
+
+def test_statistics_of_long_texts_are_not_broadcast(spark):
+    stats = stage(spark.range(50).select(F.concat(F.col("id"), F.repeat(F.lit("x"), 100_000)).alias("k"), F.lit(1).alias("n")))
+    met = with_stats(stats.select("k"), stats, ["k"], "n")
+    assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString() and met.count() == 50
