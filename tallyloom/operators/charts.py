@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.rank import drop_null_keys, quantiles, with_stats
+from tallyloom.sources.tables import stage
 from tallyloom.spec import as_double, col, require_columns
 
 # Groups whose curves a task holds before it passes on its sums.
@@ -107,7 +108,7 @@ def density_curve(df: DataFrame, value: str, group: str, points: int = 200) -> D
     )
     place = (F.col("_x") - F.col("low")) / F.col("bandwidth")
     cells = (
-        with_stats(known, stats.drop("spread", "high"), ["_group"])
+        with_stats(known, stage(stats.drop("spread", "high"), "density"), ["_group"], "total")
         .withColumn("cell", F.floor(place))
         .withColumn("t", place - F.col("cell") - 0.5)
         .groupBy("_group", "total", "low", "bandwidth", "step", "cell")
@@ -179,9 +180,9 @@ def box_plot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataF
 
 def _boxes(known: DataFrame, reach: float) -> DataFrame:
     quartiles = quantiles(
-        known, ["x"], [0.25, 0.5, 0.75], by=["_g"], names=["q1", "median", "q3"]
+        known, ["x"], [0.25, 0.5, 0.75], by=["_g"], names=["q1", "median", "q3"], count="_size"
     ).drop("column")
-    placed = with_stats(known.where("x IS NOT NULL"), quartiles, ["_g"]).withColumn("n", F.lit(1).cast("long"))
+    placed = with_stats(known.where("x IS NOT NULL"), quartiles, ["_g"], "_size").withColumn("n", F.lit(1).cast("long"))
     low = F.col("q1") - (F.col("q3") - F.col("q1")) * reach
     high = F.col("q3") + (F.col("q3") - F.col("q1")) * reach
     x = F.col("x")
@@ -209,7 +210,7 @@ def _boxes(known: DataFrame, reach: float) -> DataFrame:
 def outliers(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataFrame:
     """The distinct values beyond the whiskers with their counts: ``(group, x, n)``."""
     rows = _by_group(df, value, group)
-    box = _boxes(rows, reach).select("_g", "whisker_low", "whisker_high")
+    box = stage(_boxes(rows, reach).where("n_below + n_above > 0").select("_g", "n", "whisker_low", "whisker_high"), "boxes")
     beyond = (F.col("x") < F.col("whisker_low")) | (F.col("x") > F.col("whisker_high"))
-    far = with_stats(rows, box, ["_g"]).where(beyond)
+    far = with_stats(rows, box, ["_g"], "n").where(beyond)
     return _named(far.groupBy("_g", "x").agg(F.count(F.lit(1)).alias("n")), group)

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 import tallyloom as tl
+from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -135,3 +136,10 @@ def test_answers_are_the_same_where_groups_are_shuffled(spark, frame, df):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert [r["density"] for r in again] == pytest.approx([r["density"] for r in curve], rel=1e-12)
+
+
+def test_outliers_of_more_groups_than_are_broadcast(spark):
+    rows = spark.range(88_000).select((F.col("id") % 11_000).alias("g"), F.when(F.col("id") < 11_000, 9.0).otherwise(1.0).alias("x"))
+    found = tl.outliers(rows, "x", "g")
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.agg(F.count("*"), F.min("x"), F.max("n")).first() == (11_000, 9.0, 1)
