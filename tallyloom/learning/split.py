@@ -50,7 +50,9 @@ def numbered_copies(df: DataFrame) -> DataFrame:
 def _numbered(df: DataFrame) -> DataFrame:
     counted = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES_AT_ONCE))))
-    dealt = chunks.repartition(F.xxhash64(*[col(c) for c in df.columns], F.col("_chunk")))
+    # By number: rows are few before they are dealt out, and Spark would join partitions so small.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunks.repartition(parts, F.xxhash64(*[col(c) for c in df.columns], F.col("_chunk")))
     first = F.col("_chunk") * COPIES_AT_ONCE
     last = F.least(first + COPIES_AT_ONCE, F.col("_n")) - 1
     return dealt.withColumn("_copy", F.explode(F.sequence(first, last))).select(*[col(c) for c in df.columns], "_copy")
@@ -89,7 +91,7 @@ def stratified_split(
     )
     cuts = _cuts(hashed.select("_label", "_h1", "_h2"), quotas)
     below = (F.col("_h1") < F.col("_c1")) | ((F.col("_h1") == F.col("_c1")) & (F.col("_h2") <= F.col("_c2")))
-    marked = with_stats(hashed, cuts, ["_label"]).withColumn("is_test", F.coalesce(below, F.lit(False)))
+    marked = with_stats(hashed, cuts, ["_label"], "_size").withColumn("is_test", F.coalesce(below, F.lit(False)))
     return marked.select(*[F.col(n).alias(c) for c, n in inner.items() if c != "is_test"], "is_test")
 
 
@@ -104,22 +106,24 @@ def _prefix(hash_: str, bits: int) -> Column:
 
 def _cuts(pool: DataFrame, quotas: DataFrame) -> DataFrame:
     """Per class the largest hash pair that still belongs to the test rows; null where
-    none does: ``(_label, _c1, _c2)``."""
+    none does, and its rows: ``(_label, _size, _c1, _c2)``."""
     zero = F.lit(0).cast("long")
-    todo = quotas.where("n_test > 0").select(F.col("label").alias("_label"), zero.alias("_p1"), zero.alias("_p2"), F.col("n_test").alias("_need"))
+    names = F.col("label").alias("_label"), F.col("n").alias("_size")
+    todo = quotas.where("n_test > 0").select(*names, zero.alias("_p1"), zero.alias("_p2"), F.col("n_test").alias("_need"))
     none = F.lit(None).cast("long")
-    found = quotas.where("n_test = 0").select(F.col("label").alias("_label"), none.alias("_c1"), none.alias("_c2"))
+    found = quotas.where("n_test = 0").select(*names, none.alias("_c1"), none.alias("_c2"))
     widths = [*range(_STEP_BITS, 64, _STEP_BITS), 64]
     steps = [(b, 0) for b in widths] + [(64, b) for b in widths]
     held = (0, 0)
     for bits in steps:
-        inside = with_stats(pool, todo, ["_label"]).where(
+        inside = with_stats(pool, todo, ["_label"], "_size").where(
             (_prefix("_h1", held[0]) == F.col("_p1")) & (_prefix("_h2", held[1]) == F.col("_p2"))
         )
-        pair = F.struct("_h1", "_h2")
+        # Smallest and largest of each hash: those of a pair would have the rows sorted.
+        ends = [end(h).alias(f"_{name}{h[-1]}") for h in ("_h1", "_h2") for name, end in (("lo", F.min), ("hi", F.max))]
         counts = inside.groupBy(
-            "_label", "_need", _prefix("_h1", bits[0]).alias("_q1"), _prefix("_h2", bits[1]).alias("_q2")
-        ).agg(F.count(F.lit(1)).alias("_n"), F.min(pair).alias("_lo"), F.max(pair).alias("_hi"))
+            "_label", "_size", "_need", _prefix("_h1", bits[0]).alias("_q1"), _prefix("_h2", bits[1]).alias("_q2")
+        ).agg(F.count(F.lit(1)).alias("_n"), *ends)
         upto = F.sum("_n").over(Window.partitionBy("_label").orderBy("_q1", "_q2"))  # at most 4096 prefixes
         hit = stage(
             counts.withColumn("_upto", upto)
@@ -128,10 +132,13 @@ def _cuts(pool: DataFrame, quotas: DataFrame) -> DataFrame:
             "cuts",
         )
         done = F.col("_left") == F.col("_n")
-        found = found.unionByName(hit.where(done).select("_label", F.col("_hi._h1").alias("_c1"), F.col("_hi._h2").alias("_c2")))
-        todo = hit.where(~done).select("_label", F.col("_q1").alias("_p1"), F.col("_q2").alias("_p2"), F.col("_left").alias("_need"))
+        # While the second hash does not part rows, all rows of the largest first hash are in.
+        second = F.col("_hi2") if bits[1] else F.lit((1 << 63) - 1)
+        found = found.unionByName(hit.where(done).select("_label", "_size", F.col("_hi1").alias("_c1"), second.alias("_c2")))
+        todo = hit.where(~done).select("_label", "_size", F.col("_q1").alias("_p1"), F.col("_q2").alias("_p2"), F.col("_left").alias("_need"))
         held = bits
-        open_, stuck = hit.agg(F.count_if(~done), F.count_if(~done & (F.col("_lo") == F.col("_hi")))).first()
+        one = F.col("_lo1").eqNullSafe(F.col("_hi1")) & F.col("_lo2").eqNullSafe(F.col("_hi2"))
+        open_, stuck = hit.agg(F.count_if(~done), F.count_if(~done & one)).first()
         if stuck:
             raise ValueError("the split key does not identify rows: rows at the cut share one hash")
         if not open_:

@@ -12,7 +12,7 @@ from tallyloom.learning.features import (
     class_weights,
     feature_names,
 )
-from tallyloom.learning.split import class_quotas
+from tallyloom.learning.split import class_quotas, numbered_copies
 from tallyloom.spec import CENSUS_INCOME
 
 SMALL = tl.ForestSize(trees=5, depth=4)
@@ -257,3 +257,18 @@ def test_whole_run_from_text(spark, tmp_path):
     agreed = report.where("section = 'reconcile' AND metric = 'equal'").select("value_str").distinct()
     assert [r[0] for r in agreed.collect()] == ["true"]
     assert tl.total_nulls(done.cleaned).first()[0] == 0
+
+
+def test_numbered_copies_are_many_tasks(spark):
+    # 80 chunks of two rows' copies: joined to one partition they would be one task's rows.
+    df = spark.range(80_000).select((F.col("id") % 2).cast("string").alias("a"))
+    numbered = numbered_copies(df)
+    assert numbered.agg(F.count("*"), F.max("_copy"), F.countDistinct("a", "_copy")).first() == (80_000, 39_999, 80_000)
+    assert numbered.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_split_by_a_column_of_few_values_in_one_class(spark):
+    # The cut lies among rows of one first hash, parted by the second.
+    rows = spark.range(4_000).select("id", F.lit("a").alias("label"), (F.col("id") % 3).alias("o"))
+    split = tl.stratified_split(rows, "label", key=["id"], order=F.col("o"))
+    assert split.where("is_test").groupBy("o").count().collect() == [(0, 800)]
