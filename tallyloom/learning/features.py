@@ -22,7 +22,7 @@ from pyspark.ml.util import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.profile import modes, value_counts
+from tallyloom.operators.profile import modes_of, value_counts
 from tallyloom.operators.rank import medians, row_numbers, with_stats
 from tallyloom.sources.tables import stage, staging_path, write_table
 from tallyloom.spec import as_double, col, require_columns
@@ -110,13 +110,19 @@ class CategoryLevels(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWr
 
     def _fit(self, df: DataFrame) -> CategoryLevelsModel:
         columns = self._require(df)
-        found = {r["column"]: r["mode"] for r in modes(df, columns).collect()}
-        empty = [c for c in columns if c not in found]
+        # Counted once; missing values are added to the level that fills them.
+        known = stage(value_counts(df, columns), "levels")
+        most = {r["column"]: r for r in modes_of(known).collect()}
+        empty = [c for c in columns if c not in most]
         if empty:
             raise ValueError(f"categorical features without any value: {empty}")
-        filled = df.select(*[F.coalesce(col(c).cast("string"), F.lit(found[c])).alias(c) for c in columns])
+        found, rows = {c: most[c]["mode"] for c in columns}, df.count()
         pos = (F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")) - 1).cast("int")
-        counts = stage(value_counts(filled, columns).select(pos.alias("pos"), "value", "n"), "levels")
+        fill = F.array(*[F.lit(found[c]) for c in columns])
+        missing = F.array(*[F.lit(rows - most[c]["n_known"]).cast("long") for c in columns])
+        counts = known.select(pos.alias("pos"), "value", "n").withColumn(
+            "n", F.col("n") + F.when(F.col("value") == fill[F.col("pos")], missing[F.col("pos")]).otherwise(0)
+        )
         enough = F.col("n") >= self.getOrDefault("minFrequency")
         entries = counts.where(enough).select("pos", F.lit(False).alias("rare"), "value", "n").unionByName(
             counts.where(~enough).groupBy("pos").agg(
@@ -146,7 +152,7 @@ class CategoryLevels(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWr
             held = spark.read.parquet(model.places["head"])
             head = held.where(~long).orderBy(F.col("n").desc(), "pos", "value").limit(limit).drop("n")
             model.places["head"] = write_table(head, staging_path(spark, "head_levels"))
-            rest = held.join(model.table("head"), ["pos", "value"], "left_anti").drop("n")
+            rest = held.join(F.broadcast(model.table("head")), ["pos", "value"], "left_anti")
             model.places["tail"] = write_table(rest, staging_path(spark, "tail_levels"))
             tail = total - model.table("head").count()
         model._set(
@@ -175,7 +181,8 @@ class CategoryLevelsModel(Model, _Columns, MLReadable, MLWritable):
     places: dict[str, str]
 
     def table(self, name: str) -> DataFrame:
-        schema = "pos int, value string, at long" if name == "names" else "pos int, value string, slot int"
+        own = {"names": "at long", "head": "slot int", "tail": "slot int, n long"}  # n: training rows
+        schema = f"pos int, value string, {own[name]}"
         return SparkSession.active().read.schema(schema).parquet(self.places[name])
 
     def level_names(self) -> DataFrame:
@@ -201,7 +208,7 @@ class CategoryLevelsModel(Model, _Columns, MLReadable, MLWritable):
             held = stage(held.withColumn("_row", F.monotonically_increasing_id()), "rows")
             open_ = [F.when(s.isNull(), F.struct(F.lit(i).alias("pos"), v.alias("value"))) for i, (s, v) in enumerate(zip(found, values))]
             missed = held.select("_row", F.inline(F.array_compact(F.array(*open_))))
-            met = with_stats(missed, self.table("tail"), ["pos", "value"]).groupBy("_row").agg(
+            met = with_stats(missed, self.table("tail"), ["pos", "value"], "n").groupBy("_row").agg(
                 *[F.max(F.when(F.col("pos") == i, F.col("slot"))).alias(f"_t{i}") for i in range(len(columns))]
             )
             held = held.join(met, "_row", "left")

@@ -134,14 +134,15 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     ``(column, mode, mode_n, n_known)``; no row for a column without values.
     """
-    return (
-        value_counts(df, columns)
-        .groupBy("column")
-        .agg(
-            F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"),
-            F.max("n").alias("mode_n"),
-            F.sum("n").alias("n_known"),
-        )
+    return modes_of(value_counts(df, columns))
+
+
+def modes_of(counts: DataFrame) -> DataFrame:
+    """The same of a table of counts, as ``value_counts`` returns it."""
+    return counts.groupBy("column").agg(
+        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"),
+        F.max("n").alias("mode_n"),
+        F.sum("n").alias("n_known"),
     )
 
 

@@ -272,3 +272,13 @@ def test_split_by_a_column_of_few_values_in_one_class(spark):
     rows = spark.range(4_000).select("id", F.lit("a").alias("label"), (F.col("id") % 3).alias("o"))
     split = tl.stratified_split(rows, "label", key=["id"], order=F.col("o"))
     assert split.where("is_test").groupBy("o").count().collect() == [(0, 800)]
+
+
+def test_levels_that_are_not_broadcast_are_not_copied(spark):
+    rows = spark.range(12_000).select(F.when(F.col("id") % 6 != 0, F.col("id").cast("string")).alias("a"))
+    fitted = CategoryLevels(inputCols=["a"], outputCols=["slot"], minFrequency=1, headLevels=5).fit(rows)
+    assert fitted.getOrDefault("tailLevels") == 9_995 and fitted.getOrDefault("fills") == ["1"]
+    got = fitted.transform(rows)
+    assert "explode(" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.agg(F.count("*"), F.countDistinct("slot")).first() == (12_000, 10_000)
+    assert got.where("a IS NULL OR a = '1'").agg(F.min("slot"), F.max("slot")).first() == (0.0, 0.0)
