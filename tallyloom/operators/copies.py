@@ -8,7 +8,7 @@ hash, and neither a collision nor a false hit of the filter changes it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from tallyloom.spec import col
 
 BITS_A_HASH = 16
 MOST_WORDS = 1 << 20
+FEW_ONCE = 0.05
 NARROW_BYTES = 32
 
 
@@ -33,7 +34,8 @@ def split_repeated(df: DataFrame, most_words: int = MOST_WORDS) -> tuple[DataFra
     parts then scan the table once each. The filter has 16 bits for each repeated hash, in at
     most ``most_words`` words of 64 bits, which bounds what is sent to the tasks (8 MB). With
     more repeated hashes than that (some 10 million) it lets more rows without copies through
-    to the second part. Narrow rows, which are no larger than what is counted of them, and rows
+    to the second part. Where hardly any row occurs once, all are in the second part, so that the
+    table is read once instead of twice. Narrow rows, which are no larger than what is counted of them, and rows
     with values that Spark does not hash as it compares them are all in the second part.
     """
     if not df.columns or _narrow(df.schema) or not all(_hashed_as_compared(f.dataType) for f in df.schema):
@@ -42,10 +44,14 @@ def split_repeated(df: DataFrame, most_words: int = MOST_WORDS) -> tuple[DataFra
         df = stage(df, "rows")  # the scans below have to see the same rows
     hash_ = row_hash(df)
     counted = df.select(hash_.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    seen = Observation()
+    counted = counted.observe(seen, F.count_if(F.col("n") == 1).alias("once"), F.sum("n").alias("rows"))
     repeated = stage(counted.where("n > 1").select("h"), "repeated")
     number = repeated.count()
     if not number:
         return df, None
+    if seen.get["once"] <= (seen.get["rows"] or 0) * FEW_ONCE:
+        return None, df
     words = 1
     while words * 64 < number * BITS_A_HASH and words < most_words:
         words *= 2

@@ -99,3 +99,10 @@ def test_rows_without_copies_are_not_shuffled(spark, tmp_path):
     plan = once._jdf.queryExecution().executedPlan().toString()
     main = plan.split("Subquery")[0]
     assert "Exchange" not in main
+
+
+def test_hardly_any_row_occurs_once(spark):
+    df = spark.range(4_000).select(F.when(F.col("id") < 3, F.col("id") + 100).otherwise(F.col("id") % 9).cast("string").alias("a"))
+    once, repeated = split_repeated(df)
+    assert once is None and repeated.count() == 4_000
+    assert tl.dedupe(df).count() == 12
