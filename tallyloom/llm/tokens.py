@@ -12,9 +12,11 @@ each), their numbers of token ids (4 each), their token ids (4 each).
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from unicodedata import normalize
 
 import numpy as np
@@ -46,7 +48,7 @@ LEVEL = 3
 # begin an ending, so such words are left whole.
 LETTERS = bytes(c for c in range(256) if c >= 0x80 or bytes([c]).isalpha())
 MARKS = bytes(c for c in range(0x80) if not bytes([c]).isalnum() and c != ord("'"))
-WORDS_HELD = 1 << 18
+WORDS_HELD = 1 << 19  # and as many of their parts
 WORD_END = "</w>"  # fixed value: marks the last token of a word in the vocabulary
 
 
@@ -61,8 +63,6 @@ class WordIds(dict):
     """
 
     def __init__(self, tokenizer: str) -> None:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -76,11 +76,15 @@ class WordIds(dict):
         if len(self) + len(new) > WORDS_HELD:
             self.clear()
             new = list(words)
-        if len(self.parts) + len(new) > 2 * WORDS_HELD:
+        if len(self.parts) + len(new) > WORDS_HELD:
             self.parts.clear()
         split: list[bytes] = []
         names: list[bytes] = []
+        alone = self.parts.get
         for word in new:
+            if (ids := alone(word)) is not None:
+                self[word] = ids
+                continue
             part = word.rstrip(MARKS)
             name = part.lower()
             # Lower case and composition may bring marks along that are no letters and join
@@ -127,6 +131,17 @@ class WordIds(dict):
             yield b"".join(map(self.__getitem__, w))
 
 
+def word_ids(tokenizer: str) -> WordIds:
+    """The words of this process, which later tasks go on with."""
+    found = os.stat(tokenizer)
+    return _word_ids(tokenizer, found.st_mtime_ns, found.st_size)
+
+
+@lru_cache(maxsize=1)
+def _word_ids(tokenizer: str, changed: int, size: int) -> WordIds:
+    return WordIds(tokenizer)
+
+
 class FrameWriter:
     """Collects documents into frames and closes the file with its two tables."""
 
@@ -225,9 +240,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     last = struct.pack("<I", end)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
         part, writer, name, done = None, None, "", []
         for r in rows:
+            words = word_ids(tokenizer)
             for p, doc_id, ids in zip(r.column(0).to_pylist(), r.column(1).to_pylist(), words.of(byte_list(r.column(2)))):
                 if p != part:
                     if writer:

@@ -87,3 +87,11 @@ def test_damage_is_found(spark, tmp_path):
 
 def test_empty_table(spark):
     assert read_tokens(write_tokens(spark.createDataFrame([], DOCS), PATH)).count() == 0
+
+
+def test_tasks_of_a_process_share_words():
+    from tallyloom.llm.tokens import word_ids
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert word_ids(path) is word_ids(path)
+    assert [*word_ids(path).of([b"one two", b"two"])][0].endswith([*word_ids(path).of([b"two"])][0])
