@@ -73,7 +73,9 @@ def fit_model(df: DataFrame, spec: TableSpec, size: ForestSize = ForestSize()) -
     rows = stage(fitted.transform(weighted).select("features", "label_index", "weight"), "features")
     index, *features = fitted.stages
     named = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)
-    return PipelineModel([*features, forest.fit(rows), named])
+    # A copy has no training summary. That one holds the session, which would be sent to the
+    # tasks with the model, and can't be once anything was observed in it.
+    return PipelineModel([*features, forest.fit(rows).copy(), named])
 
 
 def class_labels(model: PipelineModel) -> list[str]:

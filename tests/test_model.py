@@ -3,6 +3,7 @@ import math
 import pytest
 from census import people
 from pyspark.ml import PipelineModel
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import tallyloom as tl
@@ -282,3 +283,13 @@ def test_levels_that_are_not_broadcast_are_not_copied(spark):
     assert "explode(" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.agg(F.count("*"), F.countDistinct("slot")).first() == (12_000, 10_000)
     assert got.where("a IS NULL OR a = '1'").agg(F.min("slot"), F.max("slot")).first() == (0.0, 0.0)
+
+
+def test_a_model_predicts_where_something_was_observed(spark):
+    # An observed session can't be sent to tasks, so the model may not hold it.
+    rows = spark.range(400).select((F.col("id") % 20).cast("double").alias("x"), F.when(F.col("id") % 20 < 8, "n").otherwise("p").alias("y"))
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 400
+    spec = tl.TableSpec(schema=rows.schema, target="y", positive_label="p", numeric=("x",), categorical=(), ttest_value="x", chi2_column="y", histogram_column="x", bar_column="y")
+    assert tl.predict(tl.fit_model(rows, spec, SMALL), rows, "p").where("predicted = y").count() == 400
