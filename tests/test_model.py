@@ -293,3 +293,16 @@ def test_a_model_predicts_where_something_was_observed(spark):
     assert seen.get["n"] == 400
     spec = tl.TableSpec(schema=rows.schema, target="y", positive_label="p", numeric=("x",), categorical=(), ttest_value="x", chi2_column="y", histogram_column="x", bar_column="y")
     assert tl.predict(tl.fit_model(rows, spec, SMALL), rows, "p").where("predicted = y").count() == 400
+
+
+def test_whole_run_of_a_table_with_copies(spark, tmp_path):
+    # Copies of rows with text are found by an observed count, before the model is asked again.
+    rows = spark.range(300).select(
+        (F.col("id") % 100).cast("double").alias("x"), (F.col("id") % 7).cast("string").alias("k"), F.when(F.col("id") % 100 < 40, "n").otherwise("p").alias("y")
+    )
+    rows = rows.unionAll(rows.limit(20))
+    spec = tl.TableSpec(schema=rows.schema, target="y", positive_label="p", numeric=("x",), categorical=("k",), ttest_value="x", chi2_column="k", histogram_column="x", bar_column="k")
+    done = tl.run(spark, spec, rows, str(tmp_path / "out"), size=SMALL)
+    assert done.reload_ok is True and done.cleaned.count() == 300
+    model = spark.read.parquet(done.report_path).where("section = 'model' AND metric = 'reload_ok'")
+    assert [r["value_str"] for r in model.collect()] == ["true"]
