@@ -33,7 +33,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +54,9 @@ SEGMENTS = 16
 END_WORD = b" "  # no word has a blank
 
 SHARD_TOKENS = 1 << 19
+# A row holds a block of some MB. Parquet would look at the size after a hundred of them only, and
+# a row group is read at once; so it looks after each, and a row group holds one or two.
+BLOCK_FILES = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 
 CLASS_FEATURES = 5
 CLASS_ROWS = CLASS_FEATURES * ROWS
@@ -93,13 +96,16 @@ def prefix_of(hashes: np.ndarray, digits: int) -> np.ndarray:
 
 
 class Priors(NamedTuple):
-    """Logarithms of the corpus shares, and what the words of a slot and of a leaf share."""
+    """Logarithms of the corpus shares, and what the words of a slot and of a leaf share.
+
+    The shares of the last digit are not divided by their sum, which a softmax does: so they
+    are what the words of a leaf share, too, and the largest array is there once.
+    """
 
     classes: np.ndarray
     slots: np.ndarray  # (class, slot)
     mass: np.ndarray  # counts of the words of an outcome, smoothed
-    digits: tuple = ()  # for each digit (outcome and digits before, digit)
-    leaves: np.ndarray | None = None  # counts of the words of a leaf, smoothed
+    digits: tuple = ()  # for each digit (outcome and digits before, digit); the last: smoothed counts of leaves
 
     @staticmethod
     def of(outcome: np.ndarray, count: np.ndarray, types: np.ndarray, leaf: np.ndarray | None = None, depth: int = 0) -> Priors:
@@ -110,27 +116,28 @@ class Priors(NamedTuple):
         grid = mass.reshape(CLASSES, SLOTS)
         total = grid.sum(1)
         total[0] = mass[0]
-        digits, leaves = [], None
+        digits = []
         if leaf is not None:
             leaves = np.zeros(CLASSES * SLOTS * DIGIT**depth)
             leaves[outcome * DIGIT**depth + leaf] = count + 0.5 * types
-            for k in range(depth):
+            for k in range(depth - 1):
                 held = leaves.reshape(CLASSES * SLOTS * DIGIT**k, DIGIT, -1).sum(2)
                 share = held / np.maximum(held.sum(1), 1e-30)[:, None]
                 digits.append(np.log(np.maximum(share, 1e-30)).astype(np.float32))
-            leaves = leaves.astype(np.float32)
+            np.log(np.maximum(leaves, 1e-30, out=leaves), out=leaves)
+            digits.append(leaves.astype(np.float32).reshape(-1, DIGIT))
         return Priors(
             np.log(total / total.sum()).astype(np.float32), np.log(grid / grid.sum(1)[:, None]).astype(np.float32), mass,
-            tuple(digits), leaves,
+            tuple(digits),
         )
 
     def of_words(self, hashes: np.ndarray, outcomes: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Logarithm of P(word | leaf) of words met in training, with that of being one of
         those; of the unknown word of their outcome for the others; 0 for the end."""
         depth = len(self.digits)
-        leaf = self.leaves[outcomes * DIGIT**depth + prefix_of(hashes, depth)]
+        leaf = self.digits[-1].ravel()[outcomes * DIGIT**depth + prefix_of(hashes, depth)]
         unknown = 0.5 / self.mass[outcomes]
-        met = np.log(count + 0.5) - np.log(np.maximum(leaf, 0.5)) + np.log1p(-np.minimum(unknown, 0.999))
+        met = np.log(count + 0.5) - np.maximum(leaf, np.log(0.5)) + np.log1p(-np.minimum(unknown, 0.999))
         return np.where(outcomes > 0, np.where(count > 0, met, np.log(unknown)), 0.0)
 
 
@@ -184,11 +191,12 @@ class Weights:
     the system every time, which takes far longer than filling them.
     """
 
-    def __init__(self, rows: int = ROWS, depth: int = 0, tables: list[np.ndarray] | None = None) -> None:
+    def __init__(self, rows: int = ROWS, depth: int = 0, tables: list[np.ndarray] | None = None, trains: bool = True) -> None:
+        """``trains``: the tables given are copied, as steps change them."""
         if tables is None:
             shapes = [(CLASS_FEATURES * rows, CLASSES), (2 * rows + SLOTS + 1, SLOTS), *[(DIGIT_ROWS * rows, DIGIT)] * depth]
             tables = [np.zeros(shape, np.float32) for shape in shapes]
-        self.tables = [t.copy() for t in tables]
+        self.tables = [t.copy() for t in tables] if trains else tables
         self.classes, self.slots = self.tables[:2]
         widths = {t.shape[1]: [np.empty((STEP_TOKENS, t.shape[1]), np.float32) for _ in range(4)] for t in self.tables}
         self.kept = [widths[t.shape[1]] for t in self.tables]
@@ -386,21 +394,20 @@ def word_counts(blocks: DataFrame, tokens: int) -> DataFrame:
     )
 
 
-def trained(blocks: DataFrame, priors: Priors, tokens: int, rounds: int, worker_tokens: int) -> Weights:
+def trained(blocks: DataFrame, priors: Broadcast, tokens: int, depth: int, rounds: int, worker_tokens: int) -> Weights:
     """Weights after gradient steps of all tasks, averaged after each round."""
     spark = blocks.sparkSession
-    size, depth = int(ROWS * growth(tokens)), len(priors.digits)
+    size = int(ROWS * growth(tokens))
     weights = Weights(size, depth)
     workers = max(1, int(-(-tokens // (worker_tokens * growth(tokens)))))
     sqrt = max(1, int(np.sqrt(workers)))
     data = blocks.select("sizes", "held", "tokens", "outcomes", "hashes").coalesce(workers)
     schema = pa.schema([("segment", pa.int32()), ("salt", pa.int32()), ("moved", pa.binary()), ("change", pa.binary())])
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((weights.tables, tuple(priors)))
+        shared = spark.sparkContext.broadcast(weights.tables)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
-            tables, own_priors = shared.value
-            own_priors = Priors(*own_priors)
+            tables, own_priors = shared.value, Priors(*priors.value)
             own = Weights(tables=tables)
             own.prepare()
             for sizes, held, numbers, outcomes, hashes in rows_of(batches):
@@ -416,7 +423,9 @@ def trained(blocks: DataFrame, priors: Priors, tokens: int, rounds: int, worker_
                         own.train(Contexts(hashes[flat], outs, places(sizes[a:b][take]), size, depth), outs, own_priors)
             salt = TaskContext.get().partitionId() % sqrt
             moved = np.concatenate(own.moved)
-            change = flat_weights(own.tables) - flat_weights(tables)
+            own.squares = []
+            change = flat_weights(own.tables)
+            change -= flat_weights(tables)
             for k, (m, d) in enumerate(zip(np.array_split(moved, SEGMENTS), np.array_split(change, SEGMENTS))):
                 yield batch(schema, segment=[k], salt=[salt], moved=[m.tobytes()], change=[(d * m[:, None]).tobytes()])
 
@@ -430,6 +439,7 @@ def trained(blocks: DataFrame, priors: Priors, tokens: int, rounds: int, worker_
         ddl = "segment int, salt int, moved binary, change binary"
         part = data.mapInArrow(work, ddl).groupBy("segment", "salt").applyInArrow(add, ddl)
         rows = {r["segment"]: r for r in part.groupBy("segment").applyInArrow(add, ddl).collect()}
+        shared.destroy()
         if rows:
             moved = np.concatenate([np.frombuffer(rows[k]["moved"], np.float32) for k in range(SEGMENTS)])
             change = np.concatenate([np.frombuffer(rows[k]["change"], np.float32) for k in range(SEGMENTS)]).reshape(len(moved), -1)
@@ -458,7 +468,7 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS, worker_tokens: int = WORKER
     spark = docs.sparkSession
     bounded_batches(spark)
     out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
-    blocks = stage(docs.select(id_of().alias("doc_id"), out.alias("held"), text_of().alias("text")).mapInArrow(encode, BLOCK_DDL), "blocks")
+    blocks = stage(docs.select(id_of().alias("doc_id"), out.alias("held"), text_of().alias("text")).mapInArrow(encode, BLOCK_DDL), "blocks", **BLOCK_FILES)
     words = blocks.select(F.explode(F.arrays_zip("hashes", "counts", "outcomes")).alias("col")).select("col.*")
     counts = stage(
         words.filter("counts > 0").groupBy("hashes").agg(F.sum("counts").alias("count"), F.any_value("outcomes").alias("outcome")), "words"
@@ -471,18 +481,18 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS, worker_tokens: int = WORKER
     ).orderBy("outcome", "leaf").toArrow()
     got = [totals.column(c).to_numpy() for c in ("outcome", "count", "types", "leaf")]
     n = int(got[1].sum())
-    priors = Priors.of(*got, depth)
-    weights = trained(blocks, priors, n, rounds, worker_tokens)
+    # Sent once for all rounds and the scores.
+    priors = spark.sparkContext.broadcast(tuple(Priors.of(*got, depth)))
+    del totals, got
+    shared = spark.sparkContext.broadcast(trained(blocks, priors, n, depth, rounds, worker_tokens).tables)
     size = int(ROWS * growth(n))
-    shared = spark.sparkContext.broadcast((weights.tables, tuple(priors)))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     )
 
     def score(block: pa.Table, answers: pa.Table) -> pa.Table:
-        tables, own_priors = shared.value
-        own_priors = Priors(*own_priors)
-        model = Weights(tables=tables)
+        own_priors = Priors(*priors.value)
+        model = Weights(tables=shared.value, trains=False)
         sums = sorted(zip(answers.column("shard").to_pylist(), answers.column("n").to_pylist()))
         sums = np.concatenate([unpacked(x, np.int64) for _, x in sums])
         out = []

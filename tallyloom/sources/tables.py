@@ -10,9 +10,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Overwrite a Parquet table and return its path."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **options: str) -> str:
+    """Overwrite a Parquet table and return its path; ``options`` are those of the writer."""
+    df.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -56,7 +56,7 @@ def staged_tables(spark: SparkSession) -> Iterator[None]:
         clear_staged(spark)
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
     Later steps then scan only the columns they need, and a lost executor costs a
@@ -64,5 +64,5 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     ``staged_tables`` remove them again.
     """
     spark = df.sparkSession
-    path = write_table(df, staging_path(spark, label))
+    path = write_table(df, staging_path(spark, label), **options)
     return spark.read.schema(df.schema).parquet(path)

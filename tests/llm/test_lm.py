@@ -5,13 +5,16 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyloom.llm.catalog import QUERIES
 from tallyloom.llm import lm
 from tallyloom.llm.common import mixed
 from tallyloom.llm.lm import CLASS_ROWS, CLASSES, DIGIT_ROWS, RATE, ROWS, SLOT_ROWS, SLOTS, Contexts, Priors, Weights, lm_scores, outcome_of
+from tallyloom.sources.tables import stage
 
 DOCS = "doc_id long, text string, score string"
 
@@ -221,3 +224,34 @@ def test_what_is_learnt_grows_with_the_corpus():
     assert sizes[0] == 1 and sizes == sorted(sizes) and sizes[3] > 100
     assert [lm.depth_of(v) for v in (0, 16**4, 16**6, 16**8)] == [2, 3, 4, 5]
     assert Weights(4096, 3).tables[2].shape == (4 * 4096, 16)
+
+
+def test_blocks_lie_in_row_groups_of_few(spark, monkeypatch):
+    """A reader holds a row group: all blocks of a task were one."""
+
+    class Staged(Exception):
+        pass
+
+    def staged(df, label, **options):
+        raise Staged(stage(df, label, **options).inputFiles())
+
+    monkeypatch.setattr(lm, "stage", staged)
+    text = " ".join(f"w{i}" for i in range(1 << 15)) + " "
+    df = spark.range(6, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit(text), 32).alias("text"))
+    with pytest.raises(Staged) as found:
+        lm_scores(df)
+    metas = [pq.read_metadata(f.removeprefix("file:").replace("///", "/")) for f in found.value.args[0]]
+    assert sum(m.num_rows for m in metas) == 6
+    assert all(m.row_group(i).num_rows <= 2 for m in metas for i in range(m.num_row_groups))
+
+
+def test_the_largest_priors_are_held_once():
+    outcome, leaf = np.repeat(np.arange(16, 40), 50), np.tile(np.arange(50) * 5, 24)
+    count, types = np.arange(1, 1201), np.ones(1200, np.int64)
+    priors = Priors.of(outcome, count, types, leaf, 2)
+    assert sum(x.nbytes for x in priors.digits) < 1.1 * 4 * CLASSES * SLOTS * 16**2
+    known = np.exp(priors.digits[-1].ravel().astype(float))
+    assert known[outcome * 16**2 + leaf] == pytest.approx(count + 0.5, rel=1e-6) and known.sum() == pytest.approx((count + 0.5).sum())
+    met = priors.of_words((leaf.astype(np.uint64) << np.uint64(56)), outcome, count)
+    own = np.log1p(-0.5 / priors.mass[outcome])
+    assert met == pytest.approx(own, abs=1e-6)  # a word alone in its leaf
